@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat_format, exact_dedup, quality_rules, sharding, url_filter
+from paperloom.llm import chat_format, exact_dedup, lm_score, packing, piece_codec, quality_rules, sharding, url_filter
 from paperloom.llm.common import read
 
 
@@ -28,15 +28,37 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_segments(turns))
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; only the queries know where these are, the operators take a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_and_decode(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(read(spark, sf_dir, "documents"), "crc32(cast(doc_id as string)) % 5 = 1")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_format": op5_chat_format,
+    "op6_packing": op6_packing,
+    "op7_piece_codec": op7_piece_codec,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_lm_score": op10_lm_score,
 }
 ORACLES = {"op1_sharding": sharding.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
