@@ -51,3 +51,22 @@ def lower_ascii(c: Column) -> Column:
 
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
+
+
+#: Keys above HOT_ROWS rows, the HOT_KEYS largest of them, are dealt over SALTS tasks in a join.
+HOT_ROWS, HOT_KEYS, SALTS = 1_000, 1_000, 64
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, size: str, spread: str, how: str = "inner") -> DataFrame:
+    """Join many ``rows`` to the one row of their key in ``table``, whose ``size`` says how many rows share the key.
+
+    A key that holds a large part of the rows would make one join task. The HOT_KEYS largest keys are broadcast (a
+    bounded list; any other key holds less than a HOT_KEYS-th of the rows), their rows are dealt by a hash of ``spread``
+    and their row of the table is copied to every share.
+    """
+    hot = F.broadcast(table.where(F.col(size) > HOT_ROWS).orderBy(F.desc(size), key).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot")))
+    share = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))
+    dealt = rows.join(hot, key, "left").withColumn("_share", share).drop("_hot")
+    copied = table.join(hot, key, "left").withColumn("_share", F.explode(shares)).drop("_hot")
+    return dealt.join(copied, [key, "_share"], how).drop("_share")

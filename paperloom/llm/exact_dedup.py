@@ -9,12 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import lower_ascii, text_or_empty
+from paperloom.llm.common import hot_join, lower_ascii, text_or_empty
 
 #: Characters of the normalised text in the second key.
 PREFIX_CHARS = 64
-#: Groups above this many rows have their decision copied to SALTS keys before the join back.
-HOT_ROWS, SALTS = 1_000, 64
 
 
 def _repeated(keys: DataFrame, by: list[str]) -> DataFrame:
@@ -43,14 +41,7 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     groups = full.groupBy("_sha").agg(F.max("_id").alias("keep_id"), F.sum("_rows").alias("group_size")).where("group_size > 1")
-    # A group with very many rows would make one join task: its decision is copied, its rows are dealt over the copies.
-    salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
-    copies = groups.withColumn(
-        "_salt", F.explode(F.when(F.col("group_size") > HOT_ROWS, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1))))
-    )
-    hot = groups.where(F.col("group_size") > HOT_ROWS).select("_sha", F.lit(True).alias("_hot"))
-    dealt = full.join(hot, "_sha", "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(-1))).drop("_hot")
-    return dealt.join(copies, ["_sha", "_salt"]).select("_id", "_sha", "_rows", "keep_id", "group_size")
+    return hot_join(full, groups, "_sha", "group_size", "_id").select("_id", "_sha", "_rows", "keep_id", "group_size")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

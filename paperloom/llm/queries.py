@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat_format, exact_dedup, lm_score, packing, piece_codec, quality_rules, sharding, url_filter
+from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, url_filter
 from paperloom.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_format": op5_chat_format,
     "op6_packing": op6_packing,
