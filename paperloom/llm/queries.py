@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, url_filter
+from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, suffix_dedup, url_filter
 from paperloom.llm.common import read
 
 
@@ -47,6 +47,10 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_and_decode(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_packing": op6_packing,
     "op7_piece_codec": op7_piece_codec,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_score": op10_lm_score,
 }
