@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A unit of 3 to 80 characters, 15 times or more in a row. Fixed values.
 LEAST_UNIT, MOST_UNIT, REPEATS = 3, 80, 15
@@ -42,7 +43,7 @@ def has_runaway(text: str | None) -> bool:
     return text is not None and may_run_away(text) and any(LETTER.search(m[1]) for m in RUNAWAY.finditer(text))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def runaway(texts: pd.Series) -> pd.Series:
     return texts.map(has_runaway).astype(bool)
 
@@ -51,7 +52,7 @@ def _sound(span: str) -> str:
     return PLACEHOLDER if has_runaway(span) or span.count("\\begin{") != span.count("\\end{") else span
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def sanitize_math(texts: pd.Series) -> pd.Series:
     """Math spans that run away or do not close their environments become the placeholder; null stays null."""
     return texts.map(lambda t: t if t is None else MATH_SPAN.sub(lambda m: _sound(m[0]), t))
@@ -94,6 +95,6 @@ def dedup_glosses_text(text: str) -> str:
     return "\n".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def dedup_glosses(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else dedup_glosses_text(t))

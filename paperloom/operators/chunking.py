@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperloom.functions.parallel import is_table
 from paperloom.functions.spans import count_of
@@ -41,7 +42,7 @@ def merge_fences(parts: Column) -> Column:
     return F.aggregate(parts, start, step, lambda acc: F.when(acc["held"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"]))))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _batches(lengths: pd.Series, alone: pd.Series, most: pd.Series) -> pd.Series:
     return pd.Series([batch_numbers(n, a, m) for n, a, m in zip(lengths, alone, most, strict=True)])
 

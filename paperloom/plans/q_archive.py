@@ -16,7 +16,10 @@ from paperloom.sources import readers, writers
 from paperloom.streaming import jobs
 
 SITE = "https://example.org/site/"
-DAY = F.date_add(F.col("base_date"), F.col("edition").cast("int") % 20)
+
+
+def day():
+    return F.date_add(F.col("base_date"), F.col("edition").cast("int") % 20)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -26,7 +29,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def _archive(spark, d) -> DataFrame:
-    return spark_view(spark, d, "archive").withColumn("translated", DAY)
+    return spark_view(spark, d, "archive").withColumn("translated", day())
 
 
 def _papers(spark, d) -> DataFrame:
@@ -34,7 +37,7 @@ def _papers(spark, d) -> DataFrame:
     x = spark_view(spark, d, "archive")
     return x.select(
         F.col("arxiv_id").alias("id"), "category", "title", F.concat(F.lit("https://example.org/abs/"), F.col("arxiv_id")).alias("abs_url"), F.concat(F.lit("https://example.org/pdf/"), F.col("arxiv_id")).alias("pdf_url"),
-        F.concat(F.col("base_date").cast("string"), F.lit("T00:00:00+00:00")).alias("published"), DAY.alias("translated"), F.concat(F.lit("hf_daily_papers_upvotes="), F.col("edition").cast("string")).alias("selection_reason"),
+        F.concat(F.col("base_date").cast("string"), F.lit("T00:00:00+00:00")).alias("published"), day().alias("translated"), F.concat(F.lit("hf_daily_papers_upvotes="), F.col("edition").cast("string")).alias("selection_reason"),
         F.when(F.col("edition") % 2 == 0, F.concat(F.lit("# **T** "), F.col("title"), F.lit(" ## Abstract\n"), F.col("body"))).otherwise(F.col("body")).alias("body"), "edition",
     )
 
@@ -92,13 +95,13 @@ def editions(spark, d):
 
 
 def stamped(spark, d):
-    return a.stamp(spark_view(spark, d, "archive").select("arxiv_id", "edition", "base_date"), DAY).drop("base_date")
+    return a.stamp(spark_view(spark, d, "archive").select("arxiv_id", "edition", "base_date"), day()).drop("base_date")
 
 
 def urls(spark, d):
     x = _papers(spark, d)
-    day = F.when(F.col("edition") % 5 > 0, F.col("translated"))
-    return x.select("edition", t.page_url(SITE, day, F.col("category"), F.col("id"), F.col("title")).alias("url"))
+    dated = F.when(F.col("edition") % 5 > 0, F.col("translated"))
+    return x.select("edition", t.page_url(SITE, dated, F.col("category"), F.col("id"), F.col("title")).alias("url"))
 
 
 def digests(spark, d):

@@ -9,19 +9,16 @@ from paperloom.functions.vectorized import dedup_glosses, runaway
 from paperloom.operators import pair_quality as q
 from paperloom.plans.views import spark_view, sql, table
 
-S, R = F.col("source"), F.col("response")
-
-
 def _pairs(spark, d):
     """Every pair and, for the brace test, one more whose math differs by a brace: (conv_id, turn, kind, source, response)."""
     p = spark_view(spark, d, "pairs").withColumn("kind", F.lit("plain"))
     math = lambda c, tail: F.concat(c, F.lit(f" $k_{{1}}$ and $$x{tail}$$"))
-    one = p.withColumns({"kind": F.lit("brace"), "source": math(S, "{a}"), "response": math(R, "{a")})
+    one = p.withColumns({"kind": F.lit("brace"), "source": math(F.col("source"), "{a}"), "response": math(F.col("response"), "{a")})
     return p.unionByName(one).select("conv_id", "turn", "kind", "source", "response")
 
 
 def _flag(name, test):
-    return lambda spark, d: _pairs(spark, d).select("conv_id", "turn", "kind", test(S, R).alias(name))
+    return lambda spark, d: _pairs(spark, d).select("conv_id", "turn", "kind", test(F.col("source"), F.col("response")).alias(name))
 
 
 def runaways(spark, d):
@@ -43,7 +40,7 @@ def references(spark, d):
 
 
 def codes(spark, d):
-    return _pairs(spark, d).select("conv_id", "turn", "kind", v.fail_code(S, R).alias("fail_code"))
+    return _pairs(spark, d).select("conv_id", "turn", "kind", v.fail_code(F.col("source"), F.col("response")).alias("fail_code"))
 
 
 def _items(spark, d):
