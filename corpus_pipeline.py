@@ -15,9 +15,7 @@ from paperloom.llm.queries import tokenizer
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the trees reject go."""
-    columns = docs.columns
-    judged = quality_rules.judge(docs, read(spark, sf_dir, "labels"), carry=tuple(c for c in columns if c != "doc_id"))
-    return judged.where("kept").select(*columns)
+    return quality_rules.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,15 +67,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the rows that ``exact_dedup`` drops, with all their columns."""
-    groups = equal_groups(docs, id_col, text_col)
-    columns = docs.columns
-    joined = docs.join(
-        groups.select("_id", "_sha", "keep_id", "_rows"),
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.sha2(lower_ascii(text_or_empty(F.col(text_col))), 256) == F.col("_sha")),
-        "left",
-    )
-    single = joined.where("_rows is null or (_rows = 1 and _id <=> keep_id)").select(*[docs[c] for c in columns])
-    repeated = joined.where("_rows > 1 and _id <=> keep_id").dropDuplicates(["_id", "_sha"]).select(*[docs[c] for c in columns])
+    columns = [docs[c] for c in docs.columns]
+    groups = equal_groups(docs, id_col, text_col).toDF("_id", "_sha", "_rows", "_keep", "_size")
+    sha = F.sha2(lower_ascii(text_or_empty(docs[text_col])), 256)
+    joined = docs.join(groups, docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left")
+    single = joined.where("_rows is null or (_rows = 1 and _id <=> _keep)").select(*columns)
+    repeated = joined.where("_rows > 1 and _id <=> _keep").dropDuplicates(["_id", "_sha"]).select(*columns)
     return single.unionByName(repeated)
 
 

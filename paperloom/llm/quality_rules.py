@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.boosted_trees import Forest, fit
 from paperloom.llm.common import small_batches, text_or_empty
-from paperloom.llm.text_stats import MORE, STATS, batch_stats
+from paperloom.llm.text_stats import STATS, batch_stats
 
 #: The fit uses at most so many labelled rows: those whose id has the smallest hash.
 MOST_LABELS = 8_000
@@ -44,10 +44,10 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text") -> Forest:
-    """Fit on ``labels`` (id, quality 0/1): one row per id, null labels left out, at most ``most`` of them."""
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id") -> Forest:
+    """Fit on ``labels`` (label_id, quality 0/1): one row per id, null labels left out, at most ``most`` of them."""
     few = (
-        labels.where("quality is not null").groupBy(F.col(id_col).alias("_id")).agg(F.max("quality").cast("double").alias("_y"))
+        labels.where("quality is not null").groupBy(F.col(label_id).alias("_id")).agg(F.max("quality").cast("double").alias("_y"))
         .orderBy(F.xxhash64("_id"), "_id").limit(most)
     )
     small_batches(docs.sparkSession)
@@ -87,4 +87,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most
     return source.mapInArrow(run, schema + "".join(f", {k} long" for k in STATS) + ", p_good double, base_failed boolean, kept boolean")
 
 
-ALL_STATS = (*STATS, *MORE)
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that ``judge`` keeps, with all their columns, whatever their names."""
+    columns = docs.columns
+    plain = docs.toDF(*(f"c{k}" for k in range(len(columns))))
+    name = {c: f"c{k}" for k, c in enumerate(columns)}
+    judged = judge(plain, labels, threshold, most, name[id_col], name[text_col], tuple(c for c in plain.columns if c != name[id_col]))
+    return judged.where("kept").select(*plain.columns).toDF(*columns)
