@@ -183,3 +183,24 @@ def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
         yield from _emit(conversations(), names, types)
 
     return segments.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean")
+
+
+def oracle_sql(template: Template = DEFAULT) -> str:
+    """DuckDB SQL for the digests, with the added conversation -1. Lengths follow from the marks and from how often
+    control strings occur; it is exact as long as these do not overlap in a text."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    controls = "|".join(re.escape(x) for x in template.controls())
+    marks = " ".join(f"when {quoted(role)} then {len(a) + len(b)}" for role, (a, b) in template.marks.items())
+    escaped = lambda c: f"length({c}) + 7 * len(regexp_extract_all({c}, {quoted(controls)})) + length({c}) - length(replace({c}, chr(92), ''))"
+    other = f"{len(template.other[0]) - len('{role}') + len(template.other[1])} + {escaped('role')} + 7 * (length(role) - length(replace(role, ']', '')))"
+    follows = " or ".join(f"(coalesce(before, 'start') = {quoted(state)} and role in ({', '.join(map(quoted, sorted(roles)))}))" for state, roles in template.after.items())
+    loss = ", ".join(map(quoted, sorted(template.loss)))
+    accept = ", ".join(map(quoted, sorted(template.accept)))
+    return f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+ union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o as (select *, row_number() over w as n, lag(role) over w as before, lead(role) over w as behind from t window w as (partition by conv_id order by turn nulls first, role, text)),
+f as (select *, case role {marks} else {other} end + {escaped('text')} as chars, ({follows}) and (behind is not null or role in ({accept})) as ok, role in ({loss}) as learned from o)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by n)) as turns_sha256, coalesce(cast(sum(length(text)) filter (learned) as bigint), 0) as loss_chars,
+ sha256(coalesce(string_agg(text, '' order by n) filter (learned), '')) as loss_sha256, cast(sum(chars) as bigint) as formatted_chars, bool_and(ok) as valid from f group by 1
+"""

@@ -71,4 +71,9 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_score": op10_lm_score,
 }
-ORACLES = {"op1_sharding": sharding.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {
+    "op1_sharding": sharding.ORACLE,
+    "op3_jaccard_join": jaccard_join.ORACLE,
+    "op5_chat_format": chat_format.oracle_sql(),
+    "op9_exact_dedup": exact_dedup.ORACLE,
+}
