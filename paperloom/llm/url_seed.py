@@ -9,6 +9,7 @@ BLOCKED = (
 ALLOWED = (
     "academy", "archive", "article", "books", "city", "clinic", "code", "college", "council", "data", "docs", "engineering", "forum", "garden", "gazette",
     "health", "history", "journal", "kitchen", "law", "letters", "library", "magazine", "math", "museum", "music", "nature", "news", "observer", "open-data",
+    "another", "building", "cooking", "evening", "morning", "reading", "spring", "teaching", "thing", "things", "writing", "winter", "kingdom", "sister", "together", "listen", "passport", "bread", "address",
     "physics", "press", "recipes", "research", "school", "science", "song", "station", "theatre", "tion", "travel", "university", "weather", "wiki",
 )
 HOSTS = ("{}.example.com", "www.{}.example.org", "blog.{}.example.net", "m.{}.example.com", "{}.example.org", "{}.example.net")
@@ -16,10 +17,11 @@ PATHS = ("/en/{}", "/fr/{}.html", "/de/{}/", "/es/{}?page=2&ref=x", "/en/{}#top"
 
 
 def seed_urls() -> list[tuple[str, int]]:
-    """(url, label) with label 1 for blocked. Hosts, endings and paths are the same in both classes."""
-    rows = []
-    for label, words in ((1, BLOCKED), (0, ALLOWED)):
-        for k, word in enumerate(words):
-            for j, host in enumerate(HOSTS):
-                rows.append((f"https://{host.format(word)}{PATHS[(k + j) % len(PATHS)].format(1000 + 37 * (7 * k + j))}", label))
-    return rows
+    """(url, label) with label 1 for blocked. Every word comes with every host form and path, so these tell nothing."""
+    return [
+        (f"https://{host.format(word)}{path.format('1234567'[: 1 + (i + j) % 6])}", label)
+        for label, words in ((1, BLOCKED), (0, ALLOWED))
+        for word in words
+        for i, host in enumerate(HOSTS)
+        for j, path in enumerate(PATHS)
+    ]
