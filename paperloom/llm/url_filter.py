@@ -19,7 +19,7 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 DIMENSIONS, GRAMS = 1 << 16, (3, 4, 5)
 MOST_SEEDS, ROUNDS, RATE, L2 = 100_000, 300, 2.0, 1e-4
 #: The labelled table has as many blocked as allowed URLs, the web has far fewer: only sure cases are blocked.
-THRESHOLD = 0.7
+THRESHOLD = 0.6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
