@@ -116,3 +116,29 @@ def test_revalidation(spark):
     rows = [(1, ["a", "b"], "x", "stop"), (2, ["a"], "좋다", "length"), (3, ["짧다 $"], "짧다", "stop"), (4, ["짧다"], "좋다", "stop"), (5, ["a", "b"], "x <<<P>>> y", "stop")]
     df = spark.createDataFrame(rows, "doc_id long, items array<string>, response string, finish_reason string")
     assert sorted((r.doc_id, r.fail_reason) for r in runlog.revalidate(df).collect()) == [(1, "item_count_mismatch"), (2, "length_truncated"), (3, "dollar_mismatch")]
+
+
+def test_workflow_from_papers_to_pages(spark):
+    from paperloom.plans import workflows
+
+    papers = spark.createDataFrame([(1, "# 1 Intro\n\nSome text\n\n| a | 1 |\n|---|---|\n| b | 2 |\n\nMore"), (2, "Some text\n\nMore")], "doc_id long, md string")
+    rows = {(r.doc_id, r.batch_index): (r["items"], r.rows, r.cols) for r in workflows.batches(papers).collect()}
+    assert rows == {(1, 0): (["## 1 Intro", "Some text"], None, None), (1, 1): (["a", "b"], [0, 1], [0, 0]), (1, 2): (["More"], None, None), (2, 0): (["Some text", "More"], None, None)}
+    empty = spark.createDataFrame([], "key string")
+    work = workflows.plan_work(papers, empty, "ph", "m", "0.1")
+    assert work.count() == 4
+    answered = work.where("input = 'More'").select("key")
+    assert {r.input for r in workflows.plan_work(papers, answered, "ph", "m", "0.1").collect()} == {"## 1 Intro\n\n<<<P>>>\n\nSome text", "a\n\n<<<P>>>\n\nb", "Some text\n\n<<<P>>>\n\nMore"}
+    sent = spark.createDataFrame([(1, 0, "0", ["가", "$x$"], "나 <<<P>>> x", "stop"), (2, 0, "0", ["a", "b", "c"], "하나", "stop")], "doc_id long, batch_index int, path string, items array<string>, response string, finish_reason string")
+    judged, halves = workflows.judge_answers(sent)
+    assert sorted((r.item_index, r.fail_code) for r in judged.collect()) == [(0, None), (1, "dollar_mismatch")]
+    assert sorted((r.path, r["items"]) for r in halves.collect()) == [("0.L", ["a"]), ("0.R", ["b", "c"])]
+    attempts = spark.createDataFrame(
+        [(1, 0, 0, 1, "# 제목", None, "# T"), (1, 0, 1, 1, "bad", "dollar_mismatch", "$y$"), (1, 1, 0, 1, "둘\\n셋", None, "two")],
+        "doc_id long, batch_index int, item_index int, attempt int, response string, fail_code string, source string",
+    )
+    meta = spark.createDataFrame([(1, "2608.9", "cs.RO", "T", "u", "v", "2026-08-01", DAY, "why", 1)], "doc_id long, id string, category string, title string, abs_url string, pdf_url string, published string, translated date, selection_reason string, edition long")
+    before = spark.createDataFrame([("2608.9", "cs.RO", DAY - datetime.timedelta(days=3), 0, "old"), ("2608.8", "cs.RO", DAY, 0, "kept")], "arxiv_id string, category string, translated date, edition long, page string")
+    pages = {r.arxiv_id: r for r in workflows.publish(attempts, meta, before).collect()}
+    assert pages["2608.8"].page == "kept" and pages["2608.9"].category_dir == "robotics"
+    assert pages["2608.9"].page.endswith("# 제목\n\n$y$\n\n둘\n셋\n\n") and pages["2608.9"].page.startswith('---\ntitle: "제목"')
