@@ -72,27 +72,32 @@ def batch_numbers(lengths: list[int], alone: list[bool], most: int) -> list[int]
     return out
 
 
+def _is_term(term: str) -> bool:
+    return len(term) >= 2 and re.search("[a-zA-Z]", term) is not None and not CITATION.search(term) and not set(term) & set("$\\`")
+
+
 def dedup_glosses_text(text: str) -> str:
-    """Only the first gloss of a term stays, with its spelling; fences, headings, citations, math and code are left alone."""
-    seen: set[str] = set()
-    fenced = False
-
-    def once(m: re.Match) -> str:
-        term = m[2].strip()
-        if len(term) < 2 or not re.search("[a-zA-Z]", term) or CITATION.search(term) or re.search(r"[$\\`]", term):
-            return m[0]
-        known = term.lower() in seen
-        seen.add(term.lower())
-        return "" if known else m[0]
-
-    out = []
-    for line in text.split("\n"):
-        if line.strip().startswith("```"):
-            fenced = not fenced
-        elif not fenced and not line.lstrip().startswith("#"):
-            line = GLOSS.sub(once, line)
-        out.append(line)
-    return "\n".join(out)
+    """Only the first gloss of a term stays, with its spelling; fences, headings, citations, math and code are left alone.
+
+    The lines to leave alone are marked first; then all glosses of the text are met in order and the repeats cut out.
+    """
+    lines = text.split("\n")
+    starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+    heads = [x.lstrip()[:3] for x in lines]
+    fence = np.array([h == "```" for h in heads])
+    closed = fence | (np.cumsum(fence) % 2 == 1) | np.array([h.startswith("#") for h in heads])
+    found = [m for m in GLOSS.finditer(text) if _is_term(m[2].strip())]
+    free = ~closed[np.searchsorted(starts, [m.start() for m in found], side="right") - 1] if found else ()
+    met: set[str] = set()
+    parts, done = [], 0
+    for m, use in zip(found, free, strict=True):
+        key = m[2].strip().lower()
+        if use and key in met:
+            parts.append(text[done : m.start()])
+            done = m.end()
+        elif use:
+            met.add(key)
+    return "".join([*parts, text[done:]])
 
 
 @F.pandas_udf(T.StringType())
