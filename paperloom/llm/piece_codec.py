@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from paperloom.llm.common import small_batches, text_or_empty
 
 SPACE = "\u2581"
-#: Units (a word with the blanks before it) whose encodings a task remembers, and the longest that it remembers.
+#: Units (a run of characters with the blanks before it) whose encodings a task remembers, and the longest that it remembers.
 MOST_UNITS, LONGEST_UNIT = 200_000, 48
 
 
@@ -45,32 +45,78 @@ class PrefixTable:
         for p, i in self.ids.items():
             self.matches.add_word(p, (i, len(p)))
         self.matches.make_automaton()
-        self.alone: dict[int, bool] = {}
+        self.histories: dict[int, tuple] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.unit = re.compile(r" *[^ \n]+| +|\n" if "\n" not in self.chars else r" *[^ ]+| +")
-
-    def _merged(self, text: str) -> list[str]:
-        """Greedy merging of a short text: the adjacent pair with the best score first, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best = max(((self.scores.get(a + b, -float("inf")), -k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False))), default=(-float("inf"), 0))
-            if best[0] == -float("inf"):
-                return parts
-            k = -best[1]
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        self.bytes_of = {i: p.encode() for i, p in self.pieces.items()} | {i: bytes((b,)) for b, i in self.byte_ids.items()}
+        self.unit = re.compile(f" *(?:{self._runs()}.)| +", re.DOTALL)
+
+    def _runs(self) -> str:
+        """Alternatives of a pattern, one for each set of characters that stand side by side in some piece. No piece
+        reaches from one set into another, so runs of a set encode independently."""
+        of = {c: c for c in self.chars if c != " "}
+
+        def root(c: str) -> str:
+            while of[c] != c:
+                of[c] = c = of[of[c]]
+            return c
+
+        for p in self.ids:
+            for a, b in zip(p, p[1:], strict=False):
+                if a != " ":
+                    of[root(a)] = root(b)
+        sets: dict[str, list[str]] = {}
+        for c in sorted(of):
+            sets.setdefault(root(c), []).append(c)
+        # characters that stand alone are left to the dot, one by one
+        return "".join(f"[{''.join(map(re.escape, x))}]+|" for x in sorted(sets.values(), key=len, reverse=True) if len(x) > 1)
+
+    def _history(self, piece: int) -> tuple[list[float], list[str], list[str], bool]:
+        """How a piece's own characters merge, best score first and leftmost of equals: the scores in order, the first and
+        the last part before each merge and at the end, and whether one part is left."""
+        found = self.histories.get(piece)
+        if found is None:
+            parts = list(self.pieces[piece])
+            scores, firsts, lasts = [], [parts[0]], [parts[-1]]
+            while True:
+                best = max(((self.scores[a + b], -k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.scores), default=None)
+                if best is None:
+                    break
+                k = -best[1]
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                scores.append(best[0])
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            found = self.histories[piece] = (scores, firsts, lasts, len(parts) == 1)
+        return found
 
     def compatible(self, left: int, right: int) -> bool:
+        """Do two pieces encode their own concatenation? Their own merges interleave by score; the pair falls apart as soon
+        as the two parts at the border would merge before the next of these."""
         found = self.pairs.get((left, right))
         if found is None:
-            a, b = self.pieces[left], self.pieces[right]
-            found = self.pairs[left, right] = self._merged(a + b) == [a, b]
+            found = self.pairs[left, right] = self._never_merge(left, right)
         return found
 
+    def _never_merge(self, left: int, right: int) -> bool:
+        ours, _, lasts, whole = self._history(left)
+        theirs, firsts, _, whole_too = self._history(right)
+        if not (whole and whole_too):
+            return False
+        i = j = 0
+        n, m, scores = len(ours), len(theirs), self.scores
+        while True:
+            border = scores.get(lasts[i] + firsts[j])
+            if border is not None and (i == n or border > ours[i]) and (j == m or border >= theirs[j]):
+                return False
+            if i < n and (j == m or ours[i] >= theirs[j]):
+                i += 1
+            elif j < m:
+                j += 1
+            else:
+                return True
+
     def _stands_alone(self, piece: int) -> bool:
-        found = self.alone.get(piece)
-        if found is None:
-            found = self.alone[piece] = self._merged(self.pieces[piece]) == [self.pieces[piece]]
-        return found
+        return self._history(piece)[3]
 
     def _known(self, text: str) -> list[int]:
         """Ids of a text whose characters are all in the vocabulary."""
@@ -116,11 +162,10 @@ class PrefixTable:
         return out + (self._known(known) if known else [])
 
     def decode_unit(self, ids: list[int]) -> str:
-        bytes_of = {i: b for b, i in self.byte_ids.items()}
-        return b"".join(bytes((bytes_of[i],)) if i in bytes_of else self.pieces[i].encode() for i in ids).decode(errors="replace")
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace")
 
     def units(self, text: str) -> list[str]:
-        """Parts of a text that encode independently: no piece reaches from a word over the blank behind it."""
+        """Parts of a text that encode independently: blanks and the run of related characters behind them."""
         return self.unit.findall(" " + text.replace(SPACE, " ")) if text else []
 
     def encode(self, text: str) -> list[int]:
