@@ -9,6 +9,7 @@ piece finds its place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,47 +25,41 @@ from paperloom.llm.common import small_batches, text_or_empty, written
 CAPACITY, END_ID = 2048, 0
 #: Ranks are counted in so many parts per length.
 PARTS = 256
-MOST_WORDS = 200_000
 
-#: A blank next to other white space, signs that the engines of the two libraries may class differently, and the special token.
-SLOW = re.compile("\\s | \\s|[\x1c-\x1f]|[^\x00-\u024f]|<\\|")
+#: Signs that the engines of two libraries may class differently.
+ODD = re.compile("[\x1c-\x1f]|[^\x00-\u024f]")
+#: How byte-level BPE cuts a text before merging. Fixed value.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class WordIds(dict):
-    """word -> the little-endian 32-bit ids of a blank and the word; filled in batches."""
+def byte_ranks(path: str) -> dict[bytes, int]:
+    """The tokens of a byte-level BPE file as bytes, without its special tokens; ids are in the order of the merges."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    special = {t["content"] for t in found["added_tokens"]}
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow 255
+    signs = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+    return {bytes(map(signs.__getitem__, token)): i for token, i in found["model"]["vocab"].items() if token not in special}
+
+
+class Encoder:
+    """Texts to little-endian 32-bit ids, as the tokenizer of a file gives them for the whole text.
+
+    Texts of plain signs go through the faster engine, over the tokens of the same file; the others, and those in which
+    a special token may stand, through the tokenizer itself.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.engine = tiktoken.Encoding(path, pat_str=CUTS, mergeable_ranks=byte_ranks(path), special_tokens={})
 
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def add(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False), strict=True):
-            self[word] = self._packed(found.ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text, as the tokenizer gives for the whole text.
-
-        Its pre-tokeniser never joins signs over a single blank, so a text whose blanks stand alone is encoded word by
-        word; any other text is encoded whole.
-        """
-        split = [None if SLOW.search(t) else t.split(" ") for t in texts]
-        if len(self) > MOST_WORDS:
-            self.clear()
-        self.add(list({w for words in split if words for w in words[1:]}.difference(self)))
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None or not words[0]:
-                out.append(self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
-            else:
-                first = self.tokenizer.encode(words[0], add_special_tokens=False).ids
-                out.append(self._packed(first) + b"".join(map(self.__getitem__, words[1:])))
-        return out
+    def encode(self, text: str) -> bytes:
+        if "<|" in text or ODD.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.engine.encode_ordinary(text), "<u4").tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,10 +70,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(tokenizer_path)
+        encoder = Encoder(tokenizer_path)
         for batch in batches:
             which, rows = [], []
-            for k, packed in enumerate(ids.encode(batch.column(1).to_pylist())):
+            for k, packed in enumerate(map(encoder.encode, batch.column(1).to_pylist())):
                 packed += END_ID.to_bytes(4, "little")
                 n = len(packed) // 4
                 start, piece = 0, 0
