@@ -27,6 +27,8 @@ LENGTH, BLOCK = 400, 16
 NAMED = 9 * BLOCK
 WINDOW = LENGTH - NAMED + 1
 CHUNK_BYTES = 1 << 20
+#: Texts are sampled in pieces of so many bytes.
+PIECE_BYTES = 1 << 20
 #: Names with more different surroundings than this are compared by rows of window hashes, not in one group.
 MOST_SPANS = 2048
 
@@ -65,23 +67,35 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(per) - per), per) + np.arange(per.sum())
 
 
-def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(texts: list[bytes], most: int) -> Iterator[tuple[int, int, bytes]]:
+    """(number of the text, offset, bytes): long texts in pieces that share LENGTH - 1 bytes, so each string starts in one."""
+    for k, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - LENGTH + 1), most):
+            yield k, at, text[at : at + most + LENGTH - 1]
+
+
+def _samples(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """(_id, _k, text) to (_id, _k, at, back, ahead, name, span): each sample with the suffixes that lead to it, ``back``
-    to ``ahead`` bytes before it, the name at it, and a hash of all the bytes of those suffixes' first LENGTH."""
+    to ``ahead`` bytes before it, the name at it, and a hash of all the bytes of those suffixes' first LENGTH.
+
+    Where a piece ends among the suffixes of a sample, the sample comes twice, each time with its part of them.
+    """
     for batch in batches:
+        pieces = list(_pieces(batch.column(2).cast(pa.binary()).to_pylist(), most))
         done = 0
-        for texts in text_runs(batch.column(2).cast(pa.binary()).to_pylist(), CHUNK_BYTES):
+        for texts in text_runs([x for _, _, x in pieces], CHUNK_BYTES):
             sizes = np.array([len(t) for t in texts], np.int64)
-            raw = np.frombuffer(b"".join(texts), np.uint8)
-            spans = Spans(raw)
+            which, offset = (np.array([p[i] for p in pieces[done : done + len(texts)]], np.int64) for i in (0, 1))
+            done += len(texts)
+            spans = Spans(raw := np.frombuffer(b"".join(texts), np.uint8))
             sample, low, high = _suffixes(raw, spans, _starts(sizes))
-            text = np.searchsorted(np.cumsum(sizes), sample, side="right")
-            rows = pa.array(text + done)
+            piece = np.searchsorted(np.cumsum(sizes), sample, side="right")
+            rows = pa.array(which[piece])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
                     batch.column(1).take(rows),
-                    pa.array((sample - (np.cumsum(sizes) - sizes)[text]).astype(np.int32)),
+                    pa.array((sample - (np.cumsum(sizes) - sizes)[piece] + offset[piece]).astype(np.int32)),
                     pa.array((sample - low).astype(np.int16)),
                     pa.array((sample - high).astype(np.int16)),
                     pa.array(_names(spans, sample)),
@@ -89,7 +103,6 @@ def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["_id", "_k", "at", "back", "ahead", "name", "span"],
             )
-            done += len(texts)
 
 
 def _flagged_runs(flags: np.ndarray, rows: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
@@ -166,7 +179,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_or_empty(F.col(text_col))).alias("_k"), text_or_empty(F.col(text_col)).alias("text"))
     kind = source.schema["_id"].dataType.simpleString()
     long = source.where(F.octet_length("text") >= LENGTH)
-    samples = written(long.mapInArrow(_samples, f"_id {kind}, _k long, at int, back short, ahead short, name long, span long"), "samples")
+    most = PIECE_BYTES
+    samples = written(long.mapInArrow(lambda batches: _samples(batches, most), f"_id {kind}, _k long, at int, back short, ahead short, name long, span long"), "samples")
     names = samples.groupBy("name").agg(F.count(F.lit(1)).alias("places"), F.min("span").alias("least"), F.max("span").alias("most")).where("places > 1")
     shared = written(
         hot_join(samples, names.select("name", "places", (F.col("least") != F.col("most")).alias("mixed")), "name", "places", "_id")

@@ -41,9 +41,10 @@ def cases():
     return texts
 
 
-@pytest.mark.parametrize("most", [2048, 3])
-def test_removal_equals_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "piece"), [(2048, 1 << 20), (3, 1 << 20), (2048, 333)])
+def test_removal_equals_brute_force(spark, monkeypatch, most, piece):
     monkeypatch.setattr(suffix_dedup, "MOST_SPANS", most)
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
     texts = cases()
     rows = list(enumerate(texts))
     df = spark.createDataFrame([(k, t, 5, 1) for k, t in rows], "doc_id long, text string, at int, name int").repartition(3)
