@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import small_batches, text_or_empty
-from paperloom.llm.ppm_trie import distinct, keys_of, log10_probabilities, slice_of, stream, summed
+from paperloom.llm.ppm_trie import END, ORDER, distinct, keys_of, log10_probabilities, pairs_of, slice_of, stream, summed
 from paperloom.llm.text_stats import Spans
 
 #: UTF-8 bytes of text in a block, and bytes that are worked on at once.
@@ -28,32 +28,46 @@ GRAMS, WORDS = 0, 1
 END_WORD = -1
 
 
-def _chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(number of the first text, streams) of runs of texts with about ``most`` bytes."""
-    first, held, size = 0, [], 0
+def _chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, list[bytes], list[bytes]]]:
+    """(numbers of the texts, streams, the bytes before them) with about ``most`` bytes at a time; long streams come in
+    pieces that end behind a blank."""
+    rows: list[tuple[int, bytes, bytes]] = []
+    size = 0
     for k, text in enumerate(texts):
-        held.append(stream(text))
-        size += len(held[-1])
-        if size >= most:
-            yield first, held
-            first, held, size = k + 1, [], 0
-    if held:
-        yield first, held
+        body = bytes([END]) * ORDER + stream(text)
+        at = ORDER
+        while at < len(body):
+            end = len(body)
+            if end - at > most:
+                end = (body.rfind(b" ", at, at + most) + 1) or (body.find(b" ", at + most) + 1) or end
+            rows.append((k, body[at:end], body[at - ORDER : at]))
+            size += end - at
+            at = end
+            if size >= most:
+                yield _columns(rows)
+                rows, size = [], 0
+    if rows:
+        yield _columns(rows)
+
+
+def _columns(rows: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    numbers, bodies, before = zip(*rows, strict=True)
+    return np.array(numbers, np.int64), list(bodies), list(before)
 
 
 def _word_hashes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every token of the streams (END_WORD for the end) and the number of tokens of each."""
+    """Hash of every token of the pieces (END_WORD where a piece has the end) and the number of tokens of each."""
     raw = np.frombuffer(b"".join(bodies), np.uint8)
-    ends = np.flatnonzero((raw == 32) | (raw == 10))
+    ends = np.flatnonzero((raw == 32) | (raw == END))
     starts = np.concatenate(([0], ends[:-1] + 1)) if ends.size else ends
     hashes = (Spans(raw).hash(starts, ends) >> np.uint64(1)).astype(np.int64)
     word = ends > starts  # not so where a stream is the end byte alone
-    last = raw[ends] == 10
-    document = np.cumsum(last) - last
-    per = np.bincount(document[word], minlength=len(bodies)) + 1
+    piece = np.searchsorted(np.cumsum([len(b) for b in bodies]), ends, side="right")
+    closed = np.array([b.endswith(b"\n") for b in bodies], np.int64)
+    per = np.bincount(piece[word], minlength=len(bodies)) + closed
     out = np.empty(int(per.sum()), np.int64)
-    out[(np.cumsum(word) - 1 + document)[word]] = hashes[word]
-    out[np.cumsum(per) - 1] = END_WORD
+    out[(np.cumsum(word) - 1 + (np.cumsum(closed) - closed)[piece])[word]] = hashes[word]
+    out[(np.cumsum(per) - 1)[closed > 0]] = END_WORD
     return out, per
 
 
@@ -63,11 +77,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, train = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
         size += sum(map(len, texts))
-        bodies = b"".join(b"\n" + stream(t) for t, learn in zip(texts, train, strict=True) if learn)
-        raw = np.frombuffer(bodies, np.uint8).astype(np.int64)
-        pair = (raw[:-1] << 8) | raw[1:]
-        counts += np.bincount(pair, minlength=1 << 16)
-        counts[(10 << 8) | 10] -= max(0, int(train.sum()) - 1)  # where two streams meet
+        for _, bodies, before in _chunks([t for t, learn in zip(texts, train, strict=True) if learn]):
+            counts += pairs_of(keys_of(bodies, before)[0])
     kinds = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(kinds, -1), pa.int64()), pa.array(np.append(counts[kinds], size), pa.int64())], names=["pair", "count"])
 
@@ -106,9 +117,9 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
         texts = table.column("_text").cast(pa.binary()).to_pylist()
         train = ~table.column("_out").to_numpy()
         found: dict[int, list] = {GRAMS: [], WORDS: []}
-        for first, bodies in _chunks(texts):
-            learn = train[first : first + len(bodies)]
-            for kind, (keys, sizes) in ((GRAMS, keys_of(bodies)), (WORDS, _word_hashes(bodies))):
+        for numbers, bodies, before in _chunks(texts):
+            learn = train[numbers]
+            for kind, (keys, sizes) in ((GRAMS, keys_of(bodies, before)), (WORDS, _word_hashes(bodies))):
                 learned = np.repeat(learn, sizes)
                 found[kind].append(distinct(keys[learned]))
                 rest, _ = distinct(keys[~learned])
@@ -148,21 +159,26 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
             tables[kind] = pd.Index(keys), np.frombuffer(b"".join(mine.column("back").to_pylist()), width).astype(float)
         tokens, kinds = (pa.compute.sum(found.column(c)).as_py() or 0 for c in ("tokens", "kinds"))
         rest = math.log10(tokens + 0.5 * (kinds + 1))
-        out = {k: [] for k in ("n_tokens", "n_known", "base", "score")}
-        for _, bodies in _chunks(texts.column("_text").cast(pa.binary()).to_pylist()):
-            keys, sizes = keys_of(bodies)
+        n = texts.num_rows
+        n_tokens, n_known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+
+        def add(to: np.ndarray, numbers: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
+            some = sizes > 0  # a piece may have no token
+            np.add.at(to, numbers[some], np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some]) if some.any() else values)
+
+        for numbers, bodies, before in _chunks(texts.column("_text").cast(pa.binary()).to_pylist()):
+            keys, sizes = keys_of(bodies, before)
             index, values = tables[GRAMS]
-            out["score"].append(np.add.reduceat(values[index.get_indexer(keys)], np.cumsum(sizes) - sizes))
+            add(score, numbers, values[index.get_indexer(keys)], sizes)
             words, sizes = _word_hashes(bodies)
             index, counts = tables[WORDS]
             c = counts[index.get_indexer(words)]
-            starts = np.cumsum(sizes) - sizes
-            out["n_tokens"].append(sizes)
-            out["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), starts))
-            out["base"].append(np.add.reduceat(np.log10(c + 0.5), starts) - sizes * rest)
-        n_tokens, n_known, base, score = (np.concatenate(v) for v in out.values())
+            np.add.at(n_tokens, numbers, sizes)
+            add(n_known, numbers, (c > 0).astype(np.int64), sizes)
+            add(base, numbers, np.log10(c + 0.5), sizes)
+        base -= n_tokens * rest
         return pa.Table.from_arrays(
-            [texts.column("_id"), texts.column("_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([tokens] * len(base), pa.int64()), pa.array(base), pa.array(score)],
+            [texts.column("_id"), texts.column("_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([tokens] * n, pa.int64()), pa.array(base), pa.array(score)],
             names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 

@@ -19,10 +19,10 @@ def stream(text: bytes) -> bytes:
     return b" ".join(text.translate(LOWER_BYTES).split()) + b"\n"
 
 
-def keys_of(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The key of every byte of the streams, in order, and the number of bytes of each."""
-    pad = bytes([END]) * ORDER
-    raw = np.frombuffer(b"".join(x for body in bodies for x in (pad, body)), np.uint8)
+def keys_of(bodies: list[bytes], before: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The key of every byte of the bodies, in order, and the number of bytes of each; ``before`` are the ORDER bytes
+    that stand before each."""
+    raw = np.frombuffer(b"".join(x for pair in zip(before, bodies, strict=True) for x in pair), np.uint8)
     sizes = np.array([len(b) for b in bodies], np.int64)
     inside = np.ones(raw.size, bool)
     first = np.cumsum(sizes + ORDER) - sizes - ORDER
@@ -35,6 +35,11 @@ def keys_of(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key, sizes
 
 
+def pairs_of(keys: np.ndarray) -> np.ndarray:
+    """Counts of (most recent byte, byte) as one number each."""
+    return np.bincount(((keys >> 40) << 8) | (keys & 255), minlength=1 << 16)
+
+
 def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
     """Which slice holds a key: decided by the two most recent bytes alone."""
     pair = (keys >> 32).astype(np.uint64)

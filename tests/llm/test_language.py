@@ -165,6 +165,22 @@ def test_lm_score_equals_plain_dictionaries(spark, block):
         assert r.score == pytest.approx(model.score(b" ".join(t[:-1]) + b"\n"), rel=1e-5)
 
 
+def test_long_streams_come_in_pieces():
+    texts = [" ".join(rng.choices(["a", "bc", "def", "x" * 30], k=rng.randint(0, 60))).encode() for _ in range(30)]
+    whole = [(n, b, c) for numbers, bodies, before in lm_score._chunks(texts) for n, b, c in zip(numbers, bodies, before, strict=True)]
+    for most in (1, 20, 100):
+        keys, words, bodies = defaultdict(list), defaultdict(list), defaultdict(bytes)
+        for numbers, pieces, before in lm_score._chunks(texts, most):
+            for k, p, b in zip(numbers.tolist(), pieces, before, strict=True):
+                bodies[k] += p
+                keys[k] += lm_score.keys_of([p], [b])[0].tolist()
+                words[k] += lm_score._word_hashes([p])[0].tolist()
+        for k, body, before in whole:
+            assert bodies[k] == body
+            assert keys[k] == lm_score.keys_of([body], [before])[0].tolist()
+            assert words[k] == lm_score._word_hashes([body])[0].tolist()
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     assert piece_codec.encode_and_decode(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
