@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.spans import DISPLAY, FENCED, MATH, gaps, matches, rewrite
+from paperloom.functions.spans import DISPLAY, FENCED, MATH, count_of, gaps, matches, rewrite
 from paperloom.functions.strings import strip
 from paperloom.functions.vectorized import sanitize_math
 
@@ -124,6 +124,11 @@ def space_equations(c: Column) -> Column:
     return F.array_join(woven, "")
 
 
+def unclosed_math(c: Column) -> Column:
+    """How many math spans open and close a different number of environments."""
+    return F.size(F.filter(matches(c, MATH), lambda m: count_of(m, "\\begin{") != count_of(m, "\\end{")))
+
+
 RULES = (unescape_brackets, escape_orphan_dollars, merge_pseudocode, fix_heading_levels, space_tables, space_anchors, space_equations)
 
 

@@ -23,6 +23,12 @@ def broken_math(spark, d):
     return table(spark, d, "documents").select("doc_id", sanitize_math(md).alias("md"))
 
 
+def unclosed(spark, d):
+    """Documents with an environment behind every third line's first word, closed or not."""
+    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.concat(F.when(i % 3 == 0, "$$\\begin{a} ").otherwise("$x \\end{b} "), x, F.when(i % 6 == 0, " \\end{a}$$").otherwise("$ $$")))
+    return table(spark, d, "documents").select("doc_id", m.unclosed_math(F.array_join(lines, "\n")).cast("long").alias("unclosed"))
+
+
 def newlines(spark, d):
     return spark_view(spark, d, "escaped").select("doc_id", m.fix_newlines(F.col("md")).alias("x")).select("doc_id", "x.text", F.col("x.count").cast("long").alias("count"))
 
@@ -35,6 +41,7 @@ QUERIES = {
     "c1_unescape_brackets": bracketed,
     "c2_escape_orphan_dollars": rule(m.escape_orphan_dollars),
     "c3_sanitize_math": broken_math,
+    "c3_unclosed_math": unclosed,
     "c4_fix_heading_levels": rule(m.fix_heading_levels),
     "c5_merge_pseudocode": rule(m.merge_pseudocode),
     "c6_space_tables": rule(m.space_tables),
@@ -63,6 +70,8 @@ select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(md, '
 select doc_id, array_to_string(list_transform(g, lambda x, i: replace(x, '$', chr(92) || '$') || coalesce(s[i], '')), '') as md from x""",
         "papers_md",
     ),
+    "c3_unclosed_math": r"""with l as (select doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: case when (i - 1) % 3 = 0 then '$$\begin{a} ' else '$x \end{b} ' end || x || case when (i - 1) % 6 = 0 then ' \end{a}$$' else '$ $$' end), chr(10)) as md from documents)
+select doc_id, len(list_filter(regexp_extract_all(md, '(?s)\$\$.*?\$\$|\$[^$\n]+\$'), lambda x: len(string_split(x, '\begin{')) <> len(string_split(x, '\end{')))) as unclosed from l""",
     "c4_fix_heading_levels": sql(
         r"""with p as (select '^#{1,6}[ \t]+((?:<span[^>]*>\s*</span>\s*)*(?:\*{1,2}|_{1,2})?([0-9]+(?:\.[0-9]+)*)\.?(?:\*{1,2}|_{1,2})?\s.*)$' as p)
 select doc_id, """

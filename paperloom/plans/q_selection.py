@@ -103,7 +103,7 @@ _PICKS = "".join(
 
 QUERIES = {
     "s1_canonical_id": canonical, "s2_collapse_ws": whitespace, "s3_candidate_urls": urls, "s4_in_window": window, "s5_as_of_instant": instant, "s6_replay_window": replay, "s7_upvotes_asof": votes,
-    "s8_exclude_published": unpublished, "s9_attach_upvotes": attached, "s10_within_page_cap": capped, "s11_rank_candidates": ranked, "s12_select_top1": top1, "s13_select_all": all_categories, "s14_backfill": successive,
+    "s8_exclude_published": unpublished, "s9_attach_upvotes": attached, "s10_within_page_cap": capped, "c10_page_cap_gate": capped, "s11_rank_candidates": ranked, "s12_select_top1": top1, "s13_select_all": all_categories, "s14_backfill": successive,
 }
 ORACLES = {
     "s1_canonical_id": sql("select doc_id, regexp_replace(regexp_extract(regexp_extract(entry_xml, '<id>(.*?)</id>', 1), '[^/]*$'), 'v[0-9]+$', '') as id from f_feed", "feed"),
@@ -121,6 +121,7 @@ select doc_id, id, cast(replace(replace(regexp_extract(entry_xml, '<published>(.
     "s8_exclude_published": sql("select * from f_candidates where id not in (select arxiv_id from f_published)", "candidates", "published"),
     "s9_attach_upvotes": sql(_REPLAY + "select w.as_of, w.category, w.id, u.upvotes, u.id is not null as matched from w left join u on u.as_of = w.as_of and u.id = w.id", *_VIEWS),
     "s10_within_page_cap": sql("select * from f_candidates where num_pages <= 60", "candidates"),
+    "c10_page_cap_gate": sql("select * from f_candidates where num_pages <= 60", "candidates"),
     "s11_rank_candidates": sql(_REPLAY + "select as_of, category, id, upvotes, matched, rank from r where rank <= 5", *_VIEWS),
     "s12_select_top1": sql(_REPLAY + "select as_of, category, id, title, published, num_pages, selection_reason from r where rank = 1", *_VIEWS),
     "s13_select_all": sql(_REPLAY.rstrip() + _PICKS + " select as_of, category, id, published, selection_reason from (" + " union all ".join(f"select * from p{k}" for k in range(5)) + ")", *_VIEWS),
