@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import hot_join, lower_ascii, text_or_empty
+from paperloom.llm.common import hot_join, lower_ascii, text_or_empty, written
 
 #: Characters of the normalised text in the second key.
 PREFIX_CHARS = 64
@@ -30,6 +30,7 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).select(
         "_id", F.octet_length("_norm").alias("_len"), F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS)).alias("_prefix")
     )
+    keyed = written(keyed, "keys")  # numbers only: the texts are not read again for each count and join
     by_length = keyed.join(_repeated(keyed.select("_len"), ["_len"]), "_len", "left_semi")
     by_prefix = by_length.join(_repeated(by_length.select("_len", "_prefix"), ["_len", "_prefix"]), ["_len", "_prefix"], "left_semi")
     alive = by_prefix.select(F.col("_id").alias("_alive")).distinct()
@@ -40,6 +41,7 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("_id", "_sha")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
+    full = written(full, "digests")
     groups = full.groupBy("_sha").agg(F.max("_id").alias("keep_id"), F.sum("_rows").alias("group_size")).where("group_size > 1")
     return hot_join(full, groups, "_sha", "group_size", "_id").select("_id", "_sha", "_rows", "keep_id", "group_size")
 
