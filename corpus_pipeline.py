@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, exact dedup, near-duplicate join, passage removal, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's result to the shared folder
-and reads it again for the next one. All but the last return the columns of ``documents``.
+and reads it again for the next one. All but the last return the columns of ``documents``. The packed sequences are
+written there too; what ``run`` returns is their list of pieces, without the ids.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of what is left, with their places in sequences of 2048 tokens."""
+    """Token pieces of what is left, with their ids and places in sequences of 2048 tokens."""
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
 
@@ -49,8 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, "stage-" + name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    written(packing.sequences(docs), "sequences")
+    return docs.drop("ids")

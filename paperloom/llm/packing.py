@@ -11,7 +11,6 @@ from __future__ import annotations
 import bisect
 import json
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +24,8 @@ from paperloom.llm.common import small_batches, text_or_empty, written
 CAPACITY, END_ID = 2048, 0
 #: Ranks are counted in so many parts per length.
 PARTS = 256
+#: Bytes of ids that leave a task at once.
+BATCH_BYTES = 16 << 20
 
 #: Signs that the engines of two libraries may class differently.
 ODD = re.compile("[\x1c-\x1f]|[^\x00-\u024f]")
@@ -63,16 +64,21 @@ class Encoder:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, piece, start, length, ids_crc32: each text's ids and one end id, cut into pieces only where they exceed the capacity.
+    """id, piece, start, length, ids: each text's ids and one end id, cut into pieces only where they exceed the capacity.
 
-    The first piece of a cut document takes the remainder, the others are full.
+    ids are little-endian 32-bit numbers. The first piece of a cut document takes the remainder, the others are full.
     """
     small_batches(docs.sparkSession)
 
+    def table(names: pa.Array, which: list[int], rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([names.take(pa.array(which, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[id_col, "piece", "start", "length", "ids"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
         for batch in batches:
-            which, rows = [], []
+            which, rows, held = [], [], 0
             for k, packed in enumerate(map(encoder.encode, batch.column(1).to_pylist())):
                 packed += END_ID.to_bytes(4, "little")
                 n = len(packed) // 4
@@ -80,14 +86,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                 while start < n:
                     length = (n % capacity or capacity) if start == 0 else capacity
                     which.append(k)
-                    rows.append((piece, start, length, zlib.crc32(packed[4 * start : 4 * (start + length)])))
-                    start, piece = start + length, piece + 1
-            columns = zip(*rows, strict=True) if rows else ((), (), (), ())
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[id_col, "piece", "start", "length", "ids_crc32"])
+                    rows.append((piece, start, length, packed[4 * start : 4 * (start + length)]))
+                    start, piece, held = start + length, piece + 1, held + 4 * length
+                    if held >= BATCH_BYTES:
+                        yield table(batch.column(0), which, rows)
+                        which, rows, held = [], [], 0
+            yield table(batch.column(0), which, rows)
 
     source = docs.select(id_col, text_or_empty(F.col(text_col)).alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
+    return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, piece int, start long, length long, ids binary")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
@@ -160,7 +167,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
-    """``pieces`` (id, piece, start, length, ids_crc32, more) with sequence_id and offset.
+    """``pieces`` (id, piece, start, length, ids, more) with sequence_id and offset.
 
     ``pieces`` is read twice and must not change in between (a written table). Rows that repeat are packed each for
     itself. An empty table gives an empty result.
@@ -183,15 +190,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
     parted = pieces.withColumn("_part", part)
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = parted.groupBy("length", "_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    within = Window.partitionBy("length", "_part").orderBy(F.col(id_col), F.col("piece"), F.col("ids_crc32"))
+    within = Window.partitionBy("length", "_part").orderBy(F.col(id_col), F.col("piece"), F.col("ids"))
     ranked = parted.withColumn("_row", F.row_number().over(within) - 1).join(sums, ["length", "_part"])
     out = ranked.withColumn("_place", placed("length", F.col("_before") + F.col("_row")))
     return out.select(*pieces.columns, "_place.sequence_id", "_place.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokenise, cut and pack whole documents: id, piece, start, length, ids_crc32, sequence_id, offset.
+    """Tokenise, cut and pack whole documents: id, piece, start, length, ids_crc32, sequence_id, offset, ids.
+
+    Null and empty texts are one end id. The pieces with their ids are written once to the shared folder; ids_crc32 is
+    the CRC-32 of the ids that were placed.
+    """
+    placed = pack(written(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces"), capacity, id_col)
+    return placed.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """sequence_id, length, ids: the packed sequences themselves, ``placed`` pieces' ids side by side in order of offset.
 
-    Null and empty texts are one end id. The pieces (numbers only) are written once to the shared folder.
+    A group is one sequence, hence at most ``capacity`` ids.
     """
-    return pack(written(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces"), capacity, id_col)
+    parts = F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("hex"))))
+    joined = F.unhex(F.array_join(F.transform(parts, lambda x: x["hex"]), ""))
+    return placed.groupBy("sequence_id").agg(F.sum("length").alias("length"), joined.alias("ids"))

@@ -40,7 +40,7 @@ def tokenizer(name: str) -> str:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")).drop("ids")
 
 
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
