@@ -10,8 +10,7 @@ _table = lambda chars: np.isin(np.arange(256), np.frombuffer(chars, np.uint8))
 SPACE, SYMBOL = _table(b"\x20\x09\x0a\x0b\x0c\x0d"), _table(b"#*$%&|<>")
 UPPER, LOWER, DIGIT = _table(bytes(range(65, 91))), _table(bytes(range(97, 123))), _table(bytes(range(48, 58)))
 MARK, PUNCT = _table(b"!"), _table(b".,;:?!-'\"()")
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+BASE, OTHER_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -29,12 +28,12 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of any spans of one byte array."""
+    """Hashes of any spans of one byte array, by powers of an odd base."""
 
-    def __init__(self, raw: np.ndarray):
+    def __init__(self, raw: np.ndarray, base: np.uint64 = BASE):
         self.sums = np.zeros(raw.size + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, raw.size), dtype=np.uint64, out=self.sums[1:])
-        self.inverse = powers(INVERSE, raw.size + 1)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(base, raw.size), dtype=np.uint64, out=self.sums[1:])
+        self.inverse = powers(np.uint64(pow(int(base), -1, 1 << 64)), raw.size + 1)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
