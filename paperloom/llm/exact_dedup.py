@@ -6,76 +6,92 @@ of the first bytes, and only the rows of groups that still hold two or more have
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import hot_join, lower_ascii, text_or_empty, written
 
 #: Characters of the normalised text in the second key.
 PREFIX_CHARS = 64
+#: Up to so many keys (8 bytes each) are broadcast to pick out the rows that share them; more are joined by a shuffle.
+BROADCAST_KEYS = 250_000
 
 
-def _repeated(keys: DataFrame, by: list[str]) -> DataFrame:
-    """The values of ``by`` that two or more rows share; partial counts before the shuffle make hot values harmless."""
-    return keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+def _key(text: Column) -> tuple[Column, Column]:
+    """Byte length, which lower-casing A-Z does not change, and a hash of the first characters."""
+    return F.octet_length(text).alias("_len"), F.xxhash64(lower_ascii(F.substring(text, 1, PREFIX_CHARS))).alias("_prefix")
 
 
-def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Return (_id, _sha, _rows, keep_id, group_size) for every distinct (id, text) that shares its text with another row.
+def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
+    """(_key, _n) of the lengths and prefixes that two or more rows share, with how many: partial counts leave one row
+    for each length and prefix, so a hot one is no burden. Prefixes are grouped only for lengths that two rows share."""
+    counts = written(docs.select(*_key(text_or_empty(F.col(text_col)))).groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")), "keys")
+    lengths = counts.groupBy("_len").agg(F.sum("_n").alias("_rows")).where("_rows > 1").select("_len")
+    groups = counts.join(lengths, "_len", "left_semi").where("_n > 1").select(F.xxhash64("_len", "_prefix").alias("_key"), "_n")
+    return written(groups.groupBy("_key").agg(F.sum("_n").alias("_n")), "candidates")
 
-    Only rows whose length and prefix hash are shared by another row are read in full. ``keep_id`` is the largest id of
-    the group; null ids count as the smallest.
-    """
-    norm = lower_ascii(text_or_empty(F.col(text_col)))
-    keyed = docs.select(F.col(id_col).alias("_id"), norm.alias("_norm")).select(
-        "_id", F.octet_length("_norm").alias("_len"), F.xxhash64(F.substring("_norm", 1, PREFIX_CHARS)).alias("_prefix")
-    )
-    keyed = written(keyed, "keys")  # numbers only: the texts are not read again for each count and join
-    by_length = keyed.join(_repeated(keyed.select("_len"), ["_len"]), "_len", "left_semi")
-    by_prefix = by_length.join(_repeated(by_length.select("_len", "_prefix"), ["_len", "_prefix"]), ["_len", "_prefix"], "left_semi")
-    alive = by_prefix.select(F.col("_id").alias("_alive")).distinct()
-    full = (
-        docs.select(F.col(id_col).alias("_id"), norm.alias("_norm"))
-        .join(alive, F.col("_id").eqNullSafe(F.col("_alive")), "left_semi")
-        .select("_id", F.sha2("_norm", 256).alias("_sha"))
-        .groupBy("_id", "_sha")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    full = written(full, "digests")
-    groups = full.groupBy("_sha").agg(F.max("_id").alias("keep_id"), F.sum("_rows").alias("group_size")).where("group_size > 1")
-    return hot_join(full, groups, "_sha", "group_size", "_id").select("_id", "_sha", "_rows", "keep_id", "group_size")
+
+def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _h, _sha, _rows) of the rows that share length and prefix with others; only these are read in full."""
+    groups = _candidates(docs, text_col)
+    text = text_or_empty(F.col(text_col))
+    keyed = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(*_key(text)).alias("_key"))
+    if groups.count() <= BROADCAST_KEYS:
+        alive = keyed.join(F.broadcast(groups.select("_key")), "_key", "left_semi")
+    else:
+        alive = hot_join(keyed, groups, "_key", "_n", "_id")
+    digests = alive.select("_id", F.xxhash64("_text").alias("_h"), F.sha2(lower_ascii(F.col("_text")), 256).alias("_sha"))
+    return written(digests.groupBy("_id", "_h", "_sha").agg(F.count(F.lit(1)).alias("_rows")), "digests")
+
+
+def equal_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_sha, _keep, _size) of every text that two or more rows share: ``_keep`` is the row that stays, as its id and the
+    hash of its text before lower-casing. It has the largest id; null ids count as the smallest."""
+    found = _digests(docs, id_col, text_col).groupBy("_sha").agg(F.max(F.struct("_id", "_h")).alias("_keep"), F.sum("_rows").alias("_size"))
+    return found.where("_size > 1")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
-    Null text counts as empty; null ids count as the smallest. Rows that repeat both id and text are told apart by a
-    count only: exactly one of them is kept. Two texts under one id are two documents. An empty table gives an empty
-    result; other columns are ignored.
+    Null text counts as empty; null ids count as the smallest; texts may have any length. Rows that repeat both id and
+    text are told apart by a count only: exactly one of them is kept. Two texts under one id are two documents. An empty
+    table gives an empty result; other columns are ignored.
     """
     sha = F.sha2(lower_ascii(text_or_empty(F.col(text_col))), 256)
-    rows = docs.select(F.col(id_col).alias("_i"), sha.alias("text_sha256")).groupBy("_i", "text_sha256").agg(F.count(F.lit(1)).alias("_n"))
-    groups = equal_groups(docs, id_col, text_col)
-    joined = rows.join(groups, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha")), "left")
-    alone = F.col("group_size").isNull()
+    rows = docs.select(F.col(id_col).alias("_i"), sha.alias("_sha")).groupBy("_i", "_sha").agg(F.count(F.lit(1)).alias("_n"))
+    joined = hot_join(rows, equal_groups(docs, id_col, text_col), "_sha", "_size", "_i", "left")
+    alone = F.col("_size").isNull()
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(
         F.col("_i").alias(id_col),
-        F.when(alone, F.col("_i")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        ((F.col("_copy") == 1) & (alone | F.col("_i").eqNullSafe(F.col("keep_id")))).alias("kept"),
-        "text_sha256",
+        F.when(alone, F.col("_i")).otherwise(F.col("_keep._id")).alias("keep_id"),
+        F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
+        ((F.col("_copy") == 1) & (alone | F.col("_i").eqNullSafe(F.col("_keep._id")))).alias("kept"),
+        F.col("_sha").alias("text_sha256"),
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the rows that ``exact_dedup`` drops, with all their columns."""
-    columns = [docs[c] for c in docs.columns]
-    groups = equal_groups(docs, id_col, text_col).toDF("_id", "_sha", "_rows", "_keep", "_size")
-    sha = F.sha2(lower_ascii(text_or_empty(docs[text_col])), 256)
-    joined = docs.join(groups, docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left")
-    single = joined.where("_rows is null or (_rows = 1 and _id <=> _keep)").select(*columns)
-    repeated = joined.where("_rows > 1 and _id <=> _keep").dropDuplicates(["_id", "_sha"]).select(*columns)
-    return single.unionByName(repeated)
+    """The documents without the rows that ``exact_dedup`` drops, with all their columns, whatever their names.
+
+    The keys of the rows to drop are found first, so the texts are read in place, or dealt once where the keys are many.
+    Nulls, repeated rows, long texts and empty tables are as in ``exact_dedup``.
+    """
+    columns = docs.columns
+    plain = docs.toDF(*(f"c{k}" for k in range(len(columns))))
+    id_, text = (f"c{columns.index(c)}" for c in (id_col, text_col))
+    digests = _digests(plain, id_, text)
+    groups = digests.groupBy("_sha").agg(F.max(F.struct("_id", "_h")).alias("_keep"), F.sum("_rows").alias("_size")).where("_size > 1")
+    told = hot_join(digests, groups, "_sha", "_size", "_id").withColumn("_stays", F.struct("_id", "_h").eqNullSafe(F.col("_keep")))
+    marked = written(told.where("not _stays or _rows > 1").select("_id", "_h", "_stays"), "marked")
+    many, again = marked.agg(F.count(F.lit(1)), F.count_if("_stays")).first()
+    hashed = plain.withColumn("_row", F.xxhash64(text_or_empty(F.col(text))))
+    keys = F.broadcast(marked) if many <= BROADCAST_KEYS else marked
+    same = hashed[id_].eqNullSafe(keys["_id"]) & (hashed["_row"] == keys["_h"])
+    kept = hashed.join(keys, same, "left_anti").drop("_row")
+    if again:
+        kept = kept.unionByName(hashed.join(keys.where("_stays"), same, "left_semi").dropDuplicates([id_, "_row"]).drop("_row"))
+    return kept.toDF(*columns)
 
 
 ORACLE = """

@@ -1,7 +1,8 @@
 """Language-model scoring: prediction by partial matching, trained on a part of the corpus, for every document.
 
-Neither the trie nor the vocabulary is ever in one place. Documents are dealt to blocks of bounded size; a block sends
-the distinct keys of its bytes (with its training counts) and of its words to the slices that hold them; slices add up
+Neither the trie nor the vocabulary is ever in one place. Contexts so frequent that they would make a slice too large are
+found on a part of the text, and what follows them is counted over all of it. Documents are dealt to blocks of bounded
+size; a block sends the distinct keys of its bytes (with its training counts) and of its words to the slices that hold them; slices add up
 the counts of all blocks, work out each distinct key's probability once and send it back; a block then adds up its
 documents' scores. The text is shuffled once, all else as packed arrays of distinct keys.
 """
@@ -14,11 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import small_batches, text_or_empty
-from paperloom.llm.ppm_trie import END, ORDER, distinct, keys_of, log10_probabilities, pairs_of, slice_of, stream, summed
+from paperloom.llm.ppm_trie import END, LOW, ORDER, Frequent, distinct, keys_of, log10_probabilities, pairs_of, slice_of, stream, summed
 from paperloom.llm.text_stats import Spans
 
 #: UTF-8 bytes of text in a block, and bytes that are worked on at once.
@@ -26,6 +27,9 @@ BLOCK_BYTES, CHUNK_BYTES = 8 << 20, 1 << 20
 GRAMS, WORDS = 0, 1
 #: Stands for the end token among the hashes of words.
 END_WORD = -1
+#: Contexts of an order that are split at most: those with more than a share of 1 / MOST_FREQUENT of the text, or of a
+#: quarter of a slice where there are few slices. They are looked for in every SAMPLED-th chunk of each task.
+MOST_FREQUENT, SAMPLED = 1024, 8
 
 
 def _chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, list[bytes], list[bytes]]]:
@@ -71,16 +75,79 @@ def _word_hashes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, per
 
 
+def _training(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The keys of the texts (column 0) that are learned from (column 1), chunk by chunk."""
+    texts, train = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
+    for _, bodies, before in _chunks([t for t, learn in zip(texts, train, strict=True) if learn]):
+        yield keys_of(bodies, before)[0]
+
+
+def _counts_table(kinds: list[np.ndarray], values: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (kinds, values, counts)], names=["kind", "value", "count"])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training counts of byte pairs: rows (pair, count), and pair -1 with the bytes of all texts."""
-    counts, size = np.zeros(1 << 16, np.int64), 0
+    """Rows (kind, value, count): training counts of byte pairs (kind 0), the bytes of all texts (kind 1), and counts of
+    contexts of the orders LOW to ORDER (kind = order) in a part of the chunks, the most frequent ones of the task."""
+    counts, size, chunk = np.zeros(1 << 16, np.int64), 0, 0
+    sampled: dict[int, dict[int, int]] = {j: {} for j in range(LOW, ORDER + 1)}
     for batch in batches:
-        texts, train = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-        size += sum(map(len, texts))
-        for _, bodies, before in _chunks([t for t, learn in zip(texts, train, strict=True) if learn]):
-            counts += pairs_of(keys_of(bodies, before)[0])
-    kinds = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(kinds, -1), pa.int64()), pa.array(np.append(counts[kinds], size), pa.int64())], names=["pair", "count"])
+        size += batch.column(0).cast(pa.binary()).nbytes
+        for keys in _training(batch):
+            counts += pairs_of(keys)
+            chunk += 1
+            if chunk % SAMPLED != 1:
+                continue
+            for j, found in sampled.items():
+                contexts, times = distinct(keys >> (8 * (ORDER + 1 - j)))
+                most = np.argsort(-times, kind="stable")[: 2 * MOST_FREQUENT]
+                for c, n in zip(contexts[most].tolist(), times[most].tolist(), strict=True):
+                    found[c] = found.get(c, 0) + n
+                if len(found) > 16 * MOST_FREQUENT:
+                    sampled[j] = dict(sorted(found.items(), key=lambda x: -x[1])[: 8 * MOST_FREQUENT])
+    pairs = np.flatnonzero(counts)
+    kinds, values, sums = [np.zeros(pairs.size), np.ones(1)], [pairs, np.zeros(1)], [counts[pairs], np.array([size])]
+    for j, found in sampled.items():
+        most = sorted(found.items(), key=lambda x: -x[1])[: 2 * MOST_FREQUENT]
+        kinds.append(np.full(len(most), j))
+        values.append(np.array([c for c, _ in most], np.int64))
+        sums.append(np.array([n for _, n in most], np.int64))
+    yield _counts_table(kinds, values, sums)
+
+
+def _frequent(found: dict[int, tuple[np.ndarray, np.ndarray]], parts: int) -> Frequent:
+    """The contexts to split: of each order those with more than their share of the sampled positions."""
+    if parts == 1:
+        return Frequent()
+    out = {}
+    for j in range(LOW, ORDER + 1):
+        contexts, counts = found.get(j, (np.zeros(0, np.int64),) * 2)
+        large = counts * min(MOST_FREQUENT, 4 * parts) > found[LOW][1].sum() if LOW in found else counts > 0
+        most = np.argsort(-counts[large], kind="stable")[:MOST_FREQUENT]
+        out[j] = contexts[large][most]
+    return Frequent(out)
+
+
+def _followed(batches: Iterator[pa.RecordBatch], frequent: Frequent) -> Iterator[pa.RecordBatch]:
+    """Rows (kind, value, count): how often a byte follows a frequent context; value is 256 times its number plus the byte."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for keys in _training(batch):
+            for j, counts in frequent.counts(keys).items():
+                sums[j] = sums[j] + counts if j in sums else counts
+    for j, counts in sums.items():
+        some = np.flatnonzero(counts)
+        yield _counts_table([np.full(some.size, j)], [some], [counts[some]])
+
+
+def _summed_up(rows: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(kind, value, count) rows added up by Spark, as arrays (value, count) for each kind; of contexts the
+    ``most`` largest counts of each kind."""
+    summed_rows = rows.groupBy("kind", "value").agg(F.sum("count").alias("count"))
+    order = Window.partitionBy("kind").orderBy(F.desc("count"), "value")
+    table = summed_rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= F.when(F.col("kind") < LOW, 1 << 16).otherwise(most)).drop("_n").toArrow()
+    kinds, values, counts = (table.column(c).to_numpy() for c in ("kind", "value", "count"))
+    return {int(k): (values[kinds == k], counts[kinds == k]) for k in np.unique(kinds)}
 
 
 def _packed(rows: list[tuple]) -> pa.Table:
@@ -97,19 +164,24 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
     base_score is their add-half unigram log10 probability and score the byte model's log10 probability of the words
     with single blanks and the end, so both are about the same thing. Null texts count as empty (one token, the end),
     a null condition as held out, rows that repeat count and score as rows, other columns are ignored; an empty table
-    gives an empty result, and without training rows every byte has the probability 1/256.
+    gives an empty result, and without training rows every byte has the probability 1/256. Null ids are ids like others.
+    Rows that repeat both id and text fall into one block.
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.expr(held_out), F.lit(True)).alias("_out"), text_or_empty(F.col(text_col)).alias("_text"))
-    # At most 65,537 rows, whatever the corpus.
-    counted = source.select("_text", ~F.col("_out")).mapInArrow(_pairs, "pair long, count long").groupBy("pair").agg(F.sum("count").alias("count")).collect()
-    pairs, size = np.zeros((256, 256), np.int64), 0
-    for pair, count in counted:
-        if pair < 0:
-            size = count
-        else:
-            pairs[pair >> 8, pair & 255] = count
-    parts = max(1, math.ceil(size / block_bytes))
+    counted = source.select("_text", ~F.col("_out"))
+    # At most 65,537 rows and MOST_FREQUENT for each order, whatever the corpus.
+    found = _summed_up(counted.mapInArrow(_pairs, "kind long, value long, count long"), MOST_FREQUENT)
+    pairs = np.zeros(1 << 16, np.int64)
+    pairs[found[0][0] if 0 in found else []] = found[0][1] if 0 in found else []
+    pairs = pairs.reshape(256, 256)
+    parts = max(1, math.ceil((found[1][1].sum() if 1 in found else 0) / block_bytes))
+    frequent = _frequent(found, parts)
+    followed = {}
+    if frequent.contexts[LOW].size:
+        # At most MOST_FREQUENT * 256 rows for each order.
+        for j, (value, count) in _summed_up(counted.mapInArrow(lambda batches: _followed(batches, frequent), "kind long, value long, count long"), MOST_FREQUENT << 8).items():
+            followed[j] = np.bincount(value, count, frequent.contexts[j].size << 8).astype(np.int64)
     blocks = source.withColumn("block", F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)))
 
     def requests(key: tuple, table: pa.Table) -> pa.Table:
@@ -127,7 +199,7 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
         rows = []
         for kind, arrays in found.items():
             keys, counts = summed(np.concatenate([a for a, _ in arrays]), np.concatenate([c for _, c in arrays]))
-            part = slice_of(keys, parts) if kind == GRAMS else keys % parts
+            part = slice_of(keys, parts, frequent) if kind == GRAMS else keys % parts
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1))
             keys, counts = keys[order], counts[order]
@@ -142,7 +214,7 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
         keys = [np.frombuffer(x, np.int64) for x in table.column("keys").to_pylist()]
         counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist()]
         all_keys, sums = summed(np.concatenate(keys), np.concatenate(counts))
-        values = log10_probabilities(all_keys, sums, pairs) if kind == GRAMS else sums.astype(float)
+        values = log10_probabilities(all_keys, sums, pairs, frequent, followed) if kind == GRAMS else sums.astype(float)
         back = [values[np.searchsorted(all_keys, k)].astype(np.float32 if kind == GRAMS else np.float64).tobytes() for k in keys]
         n = table.num_rows
         totals = (int(sums.sum()), int((sums > 0).sum())) if kind == WORDS else (0, 0)

@@ -8,11 +8,12 @@ then read backwards from the end of the table. Work is linear in the text and ne
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,9 +162,6 @@ class PrefixTable:
             out += [self.byte_ids[b] for b in c.encode()]
         return out + (self._known(known) if known else [])
 
-    def decode_unit(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace")
-
     def units(self, text: str) -> list[str]:
         """Parts of a text that encode independently: blanks and the run of related characters behind them."""
         return self.unit.findall(" " + text.replace(SPACE, " ")) if text else []
@@ -172,50 +170,88 @@ class PrefixTable:
         return [i for unit in self.units(text) for i in self.encode_unit(unit)]
 
     def decode(self, ids: list[int]) -> str:
-        return self.decode_unit(ids)[1:]
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace")[1:]
 
 
 class _Remembered(dict):
-    """unit -> its decimal ids joined by commas; ``plain`` has its decoded text."""
+    """unit -> its ids as little-endian 32-bit numbers. Holds the units met since ``MOST_UNITS`` ago, and those met before
+    that are looked up among the older ones first."""
 
     def __init__(self, table: PrefixTable):
         super().__init__()
-        self.table, self.plain = table, {}
+        self.table, self.older = table, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = np.array(self.table.encode_unit(unit), "<i4").tobytes()
+        if len(unit) <= LONGEST_UNIT:
+            self[unit] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > MOST_UNITS:
+            self.older = dict(self)
+            self.clear()
 
-    def __missing__(self, unit: str) -> str:
-        ids = self.table.encode_unit(unit)
-        text = ",".join(map(str, ids))
-        self[unit] = text
-        self.plain[unit] = self.table.decode_unit(ids)
-        return text
 
+def _columns(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
 
-def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, ids_sha256, decoded_sha256, of the whole text.
 
-    ids_sha256 is over the decimal ids joined by commas, decoded_sha256 over the text that decoding gives. Null and
-    empty texts have no ids. Rows that repeat give equal rows, other columns are ignored, an empty table gives an empty
-    result. A task keeps at most MOST_UNITS short units' encodings, whatever the size of its input.
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id and ids (array<int>) of the whole text.
+
+    Null and empty texts have no ids, null ids are kept, texts may have any length. Rows that repeat give equal rows,
+    other columns are ignored, an empty table gives an empty result. A task remembers at most about twice MOST_UNITS short
+    units' encodings, whatever the size of its input.
     """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Remembered(PrefixTable(model_path))
         for batch in batches:
-            rows = []
+            ends, parts = [0], []
             for text in batch.column(1).to_pylist():
-                units = known.table.units(text)
-                ids = ",".join(map(known.__getitem__, units))
-                decoded = "".join(map(known.plain.__getitem__, units))[1:]
-                rows.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-                if len(known) > MOST_UNITS:
-                    known.clear()
-                    known.plain.clear()
-                elif len(text) > 10_000:
-                    for unit in {u for u in units if len(u) > LONGEST_UNIT}:
-                        del known[unit], known.plain[unit]
-            n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    source = docs.select(id_col, text_or_empty(F.col(text_col)).alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                parts.append(b"".join(map(known.__getitem__, known.table.units(text))))
+                ends.append(ends[-1] + len(parts[-1]) // 4)
+                known.age()
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["_id", "ids"])
+
+    source = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
+    return source.mapInArrow(run, f"{_columns(source.select('_id'))}ids array<int>").withColumnRenamed("_id", id_col)
+
+
+def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
+    """``encoded`` with the text of its ids in a column ``to``, which replaces one of that name.
+
+    Null ids and no ids are the empty text; bytes that make no character become U+FFFD; an id outside the model is an error.
+    """
+    kept = [c for c in encoded.columns if c != to]
+    place = kept.index(ids_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = PrefixTable(model_path)
+        pieces = pa.array([table.bytes_of.get(i) for i in range(max(table.bytes_of) + 1)], pa.binary())
+        for batch in batches:
+            column = batch.column(place)
+            ids = column.flatten()
+            found = pieces.take(ids)
+            if found.null_count:
+                raise ValueError("ids without a piece")
+            starts = np.frombuffer(found.buffers()[1], np.int32)[found.offset :] if len(found) else np.zeros(1, np.int32)
+            joined = memoryview(found.buffers()[2] or b"") if len(found) else memoryview(b"")
+            edges = np.concatenate(([0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False))))
+            at = starts[edges].tolist()
+            texts = [bytes(joined[a:b]).decode(errors="replace") for a, b in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t[1:] if t.startswith(" ") else t for t in texts], pa.string())], names=[*kept, to])
+
+    return encoded.select(*kept).mapInArrow(run, f"{_columns(encoded.select(*kept))}`{to}` string")
+
+
+def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 of each row's ids and their decoding."""
+    both = decode(encode(docs, model_path, id_col, text_col), model_path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

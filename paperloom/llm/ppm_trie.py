@@ -2,11 +2,15 @@
 
 A context of order five and the byte after it make a 48-bit key, the most recent byte first:
 ``c1 c2 c3 c4 c5 s``. Shorter contexts of the same position are prefixes of it, so keys that agree in c1 and c2 hold
-all counts of the orders 5 to 2 below that pair, and orders 1 and 0 come from a table of 256 x 256 byte pairs.
+all counts of the orders 5 to 2 below that pair, and orders 1 and 0 come from a table of 256 x 256 byte pairs. Below a
+frequent pair the keys are cut by c3 as well, below a frequent c1 c2 c3 by c4, and so on; what has been counted after these
+frequent contexts, a bounded number of them, comes from a table too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 ORDER, LOW = 5, 2
@@ -40,10 +44,51 @@ def pairs_of(keys: np.ndarray) -> np.ndarray:
     return np.bincount(((keys >> 40) << 8) | (keys & 255), minlength=1 << 16)
 
 
-def slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
-    """Which slice holds a key: decided by the two most recent bytes alone."""
-    pair = (keys >> 32).astype(np.uint64)
-    return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % slices
+class Frequent:
+    """Contexts of the orders LOW to ORDER that are too frequent for one slice; those of each order extend those of the one before."""
+
+    def __init__(self, contexts: dict[int, np.ndarray] | None = None):
+        self.contexts: dict[int, np.ndarray] = {}
+        self.steps: dict[int, np.ndarray] = {}  # (number of the context one shorter) x 256 bytes -> number of the context, or -1
+        before = np.zeros(1, np.int64)
+        for j in range(LOW, ORDER + 1):
+            mine = np.unique(np.asarray((contexts or {}).get(j, ()), np.int64))
+            width = 8 * LOW if j == LOW else 8
+            parent = np.minimum(np.searchsorted(before, mine >> width), max(0, before.size - 1))
+            known = before[parent] == mine >> width if before.size else np.zeros(mine.size, bool)
+            mine, parent = mine[known], parent[known]
+            step = np.full(before.size << width, -1, np.int32)
+            step[(parent << width) + (mine & ((1 << width) - 1))] = np.arange(mine.size)
+            self.contexts[j], self.steps[j], before = mine, step, mine
+
+    def walk(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each order: (order, places of the keys whose context of that order is frequent, its number)."""
+        at, node = np.arange(keys.size), np.zeros(keys.size, np.int64)
+        for j in range(LOW, ORDER + 1):
+            width = 8 * LOW if j == LOW else 8
+            if not self.contexts[j].size:
+                return
+            node = self.steps[j][(node << width) + ((keys[at] >> (8 * (ORDER + 1 - j))) & ((1 << width) - 1))].astype(np.int64)
+            at, node = at[node >= 0], node[node >= 0]
+            yield j, at, node
+
+    def depths(self, keys: np.ndarray) -> np.ndarray:
+        """How many leading bytes decide a key's slice: one more than its longest frequent context has, LOW at the least."""
+        out = np.full(keys.size, LOW, np.int64)
+        for j, at, _ in self.walk(keys):
+            out[at] = j + 1
+        return out
+
+    def counts(self, keys: np.ndarray) -> dict[int, np.ndarray]:
+        """How often each byte follows each frequent context: for each order an array (contexts x 256)."""
+        return {j: np.bincount((node << 8) | (keys[at] & 255), minlength=self.contexts[j].size << 8) for j, at, node in self.walk(keys)}
+
+
+def slice_of(keys: np.ndarray, slices: int, frequent: Frequent) -> np.ndarray:
+    """Which slice holds a key: decided by its leading bytes alone, two or as many as ``frequent`` asks for."""
+    depth = frequent.depths(keys)
+    lead = (keys >> (8 * (ORDER + 1 - depth))).astype(np.uint64) + (depth.astype(np.uint64) << np.uint64(48))
+    return ((lead * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % slices
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,10 +108,17 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Level:
     """Counts of one order: of grams (context and byte) and of contexts."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int):
-        seen = counts > 0
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, depth: np.ndarray, frequent: Frequent, followed: dict[int, np.ndarray]):
+        seen = (counts > 0) & (depth <= order)
         self.shift = 8 * (ORDER - order)
-        self.grams, self.gram_counts = summed(self.gram(keys[seen]), counts[seen])
+        grams, sums = self.gram(keys[seen]), counts[seen]
+        if order in followed:  # the slice has only a part of what follows these contexts
+            wanted = np.unique(keys[depth > order] >> (8 + self.shift))
+            number = np.searchsorted(frequent.contexts[order], wanted)
+            table = followed[order].reshape(-1, 256)[number]
+            row, byte = np.nonzero(table)
+            grams, sums = np.concatenate((grams, (wanted[row] << 8) | byte)), np.concatenate((sums, table[row, byte]))
+        self.grams, self.gram_counts = summed(grams, sums)
         contexts = self.grams >> 8
         new = np.flatnonzero(np.concatenate(([True], contexts[1:] != contexts[:-1]))) if contexts.size else np.zeros(0, np.int64)
         self.contexts, self.distinct = contexts[new], np.diff(new, append=contexts.size)
@@ -90,14 +142,15 @@ class _Level:
         self.lower = np.add.reduceat(counts, self.starts) if self.starts.size else self.starts
 
 
-def log10_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+def log10_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, frequent: Frequent, followed: dict[int, np.ndarray]) -> np.ndarray:
     """log10 of the probability of each key's byte after its context. ``keys`` distinct and sorted, with training counts.
 
-    ``pairs[c1, s]`` are the training counts of byte pairs. An escape has the weight of the number of distinct bytes a
+    ``pairs[c1, s]`` are the training counts of byte pairs, ``followed`` those of ``frequent`` contexts. An escape has the weight of the number of distinct bytes a
     context has been followed by; bytes seen in a longer context are excluded from the shorter ones; bytes never seen
     share the rest evenly.
     """
-    levels = {j: _Level(keys, counts, j) for j in range(ORDER, LOW - 1, -1)}
+    depth = frequent.depths(keys)
+    levels = {j: _Level(keys, counts, j, depth, frequent, followed) for j in range(ORDER, LOW - 1, -1)}
     for j in range(ORDER, LOW, -1):
         below = levels[j - 1]
         levels[j].sum_below(below.gram_counts[_Level.find(below.grams, ((levels[j].grams >> 16) << 8) | (levels[j].grams & 255))])

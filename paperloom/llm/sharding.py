@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import text_or_empty
+from paperloom.llm.common import hot_join, text_or_empty, written
 
 #: Bits of the hash: 12 hexadecimal digits of the id's MD5.
 BITS = 48
@@ -19,6 +19,10 @@ BITS = 48
 SHARD_BYTES = 64 << 20
 #: Bits looked at beyond those that even splitting would need; what is still too large then is split bit by bit to BITS.
 SPARE_BITS = 6
+#: Up to so many rows of the directory are broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 250_000
+#: Rows of one hash that alone exceed the limit are numbered in so many parts.
+PARTS = 1024
 
 
 def id_bits(c: Column) -> Column:
@@ -46,48 +50,100 @@ def _leaf_depth(leaves: DataFrame, low: int, high: int, limit: int) -> DataFrame
     return leaves.join(deepest, "_hash", "left").withColumn("_leaf", F.coalesce(F.col("_max") + 1, F.lit(low))).drop("_max")
 
 
-def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_bytes, depth, prefix, page, shard, shard_bytes, shard_docs.
+def directory(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, int]:
+    """(first, second, deep): the depth ``_first`` of every bucket ``_hash`` of ``deep`` leading bits, with its ``_rows``;
+    and of the few buckets that are still too large there, the depth ``_second`` of each full hash ``_h``. The documents
+    are read once; all else works on their sizes."""
+    text = text_or_empty(F.col(text_col))
+    sized = written(
+        docs.select(id_bits(F.col(id_col)).alias("_h"), (F.octet_length(text) + 1).cast("long").alias("_bytes")).groupBy("_h").agg(F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_rows")), "sizes"
+    )
+    total = sized.agg(F.sum("_bytes")).first()[0] or 0
+    deep = min(BITS, max(1, math.ceil(math.log2(max(1, total) / limit)) + SPARE_BITS))
+    buckets = sized.groupBy(_bucket(deep)).agg(F.sum("_bytes").alias("_bytes"), F.sum("_rows").alias("_rows"))
+    first = written(_leaf_depth(buckets, 0, deep, limit).select("_hash", "_rows", F.col("_leaf").alias("_first")), "directory")
+    # Buckets that are too large even at that depth, few as they are, go on to the last bit with their own hashes.
+    rest = sized.withColumn("_hash", _bucket(deep)).join(first.where(F.col("_first") > deep).select("_hash"), "_hash", "left_semi").select(F.col("_h").alias("_hash"), "_bytes", "_rows")
+    second = _leaf_depth(rest, deep, BITS, limit).select(F.col("_hash").alias("_h"), "_rows", F.col("_leaf").alias("_second"))
+    return first, written(second, "deeper"), deep
+
+
+def _bucket(deep: int) -> Column:
+    return F.expr(f"shiftleft(shiftright(_h, {BITS - deep}), {BITS - deep})").alias("_hash")
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, size: str, spread: str) -> DataFrame:
+    """Rows with the columns of their key's row in ``table``: broadcast up to BROADCAST_ROWS of them, else dealt."""
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table.drop(size)), key)
+    return hot_join(rows, table, key, size, spread).drop(size)
+
+
+def with_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with n_bytes, depth, prefix, page and shard.
 
     shard is ``<bits>`` of the directory entry (``-`` for the undivided one), with ``.<page>`` where rows of one hash
-    alone exceed the limit: those cannot be split by bits, so equal rows fill pages of as many rows as fit. A single
+    alone exceed the limit: those cannot be split by bits, so rows of one length fill pages of as many as fit. A single
     text above the limit has a page of its own, the only kind above the limit. Null ids hash as the empty string, null
-    texts count as empty, an empty table gives an empty result; other columns are ignored.
+    texts count as empty, rows that repeat are rows, an empty table gives an empty result; columns of the input that
+    clash with the new ones are replaced.
     """
-    sized = (
-        docs.select(F.col(id_col).alias("_id"), id_bits(F.col(id_col)).alias("_h"), (F.octet_length(text_or_empty(F.col(text_col))) + 1).cast("long").alias("n_bytes"))
-        .groupBy("_h", "_id", "n_bytes")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = sized.agg(F.sum(F.col("n_bytes") * F.col("_n"))).first()[0] or 0
-    deep = min(BITS, max(1, math.ceil(math.log2(max(1, total) / limit)) + SPARE_BITS))
-    sized = sized.withColumn("_hash", F.expr(f"shiftleft(shiftright(_h, {BITS - deep}), {BITS - deep})"))
-    buckets = sized.groupBy("_hash").agg(F.sum(F.col("n_bytes") * F.col("_n")).alias("_bytes"))
-    first = _leaf_depth(buckets, 0, deep, limit).select("_hash", F.col("_leaf").alias("_first"))
-    placed = sized.join(first, "_hash")
-    # Buckets that are too large even at that depth, few as they are, go on to the last bit with their own hashes.
-    rest = placed.where(F.col("_first") > deep).groupBy(F.col("_h").alias("_hash")).agg(F.sum(F.col("n_bytes") * F.col("_n")).alias("_bytes"))
-    second = _leaf_depth(rest, deep, BITS, limit).select(F.col("_hash").alias("_h"), F.col("_leaf").alias("_second"))
-    placed = placed.join(second, "_h", "left").withColumn("_leaf", F.coalesce("_second", "_first"))
-    full = F.col("_leaf") > BITS
-    fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("n_bytes")))
-    rows = (
+    first, second, deep = directory(docs, limit, id_col, text_col)
+    new = ("n_bytes", "depth", "prefix", "page", "shard")
+    names = docs.columns
+    docs = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    text = text_or_empty(F.col(text_col))
+    rows = docs.withColumns({"_h": id_bits(F.col(id_col)), "_size": (F.octet_length(text) + 1).cast("long"), "_part": F.pmod(F.xxhash64(text), F.lit(PARTS)).cast("int")}).withColumn("_hash", _bucket(deep))
+    placed = _looked_up(rows, first, "_hash", "_rows", "_h")
+    deeper, paged = second.agg(F.count(F.lit(1)), F.count_if(F.col("_second") > BITS)).first()
+    if deeper:
+        split = _looked_up(placed.where(F.col("_first") > deep), second, "_h", "_rows", "_part")
+        placed = placed.where(F.col("_first") <= deep).withColumn("_second", F.lit(None).cast("int")).unionByName(split)
+    else:
+        placed = placed.withColumn("_second", F.lit(None).cast("int"))
+    placed = placed.withColumn("_leaf", F.coalesce("_second", "_first"))
+    page = F.lit(None).cast("string")
+    if paged:
+        alone = placed.where(F.col("_leaf") > BITS)
+        # a row's rank is its rank in its part of the rows of its length plus the sizes of the parts before
+        before = Window.partitionBy("_h", "_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        sums = alone.groupBy("_h", "_size", "_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+        within = Window.partitionBy("_h", "_size", "_part").orderBy(F.lit(0))
+        ranked = alone.withColumn("_row", F.row_number().over(within) - 1).join(sums, ["_h", "_size", "_part"])
+        fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("_size")))
+        page = F.concat_ws("-", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("_size").cast("string"), F.floor((F.col("_before") + F.col("_row")) / fits).cast("string"))
+        ranked = ranked.withColumn("page", page).drop("_before", "_row")
+        placed = placed.where(F.col("_leaf") <= BITS).withColumn("page", F.lit(None).cast("string")).unionByName(ranked)
+    else:
+        placed = placed.withColumn("page", page)
+    bits = F.when(F.col("depth") == 0, F.lit("-")).otherwise(F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0")))
+    return (
         placed.withColumn("depth", F.least("_leaf", F.lit(BITS)).cast("int"))
-        .withColumn("_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-        .withColumn("prefix", _bits("depth", "_h"))
-        .withColumn("page", F.when(full, F.concat_ws("-", F.coalesce(F.col("_id").cast("string"), F.lit("null")), F.col("n_bytes").cast("string"), F.floor(F.col("_row") / fits).cast("string"))))
-        .withColumn("_bits", F.when(F.col("depth") == 0, F.lit("-")).otherwise(F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))))
-        .withColumn("shard", F.concat_ws(".", "_bits", "page"))
-        .select(F.col("_id").alias(id_col), "n_bytes", "depth", "prefix", "page", "shard")
+        .withColumns({"n_bytes": F.col("_size"), "prefix": _bits("depth", "_h")})
+        .withColumn("shard", F.concat_ws(".", bits, "page"))
+        .select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(names) if c not in new), *new)
     )
+
+
+def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_bytes, depth, prefix, page, shard (as in ``with_shards``), shard_bytes, shard_docs."""
+    rows = written(with_shards(docs.select(id_col, text_col), limit, id_col, text_col).drop(text_col), "shards")
     sizes = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
     return rows.join(sizes, "shard").select(id_col, "n_bytes", "depth", "prefix", "page", "shard", "shard_bytes", "shard_docs")
 
 
-ORACLE = f"""
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Write the documents as Parquet, one folder ``shard=<shard>`` and one file per shard."""
+    with_shards(docs, limit, id_col, text_col).repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def oracle(limit: int = SHARD_BYTES) -> str:
+    """The same by summing the buckets of all depths, for tables in which no text alone exceeds the limit."""
+    return f"""
 with d as (select doc_id, strlen(coalesce(text, '')) + 1 as n_bytes, ('0x' || substr(md5(cast(doc_id as varchar)), 1, 12))::bigint as h from documents),
 levels as (select depth, h >> cast({BITS} - depth as integer) as bucket, sum(n_bytes) as bytes
- from d, (select unnest(generate_series(0, {BITS})) as depth) group by 1, 2 having sum(n_bytes) > {SHARD_BYTES}),
+ from d, (select unnest(generate_series(0, {BITS})) as depth) group by 1, 2 having sum(n_bytes) > {limit}),
 leaf as (select d.doc_id, d.n_bytes, d.h, coalesce(max(l.depth) + 1, 0) as depth
  from d left join levels l on l.bucket = d.h >> cast({BITS} - l.depth as integer) group by 1, 2, 3),
 named as (select doc_id, n_bytes, cast(depth as integer) as depth, h >> cast({BITS} - depth as integer) as prefix, cast(null as varchar) as page,

@@ -9,18 +9,21 @@ lead to it, repeats nowhere. The suffixes left over, less than a window before t
 name: sorted by distance and by the hash of their first ``length`` bytes, whereupon neighbours that look equal are compared byte by byte.
 
 Places of one name whose surroundings all have the same two 64-bit hashes (of unlike bases, 128 bits in all) are taken
-for equal, and so are the suffixes of a name with more than MOST_SPANS different surroundings.
+for equal. The suffixes of a name with more than MOST_SPANS different surroundings are met by two such hashes too, first
+by stretches of neighbours, so that those which nothing else resembles leave early.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +36,7 @@ LENGTH = 400
 CHUNK_BYTES = 1 << 20
 #: Texts are sampled in pieces of so many bytes.
 PIECE_BYTES = 1 << 20
-#: Names with more different surroundings than this are compared by rows of window hashes, not in one group.
+#: Names with more different surroundings than this are compared by rows of hashes, not in one group.
 MOST_SPANS = 2048
 
 
@@ -55,6 +58,11 @@ class Cover:
     def window(self) -> int:
         return self.length - 9 * self.block + 1
 
+    @property
+    def stretch(self) -> int:
+        """So many neighbouring suffixes are looked at together, by the bytes that all of them hold, before each is."""
+        return max(1, math.isqrt(self.window))
+
 
 def _suffixes(raw: np.ndarray, spans: Spans, starts: np.ndarray, cover: Cover) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For runs of neighbouring ``starts`` that lead to the same sample: (sample, first start, last start)."""
@@ -211,17 +219,45 @@ def _compared(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([*(found.column(c).take(some).combine_chunks() for c in PLACE), pa.array(list(runs.values()), RUNS_TYPE)], names=[*PLACE, "runs"])
 
 
-def _exploded(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(name, span, check, copies, back, ahead, bytes) to a row (name, span, check, copies, offset, value, other) for every suffix."""
+def _stretches(batches: Iterator[pa.RecordBatch], cover: Cover) -> Iterator[pa.RecordBatch]:
+    """(name, span, check, copies, back, ahead, bytes) to a row (name, span, check, copies, stretch, value, other) for every
+    stretch of suffixes: number k has those k * stretch and more bytes before the sample, and hashes of what they all hold."""
+    for batch in batches:
+        back, ahead = (batch.column(c).to_numpy().astype(np.int64) for c in ("back", "ahead"))
+        texts = batch.column("bytes").to_pylist()
+        sizes = np.array([len(t) for t in texts], np.int64)
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        per = back // cover.stretch - ahead // cover.stretch + 1
+        rows = np.repeat(np.arange(len(texts)), per)
+        number = (ahead // cover.stretch)[rows] + np.arange(rows.size) - (np.cumsum(per) - per)[rows]
+        start = (np.cumsum(sizes) - sizes + back)[rows] - number * cover.stretch
+        which = pa.array(rows)
+        hashes = (Spans(raw, *base).hash(start, start + cover.length - cover.stretch + 1).astype(np.int64) for base in ((), (OTHER_BASE,)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(which) for c in (*PLACE, "copies")), pa.array(number.astype(np.int32)), *map(pa.array, hashes)], names=[*PLACE, "copies", "stretch", "value", "other"])
+
+
+def _exploded(batches: Iterator[pa.RecordBatch], cover: Cover) -> Iterator[pa.RecordBatch]:
+    """(name, span, check, copies, back, ahead, bytes, stretches) to a row (name, span, check, copies, offset, value, other)
+    for every suffix in the stretches."""
     for batch in batches:
-        suffixes = _Suffixes(batch, length)
-        which = pa.array(suffixes.rows)
+        suffixes = _Suffixes(batch, cover.length)
+        wanted = np.zeros((batch.num_rows, cover.window // cover.stretch + 2), bool)
+        lists = batch.column("stretches")
+        wanted[np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()] = True
+        some = np.flatnonzero(wanted[suffixes.rows, suffixes.offsets // cover.stretch])
+        which = pa.array(suffixes.rows[some])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(which) for c in (*PLACE, "copies")), pa.array(suffixes.offsets.astype(np.int32)), *(pa.array(suffixes.hashes(*base).astype(np.int64)) for base in ((), (OTHER_BASE,)))],
+            [*(batch.column(c).take(which) for c in (*PLACE, "copies")), pa.array(suffixes.offsets[some].astype(np.int32)), *(pa.array(suffixes.hashes(*base)[some].astype(np.int64)) for base in ((), (OTHER_BASE,)))],
             names=[*PLACE, "copies", "offset", "value", "other"],
         )
 
 
+def _met_again(rows: DataFrame) -> DataFrame:
+    """The rows (name, span, check, copies, value, other, more) whose value and other occur at two places or more."""
+    values = rows.groupBy("value", "other").agg(F.sum("copies").alias("_times"), F.count(F.lit(1)).alias("_rows")).where("_times > 1").withColumnRenamed("other", "_other")
+    return hot_join(rows, values, "value", "_rows", "span").where("other = _other").drop("_other", "_times", "_rows")
+
+
 def _bytes_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """(text, wanted) to the wanted pieces' bytes."""
     names = [*PLACE, "copies", "spans", "back", "ahead"]
@@ -267,10 +303,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         one_each.select("text", "wanted").mapInArrow(lambda batches: _bytes_of(batches, length), f"{place}, copies long, spans long, back short, ahead short, bytes binary").dropDuplicates([*PLACE]), "pieces"
     )
     few = pieces.where(F.col("spans") <= most_spans).drop("spans").repartition("name").sortWithinPartitions("name").mapInArrow(lambda batches: _compared(batches, length), f"{place}, runs {RUNS}")
-    many = pieces.where(F.col("spans") > most_spans).drop("spans").mapInArrow(lambda batches: _exploded(batches, length), f"{place}, copies long, offset int, value long, other long")
-    values = many.groupBy("value", "other").agg(F.sum("copies").alias("times"), F.count(F.lit(1)).alias("rows")).where("times > 1").withColumnRenamed("other", "_other")
+    many = pieces.where(F.col("spans") > most_spans).drop("spans")
+    stretches = _met_again(many.mapInArrow(lambda batches: _stretches(batches, cover), f"{place}, copies long, stretch int, value long, other long"))
+    again = many.join(stretches.groupBy(*PLACE).agg(F.collect_list("stretch").alias("stretches")), [*PLACE]).select(*many.columns, "stretches")
+    suffixes = _met_again(again.mapInArrow(lambda batches: _exploded(batches, cover), f"{place}, copies long, offset int, value long, other long"))
     single = F.struct((-F.col("offset")).alias("a"), (F.lit(length) - F.col("offset")).alias("b"))
-    hot = hot_join(many, values, "value", "rows", "span").where("other = _other").groupBy(*PLACE).agg(F.collect_list(single).alias("runs"))
+    hot = suffixes.groupBy(*PLACE).agg(F.collect_list(single).alias("runs"))
     flagged = few.unionByName(hot).withColumn("all", F.xxhash64(*PLACE)).join(kinds.select(*PLACE, "copies"), [*PLACE]).select("all", *PLACE, "runs", "copies")
     placed = mixed_.withColumn("all", F.xxhash64(*PLACE)).withColumnsRenamed({c: f"_{c}" for c in PLACE})
     partly = hot_join(placed, flagged, "all", "copies", "_id").where(" and ".join(f"{c} = _{c}" for c in PLACE)).select(

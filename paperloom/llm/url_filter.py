@@ -18,8 +18,8 @@ from paperloom.llm.url_seed import seed_urls
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 DIMENSIONS, GRAMS = 1 << 16, (3, 4, 5)
 MOST_SEEDS, ROUNDS, RATE, L2 = 100_000, 300, 2.0, 1e-4
-#: The labelled table has as many blocked as allowed URLs, the web has far fewer: only sure cases are blocked.
-THRESHOLD = 0.6
+#: Set on other draws of the seed's rule (``seed_urls(seed=2)``): the smallest one that blocks at most one allowed URL in a thousand.
+THRESHOLD = 0.33
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -91,7 +91,8 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, table=None,
 
     verdict is the longest fitting rule's, else ``block`` where the model's probability reaches the threshold. p_block
     is computed for every URL. Null URLs and those without ``://`` have empty host and path and are judged by the model
-    as such. Repeated rows are judged alike; columns of the input that clash with the new ones are replaced.
+    as such. URLs may have any length. Repeated rows are judged alike; columns of the input that clash with the new ones
+    are replaced; an empty table gives an empty result.
     """
     weights = train(table)  # DIMENSIONS + 1 numbers
 

@@ -28,7 +28,7 @@ def test_piece_codec_equals_the_library(spark):
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    rows = {r.doc_id: r for r in piece_codec.encode_and_decode(table(spark), path).collect()}
+    rows = {r.doc_id: r for r in piece_codec.digests(table(spark), path).collect()}
     assert len(rows) == len(TEXTS)
     for k, text in enumerate(TEXTS):
         ids = model.encode(text or "")
@@ -37,6 +37,23 @@ def test_piece_codec_equals_the_library(spark):
         assert rows[k].decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest(), text
 
 
+def test_ids_come_out_and_decode(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    df = table(spark).withColumnRenamed("piece", "ids")
+    encoded = piece_codec.encode(df, path)
+    assert encoded.columns == ["doc_id", "ids"]
+    rows = {r.doc_id: r for r in piece_codec.decode(encoded, path).collect()}
+    for k, text in enumerate(TEXTS):
+        assert rows[k].ids == model.encode(text or "") and rows[k].decoded == model.decode(rows[k].ids), text
+    broken = [model.encode("é中"), None, [], model.encode("a"), [3 + 0xE4, 3 + 0xB8], model.encode("b c")[1:]]
+    df = spark.createDataFrame([(k, x, "old") for k, x in enumerate(broken)], "k int, ids array<int>, decoded string").coalesce(1)
+    got = [r.decoded for r in piece_codec.decode(df, path).orderBy("k").collect()]
+    assert got[:4] == ["é中", "", "", "a"] and "\ufffd" in got[4] and got[5] == model.decode(broken[5])
+
+
 def test_piece_codec_on_words_without_end(spark):
     import sentencepiece
 
@@ -201,7 +218,7 @@ def test_long_streams_come_in_pieces():
 
 def test_empty_tables(spark):
     none = table(spark, [])
-    assert piece_codec.encode_and_decode(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    assert piece_codec.digests(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
     assert packing.pack_documents(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert lm_score.score_documents(none, "doc_id % 2 = 0").count() == 0
     assert len(lm_score.score_documents(table(spark, ["a", None]), "true").collect()) == 2
