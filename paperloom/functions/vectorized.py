@@ -21,9 +21,24 @@ GLOSS = re.compile(r"(?<=[가-힣])( ?)\(([^()\n]{1,80})\)")
 CITATION = re.compile(r"(?:19|20)\d{2}[a-z]?|et al", re.IGNORECASE)
 
 
+#: Characters that are compared at a place of the grid before a period is tried in full.
+PROBE = 16
+
+
+def _holds(codes: np.ndarray, newline: np.ndarray, period: int, need: int) -> bool:
+    """Does the text equal itself, moved by the period, over ``need`` characters in a row?"""
+    broken = np.flatnonzero((codes[period:] != codes[:-period]) | newline[period:])
+    if not broken.size:
+        return True
+    return bool(broken[0] >= need or codes.size - period - broken[-1] - 1 >= need or (np.diff(broken) > need).any())
+
+
 def may_run_away(text: str) -> bool:
-    """Is there a period of LEAST_UNIT to MOST_UNIT that holds over REPEATS units? One comparison of the text with itself
-    per period; newline-free stretches only."""
+    """Is there a period of LEAST_UNIT to MOST_UNIT that holds over REPEATS units, in a newline-free stretch?
+
+    A stretch of that length covers half of it from some place of a grid of half its length on, so a few characters
+    behind each place of the grid tell whether the period is worth a comparison of the whole text with itself.
+    """
     if len(text) < LEAST_UNIT * REPEATS:
         return False
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -32,8 +47,13 @@ def may_run_away(text: str) -> bool:
         need = period * (REPEATS - 1)
         if codes.size < need + period:
             break
-        broken = np.flatnonzero((codes[period:] != codes[:-period]) | newline[period:])
-        if not broken.size or broken[0] >= need or codes.size - period - broken[-1] - 1 >= need or (np.diff(broken) > need).any():
+        step = need // 2
+        at = np.arange(0, codes.size - period - min(PROBE, step) + 1, step)
+        for k in range(min(PROBE, step)):
+            at = at[codes[at + k] == codes[at + k + period]]
+            if not at.size:
+                break
+        if at.size and _holds(codes, newline, period, need):
             return True
     return False
 
@@ -58,17 +78,16 @@ def sanitize_math(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else MATH_SPAN.sub(lambda m: _sound(m[0]), t))
 
 
-def batch_numbers(lengths: list[int], alone: list[bool], most: int) -> list[int]:
-    """Batch of each paragraph: filled in order while the sum of lengths allows; one that stands alone closes the batch."""
-    out, batch, used = [], -1, None
+def batch_places(lengths: list[int], alone: list[bool], most: int) -> list[int]:
+    """Batch of each paragraph times 2**32 plus its place there: batches are filled in order while the sum of lengths
+    allows; a paragraph that stands alone closes the batch."""
+    out, batch, used, place = [], -1, None, 0
     for length, single in zip(lengths, alone, strict=True):
-        if single:
-            batch, used = batch + 1, None
-        elif used is None or used + length > most:
-            batch, used = batch + 1, length
+        if single or used is None or used + length > most:
+            batch, used, place = batch + 1, None if single else length, 0
         else:
-            used += length
-        out.append(batch)
+            used, place = used + length, place + 1
+        out.append((batch << 32) | place)
     return out
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.spans import gaps
 from paperloom.functions.strings import CATEGORIES, category_dir, page_stem, page_url, strip, truncate_title
+from paperloom.operators.latest import last_rows
 
 #: Image endings and the form of a reference. Fixed values.
 IMAGE_ENDINGS = (".jpeg", ".jpg", ".png", ".gif", ".webp", ".svg")
@@ -68,14 +69,10 @@ def page_path(day: Column, category: Column, id_: Column, title: Column) -> Colu
 
 
 def upsert_archive(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Inside a category's folder only the newest edition of an id stays (translated, then edition).
-
-    An aggregate over (folder, id): pages carry long bodies, so a window would sort them all.
-    """
+    """Inside a category's folder only the newest edition of an id stays (translated, then edition)."""
     both = existing.unionByName(new)
-    whole = F.struct(*both.columns)
-    best = both.groupBy(category_dir(F.col("category")).alias("category_dir"), "arxiv_id").agg(F.max_by(whole, F.struct("translated", "edition")).alias("x"))
-    return best.select("category_dir", *(F.col(f"x.{c}").alias(c) for c in both.columns))
+    placed = both.withColumn("category_dir", category_dir(F.col("category")))
+    return last_rows(placed, ["category_dir", "arxiv_id"], ["translated", "edition"]).select("category_dir", *(c for c in both.columns if c != "category_dir"))
 
 
 def stamp(df: DataFrame, day: Column) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.functions.parallel import is_table
-from paperloom.functions.spans import count_of
+from paperloom.functions.spans import rewrite
 from paperloom.functions.strings import strip
-from paperloom.functions.vectorized import batch_numbers
+from paperloom.functions.vectorized import batch_places
 
 #: The mark between the items of a batch, and the characters of a batch. Fixed values.
 DELIMITER, MOST_CHARS = "<<<P>>>", 4000
@@ -23,28 +23,23 @@ def paragraphs(c: Column) -> Column:
     return F.filter(F.split(c, "\n\n", -1), lambda p: p.rlike(r"(?U)\S"))
 
 
-def merge_fences(parts: Column) -> Column:
-    """Paragraphs of a code fence that holds empty lines become one again; an unclosed fence takes all that follows.
+#: A fence up to its end or, where it is not closed, to the end of the text; and what joins paragraphs inside it. Fixed values.
+OPEN_FENCE, INNER_BREAK = r"(?s)```.*?(?:```|\z)", "\0"
 
-    One fold over the row's own array: the paragraphs so far, the one being held, and whether a fence is open.
-    """
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("held"), F.lit(False).alias("open"))
 
-    def step(acc: Column, p: Column) -> Column:
-        text = F.when(acc["held"].isNull(), p).otherwise(F.concat(acc["held"], F.lit("\n\n"), p))
-        open_ = acc["open"] != (count_of(p, "```") % 2 == 1)
-        return F.struct(
-            F.when(open_, acc["done"]).otherwise(F.concat(acc["done"], F.array(text))).alias("done"),
-            F.when(open_, text).alias("held"),
-            open_.alias("open"),
-        )
+def fenced_paragraphs(c: Column) -> Column:
+    """Paragraphs, those of a code fence that holds empty lines as one; an unclosed fence takes all that follows.
 
-    return F.aggregate(parts, start, step, lambda acc: F.when(acc["held"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"]))))
+    Breaks inside fences are hidden while the text is split, so the work is linear in the text.
+    """
+    bare = lambda m: F.regexp_replace(F.regexp_replace(m, r"(?U)\n\n\s*\z", ""), r"(?U)\n\n(?:\s*?\n\n)*+", INNER_BREAK)
+    return F.transform(paragraphs(rewrite(c, OPEN_FENCE, lambda gap: gap, bare)), lambda p: F.replace(p, F.lit(INNER_BREAK), F.lit("\n\n")))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
+@F.pandas_udf(T.ArrayType(T.LongType()))
 def _batches(lengths: pd.Series, alone: pd.Series, most: pd.Series) -> pd.Series:
-    return pd.Series([batch_numbers(n, a, m) for n, a, m in zip(lengths, alone, most, strict=True)])
+    """Batch and place in the batch of each paragraph, as one number."""
+    return pd.Series([batch_places(n, a, m) for n, a, m in zip(lengths, alone, most, strict=True)])
 
 
 def chunk(df: DataFrame, most: int = MOST_CHARS) -> DataFrame:
@@ -53,12 +48,12 @@ def chunk(df: DataFrame, most: int = MOST_CHARS) -> DataFrame:
     Only lengths and flags cross to Python; the texts stay where they are. A paragraph is never cut, a table is a batch
     of its own.
     """
-    parts = df.select("doc_id", merge_fences(paragraphs(F.col("md"))).alias("parts")).withColumn("alone", F.transform("parts", is_table))
+    parts = df.select("doc_id", fenced_paragraphs(F.col("md")).alias("parts")).withColumn("alone", F.transform("parts", is_table))
     lengths = F.transform("parts", lambda p: F.length(p) + len(DELIMITER))
     numbered = parts.withColumn("batch", _batches(lengths, "alone", F.lit(most)))
-    items = numbered.select("doc_id", "batch", F.posexplode(F.arrays_zip("parts", "alone", "batch")).alias("pos", "x"))
-    first = F.array_position("batch", F.col("x.batch")) - 1
-    return items.select("doc_id", F.col("x.batch").alias("batch_index"), (F.col("pos") - first).cast("int").alias("item_index"), F.col("x.parts").alias("text"), F.col("x.alone").alias("is_table"))
+    items = numbered.select("doc_id", F.explode(F.arrays_zip("parts", "alone", "batch")).alias("x"))
+    batch, place = F.shiftright("x.batch", 32).cast("int"), F.col("x.batch").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return items.select("doc_id", batch.alias("batch_index"), place.alias("item_index"), F.col("x.parts").alias("text"), F.col("x.alone").alias("is_table"))
 
 
 def batch_stats(items: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from paperloom.functions.strings import strip
 
 #: Bad responses after which an item is given up, and attempts in all. Fixed values.
 BAD_ATTEMPTS, MOST_ATTEMPTS = 5, 12
+#: A line that opens a fence, up to the line that closes it or the end. Fixed value.
+FENCE_LINES = r"(?Umsd)^[\s&&[^\n]]*```(?:.*?\n[\s&&[^\n]]*```[^\n]*$|.*\z)"
 
 
 def batch_verdict(items: DataFrame) -> DataFrame:
@@ -61,17 +63,10 @@ def _is_term(term: Column) -> Column:
 def gloss_stats(df: DataFrame) -> DataFrame:
     """(doc_id, md) to (doc_id, term, occurrences, removed) of the terms whose gloss repeats.
 
-    Fences are told by the parity of fence lines so far, counted inside the row's own array of lines.
+    Fences, from a line that opens one to the line that closes it or the end of the text, are cut out first.
     """
-    lines = F.split("md", "\n", -1)
-    start = F.struct(F.lit(False).alias("fenced"), F.array().cast("array<string>").alias("kept"))
-
-    def step(acc: Column, line: Column) -> Column:
-        fence = line.rlike(r"(?U)^\s*```")
-        use = ~fence & ~acc["fenced"] & ~line.rlike(r"(?U)^\s*#")
-        return F.struct((acc["fenced"] != fence).alias("fenced"), F.when(use & line.contains("("), F.concat(acc["kept"], F.array(line))).otherwise(acc["kept"]).alias("kept"))
-
-    kept = F.aggregate(lines, start, step, lambda acc: acc["kept"])
+    lines = F.split(F.regexp_replace("md", FENCE_LINES, ""), "\n", -1)
+    kept = F.filter(lines, lambda x: x.contains("(") & ~x.rlike(r"(?U)^\s*#"))
     found = F.flatten(F.transform(kept, lambda x: F.regexp_extract_all(x, F.lit(r"(?<=[가-힣]) ?\(([^()\n]{1,80})\)"), 1)))
     terms = df.select("doc_id", F.posexplode(found).alias("pos", "raw")).select("doc_id", "pos", strip(F.col("raw")).alias("term")).where(_is_term(F.col("term")))
     return (

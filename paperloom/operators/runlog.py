@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.parallel import fail_code
 from paperloom.functions.strings import cache_key
 from paperloom.operators.chunking import align_response, aligned_items
+from paperloom.operators.latest import last_rows
 
 #: Kinds of calls that can seed the cache. Fixed values.
 SEEDABLE_KINDS = ("batch", "single")
@@ -24,24 +25,21 @@ def other_prompts(log: DataFrame, expected: str) -> DataFrame:
     return log.agg(F.count_if(~F.col("prompt_hash").eqNullSafe(expected)).alias("others"), F.count(F.lit(1)).alias("calls"))
 
 
-def latest(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
-    """The last row of each key. An aggregate, so each task sends one row per key, however often a key was written."""
-    return df.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_x")).select(key, "_x.*")
-
-
 def lookup(work: DataFrame, cache: DataFrame) -> DataFrame:
     """Hits: the distinct keys of the work that the cache has, with its content."""
     return cache.join(work.select("key").distinct(), "key", "left_semi")
 
 
 def misses(work: DataFrame, cache: DataFrame) -> DataFrame:
-    """The model work-list: one row per key that the cache lacks."""
-    return work.join(cache.select("key"), "key", "left_anti").dropDuplicates(["key"])
+    """The model work-list: one row per key that the cache lacks. The anti-join leaves rows sorted by key, so a row number
+    picks one without an aggregate over the long inputs."""
+    lacking = work.join(cache.select("key"), "key", "left_anti")
+    return lacking.withColumn("_no", F.row_number().over(Window.partitionBy("key").orderBy("key"))).where("_no = 1").drop("_no")
 
 
 def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
     """The last write of a key wins; of equal times the larger content."""
-    return latest(cache.unionByName(new), "key", ["written_at", "content"], list(CONTENT))
+    return last_rows(cache.unionByName(new), ["key"], ["written_at", "content"]).select("key", *CONTENT)
 
 
 def is_seedable(reason: Column) -> Column:
@@ -57,7 +55,7 @@ def seed_from_log(log: DataFrame) -> DataFrame:
     """Cache rows from a log; a later line (ts, then seq) overwrites an earlier one."""
     passed = seedable_calls(log).where(is_seedable(F.col("validation_fail_reason")))
     rows = with_key(passed).select("key", F.col("raw_response").alias("content"), "finish_reason", F.col("ts").alias("written_at"), "seq")
-    return latest(rows, "key", ["written_at", "seq"], list(CONTENT))
+    return last_rows(rows, ["key"], ["written_at", "seq"]).select("key", *CONTENT)
 
 
 def seed_counts(log: DataFrame) -> DataFrame:

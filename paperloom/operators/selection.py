@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,22 +36,23 @@ def in_window(df: DataFrame, ref: Column, days: int = WINDOW_DAYS) -> DataFrame:
     return df.where(F.col("published").between(ref - F.make_dt_interval(F.lit(days)), ref))
 
 
+def _served(runs: DataFrame, days: int, name: str) -> DataFrame:
+    """(as_of, name): each run with the days that it looks at. A few rows a run, so the other side is copied only to runs that there are."""
+    return runs.select("as_of").distinct().withColumn(name, F.explode(F.sequence(F.date_sub("as_of", days), F.col("as_of"))))
+
+
 def replay_window(runs: DataFrame, candidates: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
-    """Candidates of every as-of date. Each candidate serves at most ``days`` + 1 dates, so it is copied to these and
-    joined on the date: an equi-join that does not depend on how many runs there are."""
-    published = F.col("published")
-    first = F.to_date(published)
-    served = F.explode(F.sequence(first, F.date_add(first, days)))
-    ref = as_of_instant(F.col("as_of"))
-    copies = candidates.withColumn("as_of", served).where(published.between(ref - F.make_dt_interval(F.lit(days)), ref))
-    return copies.join(runs.select("as_of").distinct(), "as_of", "left_semi")
+    """Candidates of every as-of date: an equi-join on the day of publication, then the exact window."""
+    published, ref = F.col("published"), as_of_instant(F.col("as_of"))
+    joined = candidates.withColumn("_day", F.to_date(published)).join(_served(runs, days, "_day"), "_day").drop("_day")
+    return joined.where(published.between(ref - F.make_dt_interval(F.lit(days)), ref))
 
 
 def upvotes_asof(snapshots: DataFrame, runs: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """(as_of, id, upvotes): the most votes in the ``days`` + 1 snapshots up to each date, nulls as 0."""
-    copies = snapshots.withColumn("as_of", F.explode(F.sequence(F.col("snapshot_date"), F.date_add("snapshot_date", days))))
-    votes = F.greatest(F.coalesce("upvotes", F.lit(0)), F.lit(0)).cast("long")
-    return copies.where("id is not null and id != ''").join(runs.select("as_of").distinct(), "as_of", "left_semi").groupBy("as_of", "id").agg(F.max(votes).alias("upvotes"))
+    votes = F.max(F.greatest(F.coalesce("upvotes", F.lit(0)), F.lit(0)).cast("long")).alias("upvotes")
+    daily = snapshots.where("id is not null and id != ''").groupBy("id", "snapshot_date").agg(votes)
+    return daily.join(_served(runs, days, "snapshot_date"), "snapshot_date").groupBy("as_of", "id").agg(F.max("upvotes").alias("upvotes"))
 
 
 def exclude_published(candidates: DataFrame, published: DataFrame) -> DataFrame:
@@ -118,26 +117,40 @@ def select_all(top: DataFrame, categories: list[str]) -> DataFrame:
     return top.select(columns).groupBy("as_of").applyInPandas(pick, top.select(columns).schema).drop("rank")
 
 
-def backfill(top: DataFrame, categories: list[str]) -> DataFrame:
+def backfill_depth(runs: DataFrame, categories: int, days: int = WINDOW_DAYS) -> int:
+    """How many candidates of each (as_of, category) a backfill may have to look at: those that the run's own categories and
+    the earlier runs with overlapping windows can take, and one more. The window goes over the run dates alone."""
+    day = F.datediff("as_of", F.lit("1970-01-01").cast("date"))
+    overlapping = F.count(F.lit(1)).over(Window.orderBy(day).rangeBetween(-days, 0))  # the run itself counts
+    return categories * (runs.select("as_of").distinct().select(overlapping.alias("n")).agg(F.max("n")).first()[0] or 1)
+
+
+def _chains(rows: DataFrame) -> DataFrame:
+    """(as_of, chain): dates between which no id reaches across are in different chains.
+
+    The spans of the ids are summed up per date first, so the ordered window sees one row for each date.
+    """
+    spans = rows.groupBy("id").agg(F.min("as_of").alias("as_of"), F.max("as_of").alias("last"))
+    dates = rows.select("as_of").distinct().join(spans.groupBy("as_of").agg(F.max("last").alias("last")), "as_of", "left")
+    before = Window.orderBy("as_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dates.withColumn("_new", F.coalesce(F.max("last").over(before) < F.col("as_of"), F.lit(False)).cast("int"))
+    return starts.select("as_of", F.sum("_new").over(Window.orderBy("as_of")).alias("chain"))
+
+
+def backfill(runs: DataFrame, candidates: DataFrame, snapshots: DataFrame, published: DataFrame, categories: list[str], days: int = WINDOW_DAYS, pages: int = MOST_PAGES) -> DataFrame:
     """Successive runs: what an earlier date picked is out for all later dates.
 
-    The picks depend on each other through time, but only runs whose windows overlap can meet an id, so a row is
-    examined once, in order, per component of overlapping dates. ``top`` holds the best len(categories) * 2 candidates
-    of each (as_of, category) for weekly runs: a few rows a week, streamed through one ordered pass.
+    The picks of dates depend on each other only through ids that they share, so dates fall into chains that are worked
+    on apart, each in order of time. A chain's rows are its dates times categories times ``backfill_depth``, which is as
+    deep as any pick can reach.
     """
+    most = backfill_depth(runs, len(categories), days)
     columns = ["as_of", "category", "id", "published", "selection_reason", "rank"]
+    top = top_candidates(runs, candidates, snapshots, published, most, days, pages).where(F.col("category").isin(*categories)).select(columns)
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
         barred: dict[str, str] = {}
-        held: pd.DataFrame | None = None
-        for batch in batches:
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = held["as_of"].iloc[-1]
-            ready, held = held[held["as_of"] != last], held[held["as_of"] == last]
-            for _, rows in ready.groupby("as_of", sort=True):
-                yield rows.loc[_greedy(rows, categories, barred)]
-        if held is not None and len(held):
-            yield held.loc[_greedy(held, categories, barred)]
-
-    ordered = top.select(columns).repartition(1).sortWithinPartitions("as_of", "category", "rank")
-    return ordered.mapInPandas(walk, top.select(columns).schema).drop("rank")
+        picks = [_greedy(mine, categories, barred) for _, mine in rows.groupby("as_of", sort=True)]
+        return rows.loc[[k for some in picks for k in some], columns]
+
+    return top.join(_chains(top), "as_of").groupBy("chain").applyInPandas(walk, top.schema).drop("rank")

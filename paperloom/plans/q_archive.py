@@ -23,9 +23,11 @@ def day():
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="paperloom-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share; a temporary one only where all is one machine and no folder is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{(root or tempfile.mkdtemp(prefix='paperloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _archive(spark, d) -> DataFrame:
@@ -193,21 +195,63 @@ def counters(spark, d):
     return rows.groupBy("run_id", "validation_fail_reason").agg(F.max_by(F.struct("calls", "hits"), "epoch").alias("x")).select("run_id", "validation_fail_reason", "x.calls", "x.hits")
 
 
+def daily_counters(spark, d):
+    """Counters per day over the log in order of time, with a watermark: a day is given out once it cannot change."""
+    source, out = scratch(spark, "calls"), scratch(spark, "days")
+    calls = spark_view(spark, d, "calls").select(F.col("ts").cast("timestamp").alias("ts"), "run_id", "call_kind", "cache_hit", "validation_fail_reason")
+    end = calls.agg(F.timestamp_add("DAY", F.lit(3), F.max("ts")).alias("ts"))  # one later row drives the watermark past the last day
+    last = end.where("ts is not null").select("ts", *(F.lit(None).cast(t).alias(c) for c, t in calls.dtypes[1:])).withColumn("call_kind", F.lit("end"))
+    calls.repartitionByRange(3, "ts").write.parquet(f"{source}/a")
+    last.write.parquet(f"{source}/b")
+    files = spark.read.parquet(f"{source}/a")
+    stream = jobs.read_stream(spark, files.schema, f"{source}/*", 1)
+    counted = jobs.live_counters(stream, "1 day").select(F.col("window.start").alias("day"), "run_id", "validation_fail_reason", "calls", "hits")
+    _drained(counted.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start())
+    return spark.read.parquet(out).where("run_id is not null").withColumn("day", F.to_date("day"))
+
+
+def feed_files(spark, d):
+    """The feed's entries as XML files of some 200 entries, as the feed comes in pages; read again."""
+    out = scratch(spark, "feed")
+    pages = spark_view(spark, d, "feed").groupBy(F.expr("doc_id div 200").alias("page")).agg(F.concat_ws("", F.collect_list("entry_xml")).alias("entries"))
+    pages.select("page", F.concat(F.lit("<feed>"), "entries", F.lit("</feed>")).alias("value")).write.partitionBy("page").text(out)
+    return readers.read_atom(spark, out).select("id", "title", F.col("published").cast("timestamp_ntz").alias("published"), "abs_url", "pdf_url")
+
+
+def snapshot_files(spark, d):
+    """Snapshots in one JSON file for each date, told by the folder and file names that Spark gives them."""
+    out = scratch(spark, "snapshots")
+    spark_view(spark, d, "snapshots").withColumn("day", F.col("snapshot_date").cast("string")).select("day", F.col("payload").alias("value")).write.partitionBy("day").text(out)
+    return readers.read_upvotes(spark, out)
+
+
+def exact_page_files(spark, d):
+    """Pages under their exact names: what was written, and the ids that a scan of the folder finds."""
+    root = scratch(spark, "site")
+    x = a.build_page(_papers(spark, d)).withColumn("page_path", a.page_path(F.col("translated"), F.col("category"), F.col("id"), F.col("title")))
+    last = x.groupBy("page_path").agg(F.max("edition").alias("edition"))  # one page for each name
+    sizes = writers.write_page_files(x.join(last, ["page_path", "edition"], "left_semi"), root.removeprefix("file:"))
+    sizes.write.parquet(f"{root}-sizes")
+    read = readers.read_texts(spark, root).select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("page_path"), readers.published_id(F.col("page")).alias("arxiv_id"))
+    return spark.read.parquet(f"{root}-sizes").join(read, "page_path")
+
+
 def upkeep(spark, d):
     """The archive kept up from a stream of page files; the last version."""
     source, out = scratch(spark, "new-pages"), scratch(spark, "versions")
     existing, new = _halves(spark, d)
     existing.unionByName(new).repartition(3).write.parquet(source)
     stream = jobs.read_stream(spark, spark.read.parquet(source).schema, source)
-    query = jobs.upkeep(stream, lambda k: f"{out}/v{k}", scratch(spark, "state"))
+    query = jobs.upkeep(stream, out, scratch(spark, "state"), parts=4)
     _drained(query)
-    return spark.read.parquet(f"{out}/v{query.lastProgress['batchId']}")
+    return jobs.read_archive(spark, out, query.lastProgress["batchId"])
 
 
 QUERIES = {
     "p1_slugify": slugs, "p2_truncate_title": nav_titles, "p3_translated_title": titles, "p4_image_refs": image_refs, "p4_rewrite_images": image_texts, "p5_image_manifest": images, "p6_category_dir": folders, "p7_build_page": pages,
     "p8_page_path": paths, "p9_upsert_archive": editions, "p10_stamp": stamped, "n1_page_url": urls, "n2_digest": digests, "n3_staleness": stale, "io1_atom": atom, "io2_upvotes": snapshots, "io3_published_ids": published,
-    "io4_front_matter": front, "io5_call_log": logged, "io6_selection": selections, "io7_pages": stored_pages, "io8_cache": stored_cache, "t1_live_counters": counters, "t2_archive_upkeep": upkeep,
+    "io4_front_matter": front, "io5_call_log": logged, "io6_selection": selections, "io7_pages": stored_pages, "io8_cache": stored_cache, "t1_live_counters": counters, "t2_archive_upkeep": upkeep, "t1_daily_counters": daily_counters,
+    "io1_atom_files": feed_files, "io2_upvote_files": snapshot_files, "io7_page_files": exact_page_files,
 }
 
 _SLUG = "rtrim(substring(lower(trim(regexp_replace(title, '[^a-zA-Z0-9]+', '-', 'g'), '-')), 1, 60), '-')"
@@ -255,8 +299,13 @@ select week, content, concat('{{"content":', to_json(content), ',"allowed_mentio
     ),
     "n3_staleness": f"""with s as (select event_id, case when event_id % 7 > 0 then ts end as g from events), a as (select *, epoch(timestamp '2024-01-20 12:30:00') - floor(epoch(g)) as sec from s)
 select event_id, case when g is null then '{a.NO_MARKER}' when sec > 48 * 3600 then concat('{a.OLD_MARKER[0]}', cast(floor(sec / 86400) as bigint), '{a.OLD_MARKER[1]}', cast(floor((sec % 86400) / 3600) as bigint), '{a.OLD_MARKER[2]}') end as warning from a""",
-    "io1_atom": """with x as (select doc_id, concat('2608.', lpad(cast(doc_id as varchar), 5, '0')) as id, trim(regexp_replace(substring(text, 1, 60), '\\s+', ' ', 'g')) as title, timestamp '2026-08-01 06:24:36' + to_days(cast(doc_id % 7 as integer)) as published from documents)
+    "io1_atom": """with x as (select doc_id, concat('2608.', lpad(cast(doc_id as varchar), 5, '0')) as id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as title, timestamp '2026-08-01 06:24:36' + to_days(cast(doc_id % 7 as integer)) as published from documents)
 select doc_id, id, title, published, concat('https://arxiv.org/abs/', id) as abs_url, case when doc_id % 4 = 0 then concat('https://arxiv.org/pdf/', id) else 'http://example.org/pdf/x' end as pdf_url from x""",
+    "io1_atom_files": """with x as (select doc_id, concat('2608.', lpad(cast(doc_id as varchar), 5, '0')) as id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as title, timestamp '2026-08-01 06:24:36' + to_days(cast(doc_id % 7 as integer)) as published from documents)
+select id, title, published, concat('https://arxiv.org/abs/', id) as abs_url, case when doc_id % 4 = 0 then concat('https://arxiv.org/pdf/', id) else 'http://example.org/pdf/x' end as pdf_url from x""",
+    "io2_upvote_files": "select cast(ts as date) as snapshot_date, concat('p', user_id) as id, case when event_type = 'error' then 0 else cast(floor(value) as bigint) end as upvotes from events",
+    "io7_page_files": sql(_PAPERS + ", pf as (select concat(dir, '/', translated, '-', id, '-', slug, '.md') as page_path, id as arxiv_id, page, edition from pg) select page_path, arxiv_id, cast(octet_length(encode(arg_max(page, edition))) as bigint) as bytes from pf group by 1, 2", "archive"),
+    "t1_daily_counters": sql("select cast(ts as date) as day, run_id, validation_fail_reason, count(*) as calls, count(*) filter (cache_hit) as hits from f_calls where call_kind <> 'summary' group by 1, 2, 3", "calls"),
     "io2_upvotes": "select cast(ts as date) as snapshot_date, concat('p', user_id) as id, case when event_type = 'error' then 0 else cast(floor(value) as bigint) end as upvotes from events",
     "io3_published_ids": sql("select distinct arxiv_id from f_archive", "archive"),
     "io4_front_matter": sql(

@@ -75,7 +75,7 @@ def documents(spark, d):
 
 
 QUERIES = {
-    "k1_paragraphs": _texts("k1", k.paragraphs), "k2_merge_fences": _texts("k2", lambda c: k.merge_fences(k.paragraphs(c))), "k3_is_table": tables, "k4_chunk": chunked, "k5_batch_stats": stats, "k6_explode_cells": cells,
+    "k1_paragraphs": _texts("k1", k.paragraphs), "k2_merge_fences": _texts("k2", k.fenced_paragraphs), "k3_is_table": tables, "k4_chunk": chunked, "k5_batch_stats": stats, "k6_explode_cells": cells,
     "k7_assemble_tables": assembled_tables, "k8_batch_input": inputs, "k9_align_response": aligned, "k9_aligned_items": aligned_rows, "k10_bisect": halves, "k11_assemble_docs": documents,
 }
 
@@ -98,7 +98,7 @@ ro as (select doc_id, unnest(list_concat(ls[1:1], ls[3:])) as line, generate_sub
 ce as (select doc_id, row, list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(line, '^\s+|\s+$', '', 'g'), '^\|', ''), '\|$', ''), '|'), lambda x: trim(x)) as cs from ro),
 cl as (select doc_id, cast(0 as bigint) as batch_index, row, unnest(cs) as cell, generate_subscripts(cs, 1) - 1 as col from ce)
 """
-_ALIGN = """with a as (select doc_id, items, finish_reason, case when len(items) = 1 then [response] else list_filter(list_transform(string_split(response, '<<<P>>>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') end as parts from f_responses),
+ALIGN = """with a as (select doc_id, items, finish_reason, case when len(items) = 1 then [response] else list_filter(list_transform(string_split(response, '<<<P>>>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') end as parts from f_responses),
 b as (select *, case when finish_reason = 'length' then 'length_truncated' when len(parts) <> len(items) then 'item_count_mismatch' end as fail_reason from a)
 """
 ORACLES = {
@@ -114,10 +114,10 @@ select ln.doc_id, string_agg(case when row = 0 then line||chr(10)||ls[2] else li
         "tables",
     ),
     "k8_batch_input": sql("select doc_id, array_to_string(items, chr(10)||chr(10)||'<<<P>>>'||chr(10)||chr(10)) as input from f_responses", "responses"),
-    "k9_align_response": sql(_ALIGN + "select doc_id, len(items) as items_in, len(parts) as items_out, fail_reason from b", "responses"),
-    "k9_aligned_items": sql(_ALIGN + "select doc_id, generate_subscripts(items, 1) - 1 as item_index, unnest(items) as item, unnest(parts) as part from b where fail_reason is null", "responses"),
+    "k9_align_response": sql(ALIGN + "select doc_id, len(items) as items_in, len(parts) as items_out, fail_reason from b", "responses"),
+    "k9_aligned_items": sql(ALIGN + "select doc_id, generate_subscripts(items, 1) - 1 as item_index, unnest(items) as item, unnest(parts) as part from b where fail_reason is null", "responses"),
     "k10_bisect": sql(
-        _ALIGN + """, h as (select doc_id, items, len(items) as n from b where fail_reason is not null)
+        ALIGN + """, h as (select doc_id, items, len(items) as n from b where fail_reason is not null)
 select doc_id, '0.L' as path, n // 2 as n, array_to_string(items[1:n // 2], chr(10)) as text, cast(null as varchar) as error from h where n > 1
 union all select doc_id, '0.R', n - n // 2, array_to_string(items[n // 2 + 1:], chr(10)), null from h where n > 1
 union all select doc_id, '0', n, array_to_string(items, chr(10)), 'single_item_truncated' from h where n = 1""",

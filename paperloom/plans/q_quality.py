@@ -93,7 +93,7 @@ _REFERENCE = r"""((regexp_matches(split_part(ltrim({0}, ' ' || chr(9) || chr(10)
  or (regexp_matches(split_part(ltrim({0}, ' ' || chr(9) || chr(10) || chr(13)), chr(10), 1), '^[-*]\s') and (len(regexp_extract_all({0}, '\[[^\]]*(?:19|20)\d{{2}}[^\]]*\]\([^)]+\)')) >= 3 or len(regexp_extract_all({0}, '\((?:19|20)\d{{2}}[a-z]?\)')) >= 3)))"""
 _COUNT = lambda c, s: f"(length({c}) - length(replace({c}, '{s}', '')))"
 _WORDS = ", ".join(f"'{w}'" for w in v.FUNCTION_WORDS)
-_TESTS = (
+TESTS = (
     _PAIRS
     + f"""vt as (select *, {_REFUSES} as refusal, {_COUNT('source', '$')} <> {_COUNT('response', '$')} as dollars,
  {_COUNT('ms', '{')} <> {_COUNT('mr', '{')} or {_COUNT('ms', '}')} <> {_COUNT('mr', '}')} as braces,
@@ -102,17 +102,18 @@ _TESTS = (
  and len(list_filter(string_split_regex(x, '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+'), lambda w: lower(w) in ({_WORDS}))) >= 3)) > 0 as run from pm)
 """
 )
+CODE = "case when untranslated then 'untranslated' when run then 'untranslated_run' when dollars then 'dollar_mismatch' when braces then 'brace_mismatch' end"
 ORACLES = {
-    "v1_is_refusal": sql(_TESTS + "select conv_id, turn, kind, refusal from vt", "pairs"),
-    "v2_dollar_mismatch": sql(_TESTS + "select conv_id, turn, kind, dollars from vt", "pairs"),
-    "v3_brace_mismatch": sql(_TESTS + "select conv_id, turn, kind, braces from vt", "pairs"),
-    "v5_is_untranslated": sql(_TESTS + "select conv_id, turn, kind, untranslated from vt", "pairs"),
-    "v6_untranslated_run": sql(_TESTS + "select conv_id, turn, kind, run from vt", "pairs"),
+    "v1_is_refusal": sql(TESTS + "select conv_id, turn, kind, refusal from vt", "pairs"),
+    "v2_dollar_mismatch": sql(TESTS + "select conv_id, turn, kind, dollars from vt", "pairs"),
+    "v3_brace_mismatch": sql(TESTS + "select conv_id, turn, kind, braces from vt", "pairs"),
+    "v5_is_untranslated": sql(TESTS + "select conv_id, turn, kind, untranslated from vt", "pairs"),
+    "v6_untranslated_run": sql(TESTS + "select conv_id, turn, kind, run from vt", "pairs"),
     "v7_blank_marker": sql(r"select doc_id, regexp_matches(md, '(?im)^\s*[\(\[]\s*blank\s*line\s*[\)\]]\s*$') as blank_marker from f_escaped", "escaped"),
     "v8_is_reference": f"""with t as (select doc_id, 'raw' as kind, text as t from documents union all select doc_id, 'made', case doc_id % 3 when 0 then '- [12] ' when 1 then '* ' else '[3] ' end || substring(text, 1, 50) || repeat(case when doc_id % 2 = 0 then ' (2024a) x [A 1999](u) ' else ' see doi: ' end, 3) from documents)
 select doc_id, kind, {_REFERENCE.format('t')} as is_reference from t""",
     "v9_fail_code": sql(
-        _TESTS + "select conv_id, turn, kind, case when untranslated then 'untranslated' when run then 'untranslated_run' when dollars then 'dollar_mismatch' when braces then 'brace_mismatch' end as fail_code from vt", "pairs"
+        TESTS + f"select conv_id, turn, kind, {CODE} as fail_code from vt", "pairs"
     ),
     "v10_batch_verdict": sql(
         """select doc_id, attempt % 2 as batch_index, '0' as path, count(fail_code) as bad, case when count(fail_code) > 0 then 'partial_bad:' || count(fail_code) end as verdict from f_attempts group by 1, 2""", "attempts"
@@ -125,6 +126,19 @@ g as (select doc_id, item_index, arg_min(response, attempt) filter (fail_code is
 select doc_id, item_index, case when ok > 0 then passed when never then source else last end as text, case when ok > 0 then 'passed' when never then 'source_kept' else 'last_bad' end as outcome from g""",
         "attempts",
     ),
+    "v13_dedup_glosses": sql(
+        r"""with l as (select doc_id, unnest(string_split(md, chr(10))) as line, generate_subscripts(string_split(md, chr(10)), 1) as n from f_gloss),
+f as (select *, sum(case when regexp_matches(line, '^\s*```') then 1 else 0 end) over (partition by doc_id order by n) as fences from l),
+s as (select doc_id, n, string_split_regex(line, '[가-힣] ?\([^()\n]{1,80}\)') as gs, regexp_extract_all(line, '[가-힣] ?\([^()\n]{1,80}\)') as ms, fences % 2 = 0 and not regexp_matches(line, '^\s*#') and not regexp_matches(line, '^\s*```') as free from f),
+e as (select doc_id, n, free, unnest(ms) as m, generate_subscripts(ms, 1) as k from s),
+t as (select *, trim(regexp_extract(m, '\((.*)\)$', 1)) as term from e),
+u as (select *, free and length(term) >= 2 and regexp_matches(term, '[a-zA-Z]') and not regexp_matches(term, '(?i)(?:19|20)\d{2}[a-z]?|et al') and not regexp_matches(term, '[$\\`]') as used from t),
+r as (select doc_id, n, k, case when used and row_number() over (partition by doc_id, lower(term), used order by n, k) > 1 then substring(m, 1, 1) else m end as m from u),
+a as (select doc_id, n, list(m order by k) as ms from r group by 1, 2),
+j as (select s.doc_id, s.n, array_to_string(list_transform(s.gs, lambda x, i: x || coalesce(a.ms[i], '')), '') as line from s left join a on a.doc_id = s.doc_id and a.n = s.n)
+select doc_id, string_agg(line, chr(10) order by n) as md from j group by 1""",
+        "gloss",
+    ),
     "v14_gloss_stats": sql(
         r"""with l as (select doc_id, unnest(string_split(md, chr(10))) as line, generate_subscripts(string_split(md, chr(10)), 1) as n from f_gloss),
 f as (select *, sum(case when regexp_matches(line, '^\s*```') then 1 else 0 end) over (partition by doc_id order by n) as fences from l),

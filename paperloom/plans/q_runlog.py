@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.strings import prompt_hash
 from paperloom.operators import runlog as r
+from paperloom.operators.latest import last_rows
+from paperloom.plans import q_chunking, q_quality
 from paperloom.plans.views import spark_view, sql, table
 
 
@@ -20,7 +22,7 @@ def _work(spark, d):
 def _cache(spark, d):
     """The cache with one row per key."""
     rows = r.with_key(spark_view(spark, d, "cache"))
-    return r.latest(rows, "key", ["written_at", "content"], list(r.CONTENT))
+    return last_rows(rows, ["key"], ["written_at", "content"]).select("key", *r.CONTENT)
 
 
 def keys(spark, d):
@@ -115,6 +117,12 @@ f as (select run_id, validation_fail_reason as reason, count(*) as failures from
 select t.run_id, cast(model_calls as bigint) as model_calls, cast(cache_hits as bigint) as cache_hits, reason, failures from t left join f on f.run_id = t.run_id""",
         "calls",
     ),
+    "l11_revalidate": sql(
+        q_chunking.ALIGN.rstrip() + ", f_pairs as (select doc_id as conv_id, 0 as turn, items[1] as source, parts[1] as response from b where len(items) = 1 and fail_reason is null), " + q_quality.TESTS.removeprefix("with ")
+        + f"""select doc_id, fail_reason from b where fail_reason is not null
+union all select conv_id, fail_reason from (select conv_id, {q_quality.CODE} as fail_reason from vt where kind = 'plain') where fail_reason is not null""",
+        "responses",
+    ),
     "l12_replay_lineage": sql(
         """with r as (select run_id, min(ts) as ts, cast(substring(run_id, 2) as bigint) as n from f_calls group by 1), s as (select run_id, ts, case when n % 3 = 0 then concat('r', n // 2) end as seeded_from from r)
 select a.run_id, a.seeded_from, a.ts, b.ts as seeded_ts from s a left join s b on b.run_id = a.seeded_from""",

@@ -29,8 +29,8 @@ def urls(spark, d):
         "doc_id",
         F.regexp_extract("entry_xml", "<id>(.*?)</id>", 1).alias("id"),
         F.regexp_extract("entry_xml", "<published>(.*?)</published>", 1).alias("published"),
-        F.lit(" a  b ").alias("title"),
-        F.lit("s").alias("summary"),
+        F.regexp_extract("entry_xml", "(?s)<title>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("entry_xml", "(?s)<summary>(.*?)</summary>", 1).alias("summary"),
         F.nullif(F.regexp_extract("entry_xml", 'title="pdf" href="(.*?)"', 1), F.lit("")).alias("pdf_url"),
     )
     return s.candidate_urls(x).select("doc_id", "id", F.col("published").cast("timestamp_ntz").alias("published"), "title", "abs_url", "pdf_url")
@@ -82,7 +82,7 @@ def all_categories(spark, d):
 
 
 def successive(spark, d):
-    return s.backfill(s.top_candidates(*_inputs(spark, d), most=10), CATEGORIES)
+    return s.backfill(*_inputs(spark, d), CATEGORIES)
 
 
 _REPLAY = """with w as (select r.as_of, c.* from f_runs r join f_candidates c
@@ -110,7 +110,7 @@ ORACLES = {
     "s2_collapse_ws": "select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as text from documents",
     "s3_candidate_urls": sql(
         """with x as (select doc_id, regexp_replace(regexp_extract(regexp_extract(entry_xml, '<id>(.*?)</id>', 1), '[^/]*$'), 'v[0-9]+$', '') as id, entry_xml from f_feed)
-select doc_id, id, cast(replace(replace(regexp_extract(entry_xml, '<published>(.*?)</published>', 1), 'T', ' '), 'Z', '') as timestamp) as published, 'a b' as title, concat('https://arxiv.org/abs/', id) as abs_url,
+select doc_id, id, cast(replace(replace(regexp_extract(entry_xml, '<published>(.*?)</published>', 1), 'T', ' '), 'Z', '') as timestamp) as published, trim(regexp_replace(regexp_extract(entry_xml, '(?s)<title>(.*?)</title>', 1), '\\s+', ' ', 'g')) as title, concat('https://arxiv.org/abs/', id) as abs_url,
  coalesce(nullif(regexp_extract(entry_xml, 'title="pdf" href="(.*?)"', 1), ''), concat('https://arxiv.org/pdf/', id)) as pdf_url from x""",
         "feed",
     ),
@@ -124,5 +124,14 @@ select doc_id, id, cast(replace(replace(regexp_extract(entry_xml, '<published>(.
     "c10_page_cap_gate": sql("select * from f_candidates where num_pages <= 60", "candidates"),
     "s11_rank_candidates": sql(_REPLAY + "select as_of, category, id, upvotes, matched, rank from r where rank <= 5", *_VIEWS),
     "s12_select_top1": sql(_REPLAY + "select as_of, category, id, title, published, num_pages, selection_reason from r where rank = 1", *_VIEWS),
+    "s14_backfill": sql(
+        _REPLAY.rstrip() + """, w14 as (select as_of, row_number() over (order by as_of) - 1 as k from f_runs),
+t14 as materialized (select w14.k * 5 + cast(substring(category, 2) as bigint) as step, r.* from r join w14 on w14.as_of = r.as_of where rank <= 10),
+g14 as (select cast(-1 as bigint) as step, cast([] as varchar[]) as barred, cast(null as varchar) as pick
+ union all select g.step + 1, any_value(case when t.id is null then g.barred else list_append(g.barred, t.id) end order by t.rank), any_value(t.id order by t.rank)
+ from (select * from g14 where step < (select 5 * count(*) - 1 from f_runs)) g left join t14 t on t.step = g.step + 1 and not list_contains(g.barred, t.id) group by g.step)
+select t.as_of, t.category, t.id, t.published, t.selection_reason from g14 g join t14 t on t.step = g.step and t.id = g.pick""",
+        *_VIEWS, recursive=True,
+    ),
     "s13_select_all": sql(_REPLAY.rstrip() + _PICKS + " select as_of, category, id, published, selection_reason from (" + " union all ".join(f"select * from p{k}" for k in range(5)) + ")", *_VIEWS),
 }

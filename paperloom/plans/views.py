@@ -27,13 +27,12 @@ BOTH = {
  from :events""",
     "attempts": """select conv_id as doc_id, turn % 3 as item_index, turn as attempt, text as response,
  case when (conv_id*5+turn*3)%7 in (0,1) then null when (conv_id+turn)%4=0 then 'dollar_mismatch' else 'untranslated' end as fail_code, concat('src', cast(conv_id as varchar(9))) as source from :conversations""",
-    "archive": """select concat('2608.', lpad(cast(doc_id % 700 as varchar(9)),5,'0')) as arxiv_id, concat('cs.', upper(lang)) as category, replace(substring(text,1,90),chr(10),' ') as title, text as body,
+    "archive": """select concat('2608.', lpad(cast(doc_id % 700 as varchar(9)),5,'0')) as arxiv_id, concat('cs.', upper(lang)) as category, split_part(text, chr(10), 1) as title, text as body,
  cast(timestamp '2026-01-01 00:00:00' as date) as base_date, doc_id as edition from :documents""",
-    "feed": """select doc_id, concat('<entry><id>http://example.org/abs/2608.',lpad(cast(doc_id as varchar(9)),5,'0'),'v',cast(doc_id%3+1 as varchar(9)),'</id><published>2026-08-0',cast(doc_id%7+1 as varchar(9)),'T06:24:36Z</published><title>',replace(replace(replace(substring(text,1,60),'&','&amp;'),'<','&lt;'),'>','&gt;'),'</title><summary>s</summary><link href="h" rel="alternate"/>',case when doc_id%4=0 then '' else '<link title="pdf" href="http://example.org/pdf/x"/>' end,'</entry>') as entry_xml from :documents""",
+    "feed": """select doc_id, concat('<entry><id>http://example.org/abs/2608.',lpad(cast(doc_id as varchar(9)),5,'0'),'v',cast(doc_id%3+1 as varchar(9)),'</id><published>2026-08-0',cast(doc_id%7+1 as varchar(9)),'T06:24:36Z</published><title>',replace(replace(replace(text,'&','&amp;'),'<','&lt;'),'>','&gt;'),'</title><summary>s</summary><link href="h" rel="alternate"/>',case when doc_id%4=0 then '' else '<link title="pdf" href="http://example.org/pdf/x"/>' end,'</entry>') as entry_xml from :documents""",
     "image_inventory": "select doc_id, concat('_page_', cast(doc_id%4 as varchar(9)), '.JPEG') as file from :documents where doc_id % 6 <> 0",
     "cache": """select concat('in', cast(user_id % 50 as varchar(9)), props) as input, 'm1' as model, 'abcdef012345' as prompt_hash, '0.1' as temperature,
  concat('cached', cast(event_id as varchar(9))) as content, 'stop' as finish_reason, ts as written_at from :events where event_id % 3 = 0""",
-    "cells": """select n_regionkey, n_nationkey, n_name from :nation""",
 }
 
 _MD = r"""case when i%13=0 then concat('#### ',cast(i as varchar(9)),'.2 ',x) when i%13=3 then concat('| ',x,' | ',cast(i as varchar(9)),' |')
@@ -49,8 +48,8 @@ SPARK = BOTH | {
  case when doc_id%17=0 then 'length' else 'stop' end as finish_reason from :documents""",
     "gloss": r"select doc_id, array_join(transform(split(text,'\n',-1), x -> concat('용어 (', lower(split(x,' ',-1)[0]), ') ', x)), '\n') as md from :documents",
     "snapshots": """select cast(ts as date) as snapshot_date, concat('[',array_join(transform(array_sort(collect_list(struct(event_id, concat('{"paper":{"id":"p',cast(user_id as varchar(9)),'","upvotes":',case when event_type='error' then 'null' else cast(cast(floor(value) as int) as varchar(9)) end,'}}') as j))), z -> z.j), ','),']') as payload from :events group by 1""",
-    "tables": r"""select n_regionkey as doc_id, concat('| key | name |\n|---|---|\n',array_join(transform(array_sort(collect_list(struct(n_nationkey, concat('| ',cast(n_nationkey as varchar(9)),' | ',n_name,' |') as j))), z -> z.j),'\n')) as md from :nation group by 1""",
-    "images": r"""select doc_id, concat('# ', substring(replace(text,'\n',' '),1,30), case when doc_id%3=0 then ' ## Abstract' else '' end, '\n', '![fig (', cast(doc_id%5 as varchar(9)), ')](_page_', cast(doc_id%4 as varchar(9)), '.JPEG)', '\n', '![](', case when doc_id%2=0 then 'sub/x.png' else 'missing.png' end, ')') as md from :documents""",
+    "tables": r"""select o_custkey as doc_id, concat('| key | priority | status |\n|---|---|---|\n',array_join(transform(array_sort(collect_list(struct(o_orderkey, concat('| ',cast(o_orderkey as varchar(19)),' | ',o_orderpriority,' | ',o_orderstatus,' |') as j))), z -> z.j),'\n')) as md from :orders group by 1""",
+    "images": r"""select doc_id, concat('# ', replace(text,'\n',' '), case when doc_id%3=0 then ' ## Abstract' else '' end, '\n', '![fig (', cast(doc_id%5 as varchar(9)), ')](_page_', cast(doc_id%4 as varchar(9)), '.JPEG)', '\n', '![](', case when doc_id%2=0 then 'sub/x.png' else 'missing.png' end, ')') as md from :documents""",
     "escaped": """select doc_id, concat(replace(text, chr(10), concat(chr(92),'n')), chr(10),'```',chr(10),'print(1',chr(92),'n)',chr(10),'```',chr(10), case when doc_id%4=0 then concat('(blank line)',chr(10)) else '' end, '$a ',chr(92),'neq b$') as md from :documents""",
 }
 
@@ -63,8 +62,8 @@ DUCK = BOTH | {
  case when doc_id%17=0 then 'length' else 'stop' end as finish_reason from :documents""",
     "gloss": "select doc_id, array_to_string(list_transform(string_split(text,chr(10)), lambda x: concat('용어 (', lower(string_split(x,' ')[1]), ') ', x)), chr(10)) as md from :documents",
     "snapshots": """select cast(ts as date) as snapshot_date, '['||string_agg(concat('{"paper":{"id":"p',cast(user_id as varchar(9)),'","upvotes":',case when event_type='error' then 'null' else cast(cast(floor(value) as int) as varchar(9)) end,'}}'), ',' order by event_id)||']' as payload from :events group by 1""",
-    "tables": "select n_regionkey as doc_id, '| key | name |'||chr(10)||'|---|---|'||chr(10)||string_agg(concat('| ',cast(n_nationkey as varchar(9)),' | ',n_name,' |'),chr(10) order by n_nationkey) as md from :nation group by 1",
-    "images": "select doc_id, concat('# ', substring(replace(text,chr(10),' '),1,30), case when doc_id%3=0 then ' ## Abstract' else '' end, chr(10), '![fig (', cast(doc_id%5 as varchar(9)), ')](_page_', cast(doc_id%4 as varchar(9)), '.JPEG)', chr(10), '![](', case when doc_id%2=0 then 'sub/x.png' else 'missing.png' end, ')') as md from :documents",
+    "tables": "select o_custkey as doc_id, '| key | priority | status |'||chr(10)||'|---|---|---|'||chr(10)||string_agg(concat('| ',cast(o_orderkey as varchar(19)),' | ',o_orderpriority,' | ',o_orderstatus,' |'),chr(10) order by o_orderkey) as md from :orders group by 1",
+    "images": "select doc_id, concat('# ', replace(text,chr(10),' '), case when doc_id%3=0 then ' ## Abstract' else '' end, chr(10), '![fig (', cast(doc_id%5 as varchar(9)), ')](_page_', cast(doc_id%4 as varchar(9)), '.JPEG)', chr(10), '![](', case when doc_id%2=0 then 'sub/x.png' else 'missing.png' end, ')') as md from :documents",
     "escaped": "select doc_id, concat(replace(text, chr(10), chr(92)||'n'), chr(10)||'```'||chr(10)||'print(1'||chr(92)||'n)'||chr(10)||'```'||chr(10), case when doc_id%4=0 then '(blank line)'||chr(10) else '' end, '$a '||chr(92)||'neq b$') as md from :documents",
 }
 

@@ -41,8 +41,8 @@ def explode_snapshots(df: DataFrame) -> DataFrame:
 
 
 def read_upvotes(spark: SparkSession, path: str) -> DataFrame:
-    """Files named by their date, one JSON array each."""
-    files = spark.read.text(path, wholetext=True).select(F.to_date(F.regexp_extract("_metadata.file_name", r"(\d{4}-\d{2}-\d{2})", 1)).alias("snapshot_date"), F.col("value").alias("payload"))
+    """Files named by their date, or in a folder named by it, one JSON array each; the last date in the path counts."""
+    files = spark.read.text(path, wholetext=True).select(F.to_date(F.regexp_extract("_metadata.file_path", r".*(\d{4}-\d{2}-\d{2})", 1)).alias("snapshot_date"), F.col("value").alias("payload"))
     return explode_snapshots(files)
 
 

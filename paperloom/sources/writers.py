@@ -11,14 +11,25 @@ from pyspark.sql import functions as F
 from paperloom.functions.strings import category_dir
 
 
-def write_selection(df: DataFrame, path: str) -> None:
+#: Tasks that may write to one folder, and the rows of a file at most.
+SPREAD, MOST_ROWS = 32, 1_000_000
+
+
+def _spread(df: DataFrame, folder: str, by: str, spread: int) -> DataFrame:
+    """Rows of a folder dealt over ``spread`` tasks, so that a folder is not one task's work and holds few files."""
+    return df.repartition(folder, F.pmod(F.xxhash64(by), F.lit(spread)))
+
+
+def write_selection(df: DataFrame, path: str, spread: int = SPREAD) -> None:
     """JSON, one folder per category; a dot in its code becomes an underscore."""
-    df.withColumn("category_name", F.replace("category", F.lit("."), F.lit("_"))).repartition("category_name").write.partitionBy("category_name").json(path)
+    named = df.withColumn("category_name", F.replace("category", F.lit("."), F.lit("_")))
+    _spread(named, "category_name", "id", spread).write.option("maxRecordsPerFile", MOST_ROWS).partitionBy("category_name").json(path)
 
 
-def write_pages(df: DataFrame, path: str) -> None:
+def write_pages(df: DataFrame, path: str, spread: int = SPREAD) -> None:
     """Pages (category, page_path, page) as Parquet, one folder per category's name."""
-    df.withColumn("category_dir", category_dir(F.col("category"))).repartition("category_dir").write.partitionBy("category_dir").parquet(path)
+    placed = df.withColumn("category_dir", category_dir(F.col("category")))
+    _spread(placed, "category_dir", "page_path", spread).write.option("maxRecordsPerFile", MOST_ROWS).partitionBy("category_dir").parquet(path)
 
 
 def write_page_files(df: DataFrame, root: str) -> DataFrame:

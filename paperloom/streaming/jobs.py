@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.functions.strings import category_dir
 from paperloom.operators.archive import upsert_archive
 
 
@@ -23,21 +22,61 @@ def live_counters(calls: DataFrame, late: str | None = None) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("calls"), F.count_if("cache_hit").alias("hits"))
 
 
-def upkeep(pages: DataFrame, target: Callable[[int], str], checkpoint: str):
-    """Start a query that applies each micro-batch of new pages to the archive.
+#: Parts of a folder of the archive; a batch rewrites only the parts that its ids fall into.
+PARTS = 32
+
+
+def _manifest(spark: SparkSession, root: str, epoch: int) -> dict[tuple[str, int], int]:
+    """(folder, part) -> the epoch that wrote it last, as of an epoch: at most folders times PARTS rows."""
+    path = f"{root}/manifest/{epoch}"
+    if epoch < 0 or not _folder(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        return {}
+    return {(r.category_dir, r.part): r.epoch for r in spark.read.parquet(path).collect()}
+
+
+def _folder(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _place(root: str, key: tuple[str, int], epoch: int) -> str:
+    return f"{root}/pages/epoch={epoch}/category_dir={key[0]}/part={key[1]}"
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _folder(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def read_archive(spark: SparkSession, root: str, epoch: int) -> DataFrame:
+    """The archive as of an epoch: the latest version of every part of every folder."""
+    return _read_parts(spark, root, _manifest(spark, root, epoch)).drop("epoch", "part")
+
+
+def _read_parts(spark: SparkSession, root: str, parts: dict[tuple[str, int], int]) -> DataFrame:
+    return spark.read.option("basePath", f"{root}/pages").parquet(*(_place(root, key, epoch) for key, epoch in parts.items()))
+
+
+def upkeep(pages: DataFrame, root: str, checkpoint: str, parts: int = PARTS):
+    """Start a query that applies each micro-batch of new pages to the archive under ``root`` (see ``read_archive``).
 
-    Version k of the archive is written to ``target(k)`` from version k - 1; a batch that is run again writes the same
-    version again.
+    The archive lies in parts by folder and id; a batch reads and rewrites the parts that it touches and no others, and a
+    manifest says which epoch wrote each part last. A batch that is run again starts from the manifest before it and
+    writes the same again. A part that a later epoch has replaced goes one epoch after that, when no rerun can ask for it.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select(*sorted(batch.columns))
-        if epoch:
-            before = spark.read.parquet(target(epoch - 1)).select(*batch.columns)
-        else:
-            before = batch.limit(0)
-        upsert_archive(before, batch).write.mode("overwrite").parquet(target(epoch))
+        known, older = _manifest(spark, root, epoch - 1), _manifest(spark, root, epoch - 2)
+        _delete(spark, [_place(root, key, at) for key, at in older.items() if known.get(key) != at] + [f"{root}/manifest/{epoch - 2}"] * bool(older))
+        part = F.pmod(F.xxhash64("arxiv_id"), F.lit(parts)).cast("int")
+        new = batch.withColumn("category_dir", category_dir(F.col("category"))).withColumn("part", part)
+        touched = [(r.category_dir, r.part) for r in new.select("category_dir", "part").distinct().collect()]  # at most folders times parts
+        before = {key: known[key] for key in touched if key in known}
+        old = _read_parts(spark, root, before).select(*batch.columns) if before else batch.limit(0)
+        kept = upsert_archive(old, batch).withColumn("part", part)
+        kept.repartition("category_dir", "part").write.mode("overwrite").partitionBy("category_dir", "part").parquet(f"{root}/pages/epoch={epoch}")
+        rows = [(*key, at) for key, at in (known | dict.fromkeys(touched, epoch)).items()]
+        spark.createDataFrame(rows, "category_dir string, part int, epoch long").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/{epoch}")
 
     return pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

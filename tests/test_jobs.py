@@ -52,11 +52,25 @@ def greedy(runs, rows, votes, remember):
 def test_selection_equals_plain_greedy(spark):
     for _ in range(2):
         runs, rows, votes, frames = replay(spark, 5)
-        for remember, pick, most in ((False, selection.select_all, 3), (True, selection.backfill, 6)):
-            got = pick(selection.top_candidates(*frames, most=most), ["c0", "c1", "c2"]).collect()
+        names = ["c0", "c1", "c2"]
+        for remember, picked in ((False, selection.select_all(selection.top_candidates(*frames, most=3), names)), (True, selection.backfill(*frames, names))):
+            got = picked.collect()
             assert sorted((r.as_of, r.category, r.id, r.selection_reason) for r in got) == greedy(runs, rows, votes, remember)
 
 
+def test_backfill_of_daily_runs(spark):
+    """Eight windows overlap at each date: picks are as deep as that; runs far apart are chains of their own."""
+    runs, rows, votes, frames = replay(spark, 3)
+    runs = [DAY + datetime.timedelta(days=k) for k in (*range(6, 26), 400, 401)]
+    frames = (spark.createDataFrame([(r,) for r in runs], "as_of date"), *frames[1:])
+    assert selection.backfill_depth(frames[0], 3) == 24
+    got = selection.backfill(*frames, ["c0", "c1", "c2"]).collect()
+    assert sorted((r.as_of, r.category, r.id, r.selection_reason) for r in got) == greedy(runs, rows, votes, True)
+    top = selection.top_candidates(*frames, most=24)
+    assert selection._chains(top).select("chain").distinct().count() >= 1
+    assert selection.backfill(frames[0].limit(0), *frames[1:], ["c0"]).count() == 0
+
+
 def test_window_ends_are_included(spark):
     ref = datetime.datetime(2026, 8, 8, 23, 59, 59)
     times = [ref, ref - datetime.timedelta(days=7), ref - datetime.timedelta(days=7, seconds=1), ref + datetime.timedelta(seconds=1)]
@@ -142,3 +156,35 @@ def test_workflow_from_papers_to_pages(spark):
     pages = {r.arxiv_id: r for r in workflows.publish(attempts, meta, before).collect()}
     assert pages["2608.8"].page == "kept" and pages["2608.9"].category_dir == "robotics"
     assert pages["2608.9"].page.endswith("# 제목\n\n$y$\n\n둘\n셋\n\n") and pages["2608.9"].page.startswith('---\ntitle: "제목"')
+
+
+def test_upkeep_rewrites_only_what_a_batch_touches(spark, tmp_path):
+    """Three batches, the last one applied twice; parts that a batch does not touch keep their files."""
+    from paperloom.streaming import jobs
+
+    schema = "arxiv_id string, category string, translated date, edition long, page string"
+    rows = [[(f"p{k}", "cs.CL", DAY, e, f"page {k} of {e}") for k in some] for e, some in enumerate((range(40), (3, 50), (3,)))]
+    for e, some in enumerate(rows):
+        spark.createDataFrame(some, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{e}"))
+        query = jobs.upkeep(jobs.read_stream(spark, spark.createDataFrame([], schema).schema, str(tmp_path / "in" / "*"), 10), str(tmp_path / "out"), str(tmp_path / "state"), parts=8)
+        query.awaitTermination()
+        assert query.exception() is None
+    got = {r.arxiv_id: r.page for r in jobs.read_archive(spark, str(tmp_path / "out"), 2).collect()}
+    assert got == {**{f"p{k}": f"page {k} of 0" for k in range(40)}, "p50": "page 50 of 1", "p3": "page 3 of 2"}
+    versions = {key: at for key, at in jobs._manifest(spark, str(tmp_path / "out"), 2).items()}
+    assert set(versions.values()) == {0, 1, 2} or set(versions.values()) == {0, 2}
+    assert sum(at == 0 for at in versions.values()) >= 5
+    # what the first batch wrote of a part that the second replaced is gone once the third has begun
+    kept = {(int(p.parent.parent.name[6:]), int(p.name[5:])) for p in (tmp_path / "out" / "pages").glob("epoch=*/category_dir=*/part=*")}
+    assert {(at, part) for (_, part), at in versions.items()} <= kept
+    assert not (tmp_path / "out" / "manifest" / "0").exists()
+
+
+def test_last_rows(spark):
+    from paperloom.operators.latest import last_rows
+
+    rows = [("a", 1, "x"), ("a", 2, "b"), ("a", 2, "c"), ("a", 2, "c"), ("b", None, "n"), (None, 1, "k"), (None, None, "z")]
+    df = spark.createDataFrame(rows, "key string, at int, content string")
+    assert sorted(((r.key or "", r.at or 0, r.content) for r in last_rows(df, ["key"], ["at", "content"]).collect())) == [("", 1, "k"), ("a", 2, "c"), ("b", 0, "n")]
+    plan = last_rows(df, ["key"], ["at", "content"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

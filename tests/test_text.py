@@ -117,3 +117,45 @@ def test_chunks_keep_every_paragraph(spark):
         for b in batches.values():
             assert len(b) == 1 or (sum(len(r.text) + 7 for r in b) <= 60 and not any(r.is_table for r in b))
             assert [r.item_index for r in b] == list(range(len(b)))
+
+
+def plain_paragraphs(text):
+    """Paragraph after paragraph: one that leaves a fence open goes on with the next."""
+    out, held = [], None
+    for p in (p for p in text.split("\n\n") if p.strip()):
+        held = p if held is None else f"{held}\n\n{p}"
+        if held.count("```") % 2 == 0:
+            out.append(held)
+            held = None
+    return out if held is None else [*out, held]
+
+
+def test_fenced_paragraphs_equal_a_plain_walk(spark):
+    parts = ["a", "```", "``", "\n\n", "\n", "\n\n\n", " ", "x y", "```py", "\t\n"]
+    texts = ["", "```", "\n\n", "```\n\n\n\ncode\n\n \n\n", *("".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(400))]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, md string")
+    got = {r.k: r.p for r in df.select("k", chunking.fenced_paragraphs(F.col("md")).alias("p")).collect()}
+    for k, text in enumerate(texts):
+        assert got[k] == plain_paragraphs(text), repr(text)
+
+
+def test_batch_places():
+    at = [(x >> 32, x & 0xFFFFFFFF) for x in vectorized.batch_places([5, 5, 3, 20, 1, 1, 9], [False, False, True, False, False, False, False], 10)]
+    assert at == [(0, 0), (0, 1), (1, 0), (2, 0), (3, 0), (3, 1), (4, 0)]
+
+
+def test_glosses_in_fences_and_headings_do_not_count(spark):
+    from paperloom.operators.pair_quality import gloss_stats
+
+    md = "말 (term)\n```\n글 (term)\n```\n# 제목 (term)\n  ```x``` 글 (term)\n글 (term)\n```\n글 (term) 글 (Other) 글 (other)"
+    assert sorted((r.term, r.occurrences) for r in gloss_stats(spark.createDataFrame([(1, md)], "doc_id long, md string")).collect()) == [("Other", 2), ("term", 2)]
+    md = "말 (Term) 글 (term)\n```\n글 (term)\n```\n글 (TERM)"
+    assert [(r.term, r.occurrences, r.removed) for r in gloss_stats(spark.createDataFrame([(1, md)], "doc_id long, md string")).collect()] == [("Term", 3, 2)]
+
+
+def test_probes_find_every_runaway():
+    for _ in range(300):
+        unit = "".join(rng.choices("ab-é", k=rng.randint(3, 80)))
+        times = rng.choice([13, 14, 15, 16, 30])
+        text = "".join(rng.choices("abcdé \n", k=rng.randint(0, 400))) + unit * times + "".join(rng.choices("abcdé \n", k=rng.randint(0, 400)))
+        assert vectorized.may_run_away(text) >= (times >= 15), (unit, times)
