@@ -138,8 +138,9 @@ def format_segments(turns: DataFrame, template: Template = DEFAULT) -> DataFrame
 def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
     """Parse formatted conversations again: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid.
 
-    ``segments`` must come in order within their partitions, as ``format_segments`` leaves them. Roles and texts are
-    taken from the running text by its marks, not from the segments' numbers; the loss flags say what is learned.
+    ``segments`` must come in order within their partitions, as ``format_segments`` leaves them; others are an error. Roles
+    and texts are taken from the running text by its marks, not from the segments' numbers; the loss flags say what is
+    learned. A conversation may be of any length, a turn is held whole.
     """
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
@@ -152,7 +153,13 @@ def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
 
         def conversations():
             current, open_ = None, False
-            for conv, _, segment, text, learn, ok in _rows(batches):
+            for conv, turn_no, segment, text, learn, ok in _rows(batches):
+                if open_ and conv == current:
+                    if (turn_no, segment) <= at:
+                        raise ValueError(f"conversation {conv}: turn {turn_no}, segment {segment} comes after {at}")
+                elif (turn_no, segment) != (0, 0):
+                    raise ValueError(f"conversation {conv} begins with turn {turn_no}, segment {segment}")
+                at = turn_no, segment
                 if not open_ or conv != current:
                     if open_:
                         yield finish()

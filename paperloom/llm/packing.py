@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from paperloom.llm.common import small_batches, text_or_empty, written
 
 CAPACITY, END_ID = 2048, 0
-#: Ranks are counted in so many parts per length.
-PARTS = 256
+#: Ranks of a length are counted in parts of about so many pieces.
+PART_ROWS = 4096
 #: Bytes of ids that leave a task at once.
 BATCH_BYTES = 16 << 20
 
@@ -66,14 +66,17 @@ class Encoder:
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, piece, start, length, ids: each text's ids and one end id, cut into pieces only where they exceed the capacity.
 
-    ids are little-endian 32-bit numbers. The first piece of a cut document takes the remainder, the others are full.
+    ids are little-endian 32-bit numbers. The first piece of a cut document takes the remainder, the others are full. Null
+    and empty texts are one end id, null ids are kept, very long texts leave in batches of pieces, rows that repeat give
+    equal pieces, other columns are ignored, an empty table gives an empty result.
     """
+    docs = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text"))
     small_batches(docs.sparkSession)
 
     def table(names: pa.Array, which: list[int], rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True) if rows else ((), (), (), ())
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([names.take(pa.array(which, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[id_col, "piece", "start", "length", "ids"])
+        return pa.RecordBatch.from_arrays([names.take(pa.array(which, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=["_id", "piece", "start", "length", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
@@ -93,8 +96,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                         which, rows, held = [], [], 0
             yield table(batch.column(0), which, rows)
 
-    source = docs.select(id_col, text_or_empty(F.col(text_col)).alias("_text"))
-    return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, piece int, start long, length long, ids binary")
+    return docs.mapInArrow(run, f"_id {docs.schema[0].dataType.simpleString()}, piece int, start long, length long, ids binary").withColumnRenamed("_id", id_col)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
@@ -169,10 +171,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray,
 def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """``pieces`` (id, piece, start, length, ids, more) with sequence_id and offset.
 
-    ``pieces`` is read twice and must not change in between (a written table). Rows that repeat are packed each for
-    itself. An empty table gives an empty result.
+    ``pieces`` is read more than once and must not change in between (a written table). Rows that repeat are packed each
+    for itself, pieces of one length in order of id, piece and ids; further columns travel along, and those named
+    sequence_id or offset are replaced. An empty table gives an empty result.
     """
-    counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
+    pieces = pieces.select(*(c for c in pieces.columns if c not in ("sequence_id", "offset")))
+    sizes = pieces.groupBy("length").count()
+    counts = {r[0]: r[1] for r in sizes.collect()}  # at most ``capacity`` rows
     runs, _ = plan(counts, capacity)
     starts = (runs[:, 0] << 40) + runs[:, 1]
 
@@ -186,8 +191,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
     def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(("sequence_id", "offset"), place(length, rank), strict=True)))
 
-    part = F.pmod(F.xxhash64(id_col, "piece"), F.lit(PARTS)).cast("int")
-    parted = pieces.withColumn("_part", part)
+    parts = sizes.select("length", F.ceil(F.col("count") / PART_ROWS).alias("_parts"))
+    parted = pieces.join(F.broadcast(parts), "length").withColumn("_part", F.pmod(F.xxhash64(id_col, "piece"), F.col("_parts")).cast("long")).drop("_parts")
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = parted.groupBy("length", "_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     within = Window.partitionBy("length", "_part").orderBy(F.col(id_col), F.col("piece"), F.col("ids"))
@@ -199,8 +204,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise, cut and pack whole documents: id, piece, start, length, ids_crc32, sequence_id, offset, ids.
 
-    Null and empty texts are one end id. The pieces with their ids are written once to the shared folder; ids_crc32 is
-    the CRC-32 of the ids that were placed.
+    Nulls, long texts, repeated rows, other columns and empty tables are as in ``token_pieces``; lengths that tie are
+    packed alike. The pieces with their ids are written once to the shared folder; ids_crc32 is the CRC-32 of the ids
+    that were placed.
     """
     placed = pack(written(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces"), capacity, id_col)
     return placed.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")

@@ -145,9 +145,9 @@ class _Level:
 def log10_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, frequent: Frequent, followed: dict[int, np.ndarray]) -> np.ndarray:
     """log10 of the probability of each key's byte after its context. ``keys`` distinct and sorted, with training counts.
 
-    ``pairs[c1, s]`` are the training counts of byte pairs, ``followed`` those of ``frequent`` contexts. An escape has the weight of the number of distinct bytes a
-    context has been followed by; bytes seen in a longer context are excluded from the shorter ones; bytes never seen
-    share the rest evenly.
+    ``pairs[c1, s]`` are the training counts of byte pairs, ``followed`` those of ``frequent`` contexts. Of twice the times
+    that a context has been followed, each byte gets twice its own times less one, and the escape gets those ones. Bytes
+    seen in a longer context are excluded from the shorter ones; bytes never seen share the rest evenly.
     """
     depth = frequent.depths(keys)
     levels = {j: _Level(keys, counts, j, depth, frequent, followed) for j in range(ORDER, LOW - 1, -1)}
@@ -186,7 +186,7 @@ def _step(out, open_, out_n, out_d, exists, total, kinds, count, lower):
     n, d = np.where(exists, total - out_n, 0), np.where(exists, kinds - out_d, 0)
     some = exists & (d > 0)
     found = some & (count > 0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        out[open_] += np.where(found, np.log10(np.maximum(count, 1)), np.where(some, np.log10(np.maximum(d, 1)), 0)) - np.where(some, np.log10(np.maximum(n + d, 1)), 0)
+    weight = np.where(found, 2 * count - 1, np.where(some, d, 1))
+    out[open_] += np.log10(weight) - np.log10(np.where(some, 2 * n, 1))
     rest = ~found
     return open_[rest], np.where(exists, lower, 0)[rest], np.where(exists, kinds, 0)[rest]

@@ -45,7 +45,10 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id") -> Forest:
-    """Fit on ``labels`` (label_id, quality 0/1): one row per id, null labels left out, at most ``most`` of them."""
+    """Fit on ``labels`` (label_id, quality 0/1): one row per id, null labels left out, at most ``most`` of them.
+
+    Of several texts under one id one is taken, the one with the least statistics, so at most ``most`` rows come to the driver.
+    """
     few = (
         labels.where("quality is not null").groupBy(F.col(label_id).alias("_id")).agg(F.max("quality").cast("double").alias("_y"))
         .orderBy(F.xxhash64("_id"), "_id").limit(most)
@@ -58,7 +61,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["_id", "_y", "_x"])
 
     joined = docs.select(F.col(id_col).alias("_id"), text_or_empty(F.col(text_col)).alias("_text")).join(F.broadcast(few), "_id").select("_id", "_y", "_text")
-    rows = joined.mapInArrow(stats, "_id " + dict(joined.dtypes)["_id"] + ", _y double, _x array<double>").toPandas().sort_values("_id", kind="stable")
+    found = joined.mapInArrow(stats, "_id " + dict(joined.dtypes)["_id"] + ", _y double, _x array<double>")
+    rows = found.groupBy("_id", "_y").agg(F.min("_x").alias("_x")).toPandas().sort_values("_id", kind="stable")
     if rows.empty:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), {})
     return fit(np.stack(rows["_x"].to_list()), rows["_y"].to_numpy(), {FEATURES.index(f): -1 for f in FALLING})
@@ -68,8 +72,8 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most
     """One row per input row: id, ``carry`` columns, the statistics STATS, p_good, base_failed, kept.
 
     kept is false for documents that fail a base rule, else true where p_good reaches the threshold. Null texts count as
-    empty (and fail the base rule), rows that repeat are judged alike, null ids are kept as they are; without usable
-    labels every document gets the base rate. An empty table gives an empty result.
+    empty (and fail the base rule), rows that repeat are judged alike, null ids are kept as they are, texts are worked on
+    whole; without usable labels every document gets the base rate. An empty table gives an empty result.
     """
     forest = train(docs, labels, most, id_col, text_col)  # some thousand numbers
     small_batches(docs.sparkSession)
@@ -88,7 +92,11 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns, whatever their names."""
+    """The documents that ``judge`` keeps, with all their columns, whatever their names.
+
+    Null and empty texts fail the base rules and go, null ids are ids like others, rows that repeat are judged alike, texts
+    may have any length, an empty table gives an empty result.
+    """
     columns = docs.columns
     plain = docs.toDF(*(f"c{k}" for k in range(len(columns))))
     name = {c: f"c{k}" for k, c in enumerate(columns)}

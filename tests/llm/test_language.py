@@ -101,6 +101,26 @@ def test_packing_pieces_and_places(spark):
     assert packed(rows) <= 1.1 * sum(r.length for r in rows) / packing.CAPACITY + 2
 
 
+def test_packing_of_odd_tables(spark):
+    """Null ids, repeated rows, ties, columns with the names of the new ones, and a length in many parts."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(None, "a b"), (None, None), (1, "a b"), (1, "a b"), (1, "a b"), (2, ("c d " * 3000).strip()), *((k, "e f") for k in range(10, 60))]
+    df = spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, ids string, sequence_id int").repartition(3)
+    pieces = packing.written(packing.token_pieces(df, path).withColumns({"offset": packing.F.lit("old"), "more": packing.F.lit(1)}), "test-pieces")
+    placed = packing.pack(pieces)
+    assert placed.columns == ["doc_id", "piece", "start", "length", "ids", "more", "sequence_id", "offset"]
+    found = placed.collect()
+    assert len(found) == pieces.count() and packed(found) <= sum(r.length for r in found) / packing.CAPACITY + 2
+    assert len({(r.sequence_id, r.offset) for r in found}) == len(found)
+    assert Counter(r.doc_id for r in found if r.doc_id in (1, None)) == {1: 3, None: 2}
+    assert sum(r.length for r in found if r.doc_id == 2) == 6001
+
+
+def test_packing_ranks_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 7)
+    test_packing_of_odd_tables(spark)
+
+
 def test_packed_sequences_hold_the_ids(spark, monkeypatch):
     from tokenizers import Tokenizer
 
@@ -169,8 +189,8 @@ class Plain:
                 continue
             n, d = sum(rest.values()), len(rest)
             if byte in rest:
-                return out + math.log10(rest[byte] / (n + d))
-            out += math.log10(d / (n + d))
+                return out + math.log10((2 * rest[byte] - 1) / (2 * n))
+            out += math.log10(d / (2 * n))
             excluded = set(seen)
         return out - math.log10(256 - len(self.next.get(b"", {})))
 

@@ -62,7 +62,7 @@ def test_stages(spark, corpus):
     assert set(near) == set(classes.values())
     order = sorted(near)
     assert set(passages) == set(near)
-    for k, (n_bytes, removed, _, _) in zip(order, brute([texts[k] for k in order]), strict=True):
+    for k, (n_bytes, removed, _, _) in zip(order, brute([texts[k] for k in order], corpus_pipeline.PASSAGE_BYTES), strict=True):
         assert len(passages[k].text.encode()) == n_bytes - removed and passages[k].n_chars == len(passages[k].text)
         assert removed or passages[k].text == texts[k]
     assert sum(len(passages[k].text) < len(texts[k]) for k in order) >= 10
@@ -80,6 +80,20 @@ def test_run_gives_the_last_stage(spark, corpus):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
+def test_repeated_rows_and_clashing_columns_through_all_stages(spark, corpus):
+    """Rows that repeat id and text, null ids and nulls in all columns; extra columns named like those of the operators."""
+    d, texts, _ = corpus
+    good = [t for t in texts.values() if len((t or "").split()) >= 150 and "#" not in t][:40]
+    rows = [(k, t, None, None, None, "x", 1) for k, t in enumerate(good)] * 2 + [(None, good[0], None, None, None, "y", 2), (None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, COLUMNS + ", runs string, _h int")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.written(stage(spark, docs, d), "test-odd")
+        if name != "best-fit packing":
+            assert docs.dtypes == before.dtypes
+    ids = [r.doc_id for r in docs.where("piece = 0").collect()]
+    assert len(ids) == len(set(ids)) and 1 < len(ids) <= 40
+
+
 def test_stages_on_an_empty_table(spark, corpus):
     d, _, _ = corpus
     none = spark.createDataFrame([], COLUMNS)

@@ -226,6 +226,41 @@ def test_conversations_read_back(spark):
             ok, state = ok and role in chat_format.DEFAULT.after.get(state, ()), role
         assert r.valid == (ok and state == "assistant")
     assert chat_format.read_back(chat_format.format_segments(df.limit(0))).count() == 0
+    with pytest.raises(Exception, match="begins with turn|comes after"):
+        chat_format.read_back(segments.coalesce(1).orderBy("text")).collect()
+
+
+def test_very_long_turns_and_conversations(spark):
+    said = "[INST] é " * 100_000
+    turns = [(1, k, "assistant" if k % 2 else "user", "x" * 50) for k in range(3000)] + [(2, 0, "user", said), (2, 1, "assistant", said)]
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_segments(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[1].valid) == (3000, 75_000, True)
+    assert got[2].loss_chars == len(said) and got[2].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_quality_of_odd_tables(spark):
+    """Very long and repeated texts, null ids, several texts under a labelled id, columns with the names of the new ones."""
+    long = " ".join(f"w{k}" for k in range(200_000))
+    rows = [(1, long), (1, long), (1, "other"), (None, long), (None, None), (2, "")]
+    df = spark.createDataFrame([(*r, "x", 3) for r in rows], "doc_id long, text string, c0 string, p_good int")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = sorted((r.doc_id or 0, r.n_words, r.base_failed) for r in quality_rules.judge(df, labels).collect())
+    assert got == [(0, 0, True), (0, 200_000, False), (1, 1, True), (1, 200_000, False), (1, 200_000, False), (2, 0, True)]
+    kept = quality_rules.keep_good(df, labels)
+    assert kept.dtypes == df.dtypes and {(r.c0, r.p_good) for r in kept.collect()} <= {("x", 3)}
+    assert quality_rules.keep_good(df.limit(0), labels).count() == 0
+
+
+def test_trees_agree_with_labels_they_have_not_seen(spark):
+    import os
+
+    data = "/root/testdata/sf0.01"
+    if not os.path.isdir(data):
+        pytest.skip("test tables are not here")
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.judge(docs, labels.where("doc_id % 4 <> 0")).join(labels.where("doc_id % 4 = 0"), "doc_id")
+    right, total = judged.agg(F.count_if((F.col("p_good") >= quality_rules.THRESHOLD) == (F.col("quality") == 1)), F.count("quality")).first()
+    assert total > 50 and right / total > 0.85, (right, total)
 
 
 # ---- exact dedup
