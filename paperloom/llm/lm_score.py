@@ -158,11 +158,12 @@ def _packed(rows: list[tuple]) -> pa.Table:
 
 
 def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     ``held_out`` is an SQL condition; the other rows are learned from. Tokens are A-Z lower-cased words and one end;
     base_score is their add-half unigram log10 probability and score the byte model's log10 probability of the words
-    with single blanks and the end, so both are about the same thing. Null texts count as empty (one token, the end),
+    with single blanks and the end, so both are about the same thing; bits_per_byte is the model's code length of these
+    bytes over their number. Null texts count as empty (one token, the end),
     a null condition as held out, rows that repeat count and score as rows, other columns are ignored; an empty table
     gives an empty result, and without training rows every byte has the probability 1/256. Null ids are ids like others.
     Rows that repeat both id and text fall into one block.
@@ -232,7 +233,7 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
         tokens, kinds = (pa.compute.sum(found.column(c)).as_py() or 0 for c in ("tokens", "kinds"))
         rest = math.log10(tokens + 0.5 * (kinds + 1))
         n = texts.num_rows
-        n_tokens, n_known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        n_tokens, n_known, n_bytes, base, score = (np.zeros(n, kind) for kind in (np.int64, np.int64, np.int64, float, float))
 
         def add(to: np.ndarray, numbers: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
             some = sizes > 0  # a piece may have no token
@@ -242,6 +243,7 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
             keys, sizes = keys_of(bodies, before)
             index, values = tables[GRAMS]
             add(score, numbers, values[index.get_indexer(keys)], sizes)
+            np.add.at(n_bytes, numbers, sizes)
             words, sizes = _word_hashes(bodies)
             index, counts = tables[WORDS]
             c = counts[index.get_indexer(words)]
@@ -250,13 +252,13 @@ def score_documents(docs: DataFrame, held_out: str, id_col: str = "doc_id", text
             add(base, numbers, np.log10(c + 0.5), sizes)
         base -= n_tokens * rest
         return pa.Table.from_arrays(
-            [texts.column("_id"), texts.column("_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([tokens] * n, pa.int64()), pa.array(base), pa.array(score)],
-            names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            [texts.column("_id"), texts.column("_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([tokens] * n, pa.int64()), pa.array(base), pa.array(score), pa.array(-score * math.log2(10) / n_bytes)],
+            names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
         )
 
     asked = blocks.groupBy("block").applyInArrow(requests, "slice long, block long, kind int, keys binary, counts binary")
     told = asked.groupBy("slice").applyInArrow(answers, "block long, kind int, keys binary, back binary, tokens long, kinds long")
     kind = source.schema["_id"].dataType.simpleString()
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        scores, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        scores, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     )

@@ -217,7 +217,9 @@ def test_lm_score_equals_plain_dictionaries(spark, block):
         r = rows[k]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out[k], len(t), sum(counts[x] > 0 for x in t), total)
         assert r.base_score == pytest.approx(sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (kinds + 1))) for x in t), rel=1e-9)
-        assert r.score == pytest.approx(model.score(b" ".join(t[:-1]) + b"\n"), rel=1e-5)
+        whole = b" ".join(t[:-1]) + b"\n"
+        assert r.score == pytest.approx(model.score(whole), rel=1e-5)
+        assert r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / len(whole), rel=1e-9)
 
 
 def test_long_streams_come_in_pieces():
