@@ -219,9 +219,13 @@ def _compared(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([*(found.column(c).take(some).combine_chunks() for c in PLACE), pa.array(list(runs.values()), RUNS_TYPE)], names=[*PLACE, "runs"])
 
 
+KIND = ("value", "other", "stretch", "low", "high", "whole", "whole2")
+
+
 def _stretches(batches: Iterator[pa.RecordBatch], cover: Cover) -> Iterator[pa.RecordBatch]:
-    """(name, span, check, copies, back, ahead, bytes) to a row (name, span, check, copies, stretch, value, other) for every
-    stretch of suffixes: number k has those k * stretch and more bytes before the sample, and hashes of what they all hold."""
+    """(name, span, check, copies, back, ahead, bytes) to a row (name, span, check, copies, KIND) for every stretch of
+    suffixes: number k has those k * stretch and more bytes before the sample, here from ``high`` down to ``low``; value and
+    other are hashes of what all suffixes of such a stretch hold, whole and whole2 of what any of these hold."""
     for batch in batches:
         back, ahead = (batch.column(c).to_numpy().astype(np.int64) for c in ("back", "ahead"))
         texts = batch.column("bytes").to_pylist()
@@ -230,32 +234,58 @@ def _stretches(batches: Iterator[pa.RecordBatch], cover: Cover) -> Iterator[pa.R
         per = back // cover.stretch - ahead // cover.stretch + 1
         rows = np.repeat(np.arange(len(texts)), per)
         number = (ahead // cover.stretch)[rows] + np.arange(rows.size) - (np.cumsum(per) - per)[rows]
-        start = (np.cumsum(sizes) - sizes + back)[rows] - number * cover.stretch
+        low, high = np.maximum(ahead[rows], number * cover.stretch), np.minimum(back[rows], (number + 1) * cover.stretch - 1)
+        sample = (np.cumsum(sizes) - sizes + back)[rows]
+        core = sample - number * cover.stretch
+        both = [Spans(raw, *base) for base in ((), (OTHER_BASE,))]
+        cores = (x.hash(core, core + cover.length - cover.stretch + 1).astype(np.int64) for x in both)
+        wholes = (x.hash(sample - high, sample - low + cover.length).astype(np.int64) for x in both)
         which = pa.array(rows)
-        hashes = (Spans(raw, *base).hash(start, start + cover.length - cover.stretch + 1).astype(np.int64) for base in ((), (OTHER_BASE,)))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(which) for c in (*PLACE, "copies")), pa.array(number.astype(np.int32)), *map(pa.array, hashes)], names=[*PLACE, "copies", "stretch", "value", "other"])
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(which) for c in (*PLACE, "copies")), *map(pa.array, cores), *(pa.array(x.astype(np.int32)) for x in (number, low, high)), *map(pa.array, wholes)],
+            names=[*PLACE, "copies", *KIND],
+        )
 
 
 def _exploded(batches: Iterator[pa.RecordBatch], cover: Cover) -> Iterator[pa.RecordBatch]:
-    """(name, span, check, copies, back, ahead, bytes, stretches) to a row (name, span, check, copies, offset, value, other)
-    for every suffix in the stretches."""
+    """(name, span, check, back, ahead, bytes, stretches, times) to a row (name, span, check, copies, offset, value, other)
+    for every suffix in the stretches, each of which stands for so many places."""
     for batch in batches:
         suffixes = _Suffixes(batch, cover.length)
-        wanted = np.zeros((batch.num_rows, cover.window // cover.stretch + 2), bool)
+        times = np.zeros((batch.num_rows, cover.window // cover.stretch + 2), np.int64)
         lists = batch.column("stretches")
-        wanted[np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()] = True
-        some = np.flatnonzero(wanted[suffixes.rows, suffixes.offsets // cover.stretch])
+        times[np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()] = batch.column("times").flatten().to_numpy()
+        copies = times[suffixes.rows, suffixes.offsets // cover.stretch]
+        some = np.flatnonzero(copies)
         which = pa.array(suffixes.rows[some])
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(which) for c in (*PLACE, "copies")), pa.array(suffixes.offsets[some].astype(np.int32)), *(pa.array(suffixes.hashes(*base)[some].astype(np.int64)) for base in ((), (OTHER_BASE,)))],
+            [*(batch.column(c).take(which) for c in PLACE), pa.array(copies[some]), pa.array(suffixes.offsets[some].astype(np.int32)), *(pa.array(suffixes.hashes(*base)[some].astype(np.int64)) for base in ((), (OTHER_BASE,)))],
             names=[*PLACE, "copies", "offset", "value", "other"],
         )
 
 
-def _met_again(rows: DataFrame) -> DataFrame:
-    """The rows (name, span, check, copies, value, other, more) whose value and other occur at two places or more."""
-    values = rows.groupBy("value", "other").agg(F.sum("copies").alias("_times"), F.count(F.lit(1)).alias("_rows")).where("_times > 1").withColumnRenamed("other", "_other")
-    return hot_join(rows, values, "value", "_rows", "span").where("other = _other").drop("_other", "_times", "_rows")
+def _hot_runs(many: DataFrame, cover: Cover) -> DataFrame:
+    """(name, span, check, runs) of the pieces (name, span, check, copies, back, ahead, bytes) of names with very many of them.
+
+    Stretches of one kind are one: if the kind has two places, all its suffixes repeat. Only kinds that share a part with
+    other kinds are looked at suffix by suffix, one piece for each kind.
+    """
+    place = "name long, span long, check long"
+    rows = written(many.mapInArrow(lambda batches: _stretches(batches, cover), f"{place}, copies long, value long, other long, stretch int, low int, high int, whole long, whole2 long"), "stretches")
+    kinds = rows.groupBy(*KIND).agg(F.sum("copies").alias("times"), F.count(F.lit(1)).alias("rows"), F.min(F.struct(*PLACE)).alias("one"))
+    cores = kinds.groupBy("value", "other").agg(F.sum("times").alias("_times"), F.count(F.lit(1)).alias("_kinds")).where("_times > 1").withColumnRenamed("other", "_other")
+    alive = written(hot_join(kinds, cores, "value", "_kinds", "whole").where("other = _other").drop("_other", "_times"), "kinds")
+    asked = alive.where("_kinds > 1").groupBy("one").agg(F.collect_list(F.struct("stretch", "times")).alias("x")).select("one.*", F.col("x.stretch").alias("stretches"), F.col("x.times").alias("times"))
+    suffixes = many.drop("copies").join(asked, [*PLACE]).mapInArrow(lambda batches: _exploded(batches, cover), f"{place}, copies long, offset int, value long, other long")
+    values = suffixes.groupBy("value", "other").agg(F.sum("copies").alias("_times"), F.count(F.lit(1)).alias("_rows")).where("_times > 1").withColumnRenamed("other", "_other")
+    met = hot_join(suffixes, values, "value", "_rows", "span").where("other = _other")
+    single = F.struct((-F.col("offset")).alias("a"), (F.lit(cover.length) - F.col("offset")).alias("b"))
+    partly = met.groupBy(F.struct(*PLACE).alias("one"), F.expr(f"offset div {cover.stretch}").cast("int").alias("stretch")).agg(F.collect_list(single).alias("partly"))
+    all_of = F.array(F.struct((-F.col("high")).alias("a"), (F.lit(cover.length) - F.col("low")).alias("b")))
+    found = alive.join(partly, ["one", "stretch"], "left").withColumn("runs", F.when(F.col("times") > 1, all_of).otherwise(F.col("partly"))).where("runs is not null")
+    found = found.select(F.xxhash64(*KIND).alias("kind"), *(F.col(c).alias(f"_{c}") for c in KIND), F.col("rows").alias("_rows"), "runs")
+    joined = hot_join(rows.withColumn("kind", F.xxhash64(*KIND)), found, "kind", "_rows", "span").where(" and ".join(f"{c} = _{c}" for c in KIND))
+    return joined.groupBy(*PLACE).agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def _bytes_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -304,12 +334,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     )
     few = pieces.where(F.col("spans") <= most_spans).drop("spans").repartition("name").sortWithinPartitions("name").mapInArrow(lambda batches: _compared(batches, length), f"{place}, runs {RUNS}")
     many = pieces.where(F.col("spans") > most_spans).drop("spans")
-    stretches = _met_again(many.mapInArrow(lambda batches: _stretches(batches, cover), f"{place}, copies long, stretch int, value long, other long"))
-    again = many.join(stretches.groupBy(*PLACE).agg(F.collect_list("stretch").alias("stretches")), [*PLACE]).select(*many.columns, "stretches")
-    suffixes = _met_again(again.mapInArrow(lambda batches: _exploded(batches, cover), f"{place}, copies long, offset int, value long, other long"))
-    single = F.struct((-F.col("offset")).alias("a"), (F.lit(length) - F.col("offset")).alias("b"))
-    hot = suffixes.groupBy(*PLACE).agg(F.collect_list(single).alias("runs"))
-    flagged = few.unionByName(hot).withColumn("all", F.xxhash64(*PLACE)).join(kinds.select(*PLACE, "copies"), [*PLACE]).select("all", *PLACE, "runs", "copies")
+    if many.limit(1).count():
+        few = few.unionByName(_hot_runs(many, cover))
+    flagged = few.withColumn("all", F.xxhash64(*PLACE)).join(kinds.select(*PLACE, "copies"), [*PLACE]).select("all", *PLACE, "runs", "copies")
     placed = mixed_.withColumn("all", F.xxhash64(*PLACE)).withColumnsRenamed({c: f"_{c}" for c in PLACE})
     partly = hot_join(placed, flagged, "all", "copies", "_id").where(" and ".join(f"{c} = _{c}" for c in PLACE)).select(
         "_id", "_k", F.transform("runs", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b"))).alias("runs")
