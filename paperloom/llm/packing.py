@@ -11,6 +11,7 @@ from __future__ import annotations
 import bisect
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperloom.llm.common import small_batches, text_or_empty, written
 
@@ -44,7 +46,8 @@ def byte_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Texts to little-endian 32-bit ids, as the tokenizer of a file gives them for the whole text.
+    """Texts to little-endian ids, of 16 bits where the vocabulary allows, else 32, as the tokenizer of a file gives them for
+    the whole text.
 
     Texts of plain signs go through the faster engine, over the tokens of the same file; the others, and those in which
     a special token may stand, through the tokenizer itself.
@@ -55,18 +58,27 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.engine = tiktoken.Encoding(path, pat_str=CUTS, mergeable_ranks=byte_ranks(path), special_tokens={})
 
     def encode(self, text: str) -> bytes:
         if "<|" in text or ODD.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return np.array(self.engine.encode_ordinary(text), "<u4").tobytes()
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.engine.encode_ordinary(text)
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+
+@F.pandas_udf(T.LongType())
+def wide_crc32(ids: pd.Series, length: pd.Series) -> pd.Series:
+    """CRC-32 of pieces' ids as 32-bit numbers; ``length`` says how many there are."""
+    return pd.Series([zlib.crc32(np.frombuffer(x, f"<u{len(x) // n}").astype("<u4")) for x, n in zip(ids, length, strict=True)], dtype="int64")
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, piece, start, length, ids: each text's ids and one end id, cut into pieces only where they exceed the capacity.
 
-    ids are little-endian 32-bit numbers. The first piece of a cut document takes the remainder, the others are full. Null
+    ids are little-endian numbers of 16 bits, or 32 where the vocabulary has more than 65,536 entries. The first piece of a cut document takes the remainder, the others are full. Null
     and empty texts are one end id, null ids are kept, very long texts leave in batches of pieces, rows that repeat give
     equal pieces, other columns are ignored, an empty table gives an empty result.
     """
@@ -83,14 +95,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         for batch in batches:
             which, rows, held = [], [], 0
             for k, packed in enumerate(map(encoder.encode, batch.column(1).to_pylist())):
-                packed += END_ID.to_bytes(4, "little")
-                n = len(packed) // 4
+                width = encoder.width
+                packed += END_ID.to_bytes(width, "little")
+                n = len(packed) // width
                 start, piece = 0, 0
                 while start < n:
                     length = (n % capacity or capacity) if start == 0 else capacity
                     which.append(k)
-                    rows.append((piece, start, length, packed[4 * start : 4 * (start + length)]))
-                    start, piece, held = start + length, piece + 1, held + 4 * length
+                    rows.append((piece, start, length, packed[width * start : width * (start + length)]))
+                    start, piece, held = start + length, piece + 1, held + width * length
                     if held >= BATCH_BYTES:
                         yield table(batch.column(0), which, rows)
                         which, rows, held = [], [], 0
@@ -206,10 +219,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
 
     Nulls, long texts, repeated rows, other columns and empty tables are as in ``token_pieces``; lengths that tie are
     packed alike. The pieces with their ids are written once to the shared folder; ids_crc32 is the CRC-32 of the ids
-    that were placed.
+    that were placed, as 32-bit numbers.
     """
     placed = pack(written(token_pieces(docs, tokenizer_path, capacity, id_col, text_col), "pieces"), capacity, id_col)
-    return placed.select(id_col, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")
+    return placed.select(id_col, "piece", "start", "length", wide_crc32("ids", "length").alias("ids_crc32"), "sequence_id", "offset", "ids")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

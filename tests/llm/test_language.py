@@ -129,11 +129,11 @@ def test_packed_sequences_hold_the_ids(spark, monkeypatch):
     model = Tokenizer.from_file(path)
     texts = [*TEXTS, " ".join(rng.choices(WORDS, k=3000))]
     placed = packing.written(packing.pack_documents(table(spark, texts), path, 64), "test-placed")
-    whole = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(placed).collect()}
+    whole = {r.sequence_id: np.frombuffer(r.ids, "<u2") for r in packing.sequences(placed).collect()}
     by = defaultdict(list)
     for r in placed.collect():
         by[r.doc_id].append((r.start, whole[r.sequence_id][r.offset : r.offset + r.length].tolist()))
-        assert by[r.doc_id][-1][1] == np.frombuffer(r.ids, "<u4").tolist()
+        assert by[r.doc_id][-1][1] == np.frombuffer(r.ids, "<u2").tolist()
     assert max(map(len, whole.values())) <= 64 and sum(map(len, whole.values())) == sum(r.length for r in placed.collect())
     for k, text in enumerate(texts):
         assert [i for _, ids in sorted(by[k]) for i in ids] == [*model.encode(text or "", add_special_tokens=False).ids, 0]
