@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import small_batches, text_or_empty
+from paperloom.llm.common import discard, small_batches, text_or_empty, written
 from paperloom.llm.ppm_trie import END, LOW, ORDER, Frequent, distinct, keys_of, log10_probabilities, pairs_of, slice_of, stream, summed
 from paperloom.llm.text_stats import Spans
 
@@ -143,9 +143,12 @@ def _followed(batches: Iterator[pa.RecordBatch], frequent: Frequent) -> Iterator
 def _summed_up(rows: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """(kind, value, count) rows added up by Spark, as arrays (value, count) for each kind; of contexts the
     ``most`` largest counts of each kind."""
-    summed_rows = rows.groupBy("kind", "value").agg(F.sum("count").alias("count"))
-    order = Window.partitionBy("kind").orderBy(F.desc("count"), "value")
-    table = summed_rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= F.when(F.col("kind") < LOW, 1 << 16).otherwise(most)).drop("_n").toArrow()
+    sums = written(rows.groupBy("kind", "value").agg(F.sum("count").alias("count")), "counts")
+    found = sums.where(F.col("kind") < LOW)
+    for j in range(LOW, ORDER + 1):
+        found = found.unionByName(sums.where(F.col("kind") == j).orderBy(F.desc("count"), "value").limit(most))
+    table = found.toArrow()
+    discard(sums)
     kinds, values, counts = (table.column(c).to_numpy() for c in ("kind", "value", "count"))
     return {int(k): (values[kinds == k], counts[kinds == k]) for k in np.unique(kinds)}
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, suffix_dedup, url_filter
 from paperloom.llm.common import read
