@@ -25,7 +25,7 @@ from paperloom.llm.common import small_batches, text_or_empty, written
 
 CAPACITY, END_ID = 2048, 0
 #: Ranks of a length are counted in parts of about so many pieces.
-PART_ROWS = 4096
+PART_ROWS = 1024
 #: Bytes of ids that leave a task at once.
 BATCH_BYTES = 16 << 20
 
