@@ -21,8 +21,18 @@ GLOSS = re.compile(r"(?<=[가-힣])( ?)\(([^()\n]{1,80})\)")
 CITATION = re.compile(r"(?:19|20)\d{2}[a-z]?|et al", re.IGNORECASE)
 
 
-#: Characters that are compared at a place of the grid before a period is tried in full.
-PROBE = 16
+#: Characters that are compared at a place of the grid before a period is tried in full, and of the strings that are met again.
+PROBE, GRAM = 16, 8
+
+
+def _meets_itself(codes: np.ndarray) -> bool:
+    """Do as many strings of GRAM characters come again within MOST_UNIT as the shortest runaway holds? Most texts stop here."""
+    h = np.zeros(codes.size - GRAM + 1, np.uint64)
+    for k in range(GRAM):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + h.size]
+    order = np.argsort(h, kind="stable")
+    again = (h[order][1:] == h[order][:-1]) & (np.diff(order) <= MOST_UNIT)
+    return int(np.count_nonzero(again)) >= LEAST_UNIT * (REPEATS - 1) - GRAM
 
 
 def _holds(codes: np.ndarray, newline: np.ndarray, period: int, need: int) -> bool:
@@ -42,6 +52,8 @@ def may_run_away(text: str) -> bool:
     if len(text) < LEAST_UNIT * REPEATS:
         return False
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    if not _meets_itself(codes):
+        return False
     newline = codes == 10
     for period in range(LEAST_UNIT, MOST_UNIT + 1):
         need = period * (REPEATS - 1)
