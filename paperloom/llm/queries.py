@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, suffix_dedup, url_filter
+from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, suffix_dedup, token_alignment, url_filter, whitening
 from paperloom.llm.common import read
 
 
@@ -62,6 +62,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(read(spark, sf_dir, "documents"), "crc32(cast(doc_id as string)) % 5 = 1")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(read(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -73,6 +81,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_score": op10_lm_score,
+    "op11_whitening": op11_whitening,
+    "op12_token_alignment": op12_token_alignment,
 }
 ORACLES = {
     "op1_sharding": sharding.oracle(SHARD_BYTES),
