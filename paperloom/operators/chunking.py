@@ -24,16 +24,21 @@ def paragraphs(c: Column) -> Column:
 
 
 #: A fence up to its end or, where it is not closed, to the end of the text; and what joins paragraphs inside it. Fixed values.
-OPEN_FENCE, INNER_BREAK = r"(?s)```.*?(?:```|\z)", "\0"
+OPEN_FENCE = r"(?s)```.*?(?:```|\z)"
+#: While a text is split, what joins paragraphs inside a fence, and a NUL of the text's own.
+INNER_BREAK, OWN_NUL = "\0b", "\0n"
 
 
 def fenced_paragraphs(c: Column) -> Column:
     """Paragraphs, those of a code fence that holds empty lines as one; an unclosed fence takes all that follows.
 
-    Breaks inside fences are hidden while the text is split, so the work is linear in the text.
+    Breaks inside fences are hidden while the text is split, so the work is linear in the text. The sign that hides them
+    may stand in the text too.
     """
+    c = F.replace(c, F.lit("\0"), F.lit(OWN_NUL))
     bare = lambda m: F.regexp_replace(F.regexp_replace(m, r"(?U)\n\n\s*\z", ""), r"(?U)\n\n(?:\s*?\n\n)*+", INNER_BREAK)
-    return F.transform(paragraphs(rewrite(c, OPEN_FENCE, lambda gap: gap, bare)), lambda p: F.replace(p, F.lit(INNER_BREAK), F.lit("\n\n")))
+    shown = lambda p: F.replace(F.replace(p, F.lit(INNER_BREAK), F.lit("\n\n")), F.lit(OWN_NUL), F.lit("\0"))
+    return F.transform(paragraphs(rewrite(c, OPEN_FENCE, lambda gap: gap, bare)), shown)
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -95,13 +100,17 @@ def assemble_tables(tables: DataFrame, cells: DataFrame, translated: DataFrame)
     return tables.select(*key, rule.alias("rule")).join(bodies, key).select(*key, out.alias("md"))
 
 
+def answer_parts(response: Column) -> Column:
+    """Parts of a batch's answer: trimmed, empty ones left out."""
+    return F.filter(F.transform(F.split(response, DELIMITER, -1), strip), lambda p: p != "")
+
+
 def align_response(df: DataFrame) -> DataFrame:
     """(doc_id, items, response, finish_reason) to (…, parts, fail_reason).
 
     A response that was cut off or does not have as many parts as items is refused; a single item is not split.
     """
-    parts = F.filter(F.transform(F.split("response", DELIMITER, -1), strip), lambda p: p != "")
-    parts = F.when(F.size("items") == 1, F.array("response")).otherwise(parts)
+    parts = F.when(F.size("items") == 1, F.array("response")).otherwise(answer_parts(F.col("response")))
     reason = F.when(F.col("finish_reason") == "length", "length_truncated").when(F.size("parts") != F.size("items"), "item_count_mismatch")
     return df.withColumn("parts", parts).withColumn("fail_reason", reason)
 
@@ -113,13 +122,16 @@ def aligned_items(aligned: DataFrame) -> DataFrame:
 
 
 def bisect(failed: DataFrame) -> DataFrame:
-    """(doc_id, path, items) of refused batches to their halves; a single item cannot be halved and is an error row."""
+    """(doc_id, path, items, more) of refused batches to their halves, with ``error``; a single item cannot be halved and is
+    an error row. A column ``start``, the place of the first item in the whole batch, moves along; others stay."""
     n = F.size("items")
     half = F.floor(n / 2).cast("int")
-    side = lambda name, items: F.struct(F.concat("path", F.lit(name)).alias("path"), items.alias("items"), F.lit(None).cast("string").alias("error"))
-    whole = F.struct(F.col("path"), F.col("items"), F.lit("single_item_truncated").alias("error"))
-    halves = F.array(side(".L", F.slice("items", F.lit(1), half)), side(".R", F.slice("items", half + 1, n)))
-    return failed.select("doc_id", F.explode(F.when(n > 1, halves).otherwise(F.array(whole))).alias("x")).select("doc_id", "x.path", "x.items", "x.error")
+    start = F.col("start") if "start" in failed.columns else F.lit(0)
+    side = lambda name, at, items: F.struct(F.concat("path", F.lit(name)).alias("path"), at.alias("start"), items.alias("items"), F.lit(None).cast("string").alias("error"))
+    whole = F.struct(F.col("path"), start.alias("start"), F.col("items"), F.lit("single_item_truncated").alias("error"))
+    halves = F.array(side(".L", start, F.slice("items", F.lit(1), half)), side(".R", start + half, F.slice("items", half + 1, n)))
+    kept = [c for c in failed.columns if c not in ("path", "start", "items", "error")]
+    return failed.select(*kept, F.explode(F.when(n > 1, halves).otherwise(F.array(whole))).alias("_x")).select(*kept, "_x.path", "_x.start", "_x.items", "_x.error")
 
 
 def assemble_docs(batches: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from paperloom.operators import archive as a
 from paperloom.operators import runlog
 from paperloom.plans.views import spark_view, sql, table
 from paperloom.sources import readers, writers
+from paperloom.sources.tables import scratch
 from paperloom.streaming import jobs
 
 SITE = "https://example.org/site/"
@@ -22,14 +22,6 @@ def day():
     return F.date_add(F.col("base_date"), F.col("edition").cast("int") % 20)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; a temporary one only where all is one machine and no folder is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.split("[")[0] != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-    return f"{(root or tempfile.mkdtemp(prefix='paperloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _archive(spark, d) -> DataFrame:
     return spark_view(spark, d, "archive").withColumn("translated", day())
 
@@ -196,18 +188,13 @@ def counters(spark, d):
 
 
 def daily_counters(spark, d):
-    """Counters per day over the log in order of time, with a watermark: a day is given out once it cannot change."""
-    source, out = scratch(spark, "calls"), scratch(spark, "days")
+    """Counters per day over the log as files in no order of time, drained: each file has rows of all days."""
+    source, root = scratch(spark, "calls"), scratch(spark, "days")
     calls = spark_view(spark, d, "calls").select(F.col("ts").cast("timestamp").alias("ts"), "run_id", "call_kind", "cache_hit", "validation_fail_reason")
-    end = calls.agg(F.timestamp_add("DAY", F.lit(3), F.max("ts")).alias("ts"))  # one later row drives the watermark past the last day
-    last = end.where("ts is not null").select("ts", *(F.lit(None).cast(t).alias(c) for c, t in calls.dtypes[1:])).withColumn("call_kind", F.lit("end"))
-    calls.repartitionByRange(3, "ts").write.parquet(f"{source}/a")
-    last.write.parquet(f"{source}/b")
-    files = spark.read.parquet(f"{source}/a")
-    stream = jobs.read_stream(spark, files.schema, f"{source}/*", 1)
-    counted = jobs.live_counters(stream, "1 day").select(F.col("window.start").alias("day"), "run_id", "validation_fail_reason", "calls", "hits")
-    _drained(counted.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start())
-    return spark.read.parquet(out).where("run_id is not null").withColumn("day", F.to_date("day"))
+    calls.repartition(3).write.parquet(source)
+    query = jobs.daily_counters(jobs.read_stream(spark, spark.read.parquet(source).schema, source), root, scratch(spark, "state"), fold=2)
+    _drained(query)
+    return jobs.read_daily(spark, root, query.lastProgress["batchId"], fold=2)
 
 
 def feed_files(spark, d):

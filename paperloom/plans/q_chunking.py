@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.parallel import is_table
 from paperloom.functions.strings import strip
+from paperloom.operators import cascade
 from paperloom.operators import chunking as k
 from paperloom.plans.views import spark_view, sql
+from paperloom.sources.tables import written
 
 #: Small batches, so that the short test documents fill several.
 MOST = 1000
@@ -74,7 +76,29 @@ def documents(spark, d):
     return k.assemble_docs(batches.select("doc_id", "batch_index", F.array_join("x.text", "\n\n").alias("text"))).select("doc_id", strip(F.col("md")).alias("md"))
 
 
+def _tree(spark, d):
+    batches, answers = written(spark_view(spark, d, "item_batches"), "batches"), written(spark_view(spark, d, "node_answers"), "answers")
+    return batches, answers, cascade.cascade(batches, answers)
+
+
+def nodes(spark, d):
+    return _tree(spark, d)[2].select("doc_id", "path", F.col("start").cast("long").alias("start"), F.col("n").cast("long").alias("n"), "state")
+
+
+def waiting(spark, d):
+    batches, _, reached = _tree(spark, d)
+    return cascade.cascade_work(batches, reached).select("doc_id", "path", "input")
+
+
+def documents_of_halves(spark, d):
+    """Documents that the cascade brings back whole, in order, from answers at up to four depths."""
+    batches, answers, reached = _tree(spark, d)
+    items = cascade.cascade_items(batches, answers, reached)
+    return cascade.reassemble(batches, items.select("doc_id", "batch_index", "item_index", F.col("response").alias("text")))
+
+
 QUERIES = {
+    "k10_cascade": nodes, "k10_cascade_work": waiting, "k11_cascade_docs": documents_of_halves,
     "k1_paragraphs": _texts("k1", k.paragraphs), "k2_merge_fences": _texts("k2", k.fenced_paragraphs), "k3_is_table": tables, "k4_chunk": chunked, "k5_batch_stats": stats, "k6_explode_cells": cells,
     "k7_assemble_tables": assembled_tables, "k8_batch_input": inputs, "k9_align_response": aligned, "k9_aligned_items": aligned_rows, "k10_bisect": halves, "k11_assemble_docs": documents,
 }
@@ -101,7 +125,22 @@ cl as (select doc_id, cast(0 as bigint) as batch_index, row, unnest(cs) as cell,
 ALIGN = """with a as (select doc_id, items, finish_reason, case when len(items) = 1 then [response] else list_filter(list_transform(string_split(response, '<<<P>>>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') end as parts from f_responses),
 b as (select *, case when finish_reason = 'length' then 'length_truncated' when len(parts) <> len(items) then 'item_count_mismatch' end as fail_reason from a)
 """
+_TREE = """with a as (select doc_id, path, response, finish_reason, list_filter(list_transform(string_split(response, '<<<P>>>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') as parts from f_node_answers),
+tree as (select b.doc_id, '0' as path, 0 as start, len(items) as n from f_item_batches b
+ union all select t.doc_id, concat(t.path, s.side), case when s.side = '.L' then t.start else t.start + t.n // 2 end, case when s.side = '.L' then t.n // 2 else t.n - t.n // 2 end
+ from tree t join a on a.doc_id = t.doc_id and a.path = t.path, (values ('.L'), ('.R')) s(side) where t.n > 1 and (a.finish_reason = 'length' or len(a.parts) <> t.n)),
+st as (select t.doc_id, t.path, t.start, t.n, a.response, a.parts, case when a.path is null then 'asked' when t.n = 1 and a.finish_reason = 'length' then 'error' when t.n > 1 and (a.finish_reason = 'length' or len(a.parts) <> t.n) then 'split' else 'fits' end as state
+ from tree t left join a on a.doc_id = t.doc_id and a.path = t.path)
+"""
 ORACLES = {
+    "k10_cascade": sql(_TREE + "select doc_id, path, cast(start as bigint) as start, cast(n as bigint) as n, state from st", "node_answers", "item_batches", recursive=True),
+    "k10_cascade_work": sql(_TREE + "select st.doc_id, path, array_to_string(items[start + 1:start + n], chr(10)||chr(10)||'<<<P>>>'||chr(10)||chr(10)) as input from st join f_item_batches b on b.doc_id = st.doc_id where state = 'asked'", "node_answers", "item_batches", recursive=True),
+    "k11_cascade_docs": sql(
+        _TREE + """, it as (select doc_id, start + generate_subscripts(ps, 1) as k, unnest(ps) as text from (select doc_id, start, case when n = 1 then [response] else parts end as ps from st where state = 'fits')),
+ok as (select b.doc_id from f_item_batches b join it on it.doc_id = b.doc_id group by b.doc_id, len(b.items) having count(*) = len(b.items))
+select doc_id, string_agg(text, chr(10)||chr(10) order by k) as md from it where doc_id in (select doc_id from ok) group by 1""",
+        "node_answers", "item_batches", recursive=True,
+    ),
     "k1_paragraphs": sql(f"with {_PARAS.format('f_papers_md')} select doc_id, n - 1 as pos, text from p", "papers_md"),
     "k2_merge_fences": sql(f"with {_PARAS.format('f_papers_md')} select doc_id, pos, text from mer", "papers_md"),
     "k3_is_table": sql(f"select doc_id, length(md) as chars, {_TABLE.format('md')} as is_table from (select doc_id, md from f_tables union all select doc_id, md from f_papers_md)", "tables", "papers_md"),

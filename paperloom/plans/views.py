@@ -11,6 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 _TABLE = re.compile(r":(region|nation|customer|supplier|part|orders|lineitem|events|documents|embeddings|pages|benchmark|labels|conversations)\b")
 
+#: Answers logged for the nodes of each document's tree of lines, three halvings deep; some nodes have none. ``{cut}`` takes
+#: ``{count}`` items from a place counted from 1.
+_TREE = """with t0 as (select doc_id, '0' as path, 0 as start, {size} as n, {lines} as items from :documents),
+t1 as (select doc_id, concat(path, '.L') as path, start, n {div} 2 as n, items from t0 where n > 1 union all select doc_id, concat(path, '.R'), start + n {div} 2, n - n {div} 2, items from t0 where n > 1),
+t2 as (select doc_id, concat(path, '.L') as path, start, n {div} 2 as n, items from t1 where n > 1 union all select doc_id, concat(path, '.R'), start + n {div} 2, n - n {div} 2, items from t1 where n > 1),
+t3 as (select doc_id, concat(path, '.L') as path, start, n {div} 2 as n, items from t2 where n > 1 union all select doc_id, concat(path, '.R'), start + n {div} 2, n - n {div} 2, items from t2 where n > 1)
+select doc_id, 0 as batch_index, path, 1 as attempt, {join} as response, case when (doc_id + start) % 19 = 0 then 'length' else 'stop' end as finish_reason
+ from (select * from t0 union all select * from t1 union all select * from t2 union all select * from t3) t where (doc_id * 7 + start + n) % 23 > 0"""
+#: A part of the items is missing in some answers: the first one, where there are several.
+_LOST = "case when n > 1 and (doc_id + n) % 3 < 2 and length(path) < 6 then 1 else 0 end"
+
 BOTH = {
     "candidates": """select distinct concat('c', cast(l_suppkey % 5 as varchar(9))) as category, cast(o_orderkey as varchar(19)) as id,
  concat('Paper ', cast(o_orderkey as varchar(19)), ' on ', o_orderpriority) as title, o_orderdate as published,
@@ -40,6 +51,8 @@ _MD = r"""case when i%13=0 then concat('#### ',cast(i as varchar(9)),'.2 ',x) wh
  when i%13=9 then concat('<span id="p',cast(i as varchar(9)),'"></span>') when i%13=10 then concat('$$z_',cast(i as varchar(9)),'$$ (',cast(i as varchar(9)),')') when i%13=11 then '```' else x end"""
 
 SPARK = BOTH | {
+    "node_answers": _TREE.format(size="size(split(text,'\\n',-1))", lines="split(text,'\\n',-1)", div="div", join=f"array_join(transform(slice(items, start + 1 + {_LOST}, n - {_LOST}), x -> concat('t:', x)), '\\n\\n<<<P>>>\\n\\n')"),
+    "item_batches": r"select doc_id, 0 as batch_index, split(text,'\n',-1) as items from :documents",
     "upvotes": """select cast(l_orderkey as varchar(19)) as id, date_add(cast(o_orderdate as date), l_linenumber) as snapshot_date,
  case when l_linestatus='O' and l_returnflag='A' then null else cast(floor(l_quantity) as bigint) end as upvotes from :lineitem join :orders on l_orderkey=o_orderkey where l_returnflag <> 'N'""",
     "runs": "select explode(sequence(date'1995-01-15', date'2001-07-29', interval 7 day)) as as_of",
@@ -54,6 +67,8 @@ SPARK = BOTH | {
 }
 
 DUCK = BOTH | {
+    "node_answers": _TREE.format(size="len(string_split(text, chr(10)))", lines="string_split(text, chr(10))", div="//", join=f"array_to_string(list_transform(items[start + 1 + {_LOST}:start + n], lambda x: concat('t:', x)), chr(10)||chr(10)||'<<<P>>>'||chr(10)||chr(10))"),
+    "item_batches": "select doc_id, 0 as batch_index, string_split(text, chr(10)) as items from :documents",
     "upvotes": """select cast(l_orderkey as varchar(19)) as id, cast(o_orderdate as date) + l_linenumber as snapshot_date,
  case when l_linestatus='O' and l_returnflag='A' then null else cast(floor(l_quantity) as bigint) end as upvotes from :lineitem join :orders on l_orderkey=o_orderkey where l_returnflag <> 'N'""",
     "runs": "select cast(d as date) as as_of from (select unnest(generate_series(date '1995-01-15', date '2001-07-29', interval 7 day)) as d)",

@@ -175,7 +175,7 @@ def test_upkeep_rewrites_only_what_a_batch_touches(spark, tmp_path):
     assert set(versions.values()) == {0, 1, 2} or set(versions.values()) == {0, 2}
     assert sum(at == 0 for at in versions.values()) >= 5
     # what the first batch wrote of a part that the second replaced is gone once the third has begun
-    kept = {(int(p.parent.parent.name[6:]), int(p.name[5:])) for p in (tmp_path / "out" / "pages").glob("epoch=*/category_dir=*/part=*")}
+    kept = {(int(p.parent.parent.name[6:]), int(p.name[5:])) for p in (tmp_path / "out" / "pages").glob("epoch=*/folder=*/part=*")}
     assert {(at, part) for (_, part), at in versions.items()} <= kept
     assert not (tmp_path / "out" / "manifest" / "0").exists()
 
