@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, piece_codec, quality_rules, sharding, suffix_dedup, token_alignment, url_filter, whitening
+from paperloom.llm import chat_format, exact_dedup, jaccard_join, lm_score, packing, pii, piece_codec, quality_rules, sharding, suffix_dedup, token_alignment, url_filter, whitening
 from paperloom.llm.common import read
 
 
@@ -70,6 +70,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -83,6 +87,7 @@ QUERIES = {
     "op10_lm_score": op10_lm_score,
     "op11_whitening": op11_whitening,
     "op12_token_alignment": op12_token_alignment,
+    "op13_pii": op13_pii,
 }
 ORACLES = {
     "op1_sharding": sharding.oracle(SHARD_BYTES),
