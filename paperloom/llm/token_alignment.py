@@ -72,48 +72,52 @@ def joined(table: pa.Array, at: np.ndarray) -> tuple[np.ndarray, memoryview]:
     return ends.astype(np.int64), memoryview(found.buffers()[2] or b"") if len(found) else memoryview(b"")
 
 
-def _seek(mine: np.ndarray, other: np.ndarray, at: np.ndarray, bound: np.ndarray, step: int) -> np.ndarray:
-    """First value of ``mine`` and ``other`` alike that is met going up (step 1) or down (-1) from mine[at], or -1 where
-    ``bound`` is reached first. The lists look each other up in turn by bisection."""
-    out = np.full(len(at), -1, np.int64)
-    todo = np.arange(len(at))
-    value = mine[at]
-    lists = (other, mine)
-    turn = 0
-    while True:
+def _seek(first: np.ndarray, second: np.ndarray, at: np.ndarray, bound: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both lists of the first value alike that is met going up (step 1) or down (-1) from first[at], -1 where
+    ``bound`` is reached before. The lists look each other up in turn by bisection."""
+    found = np.full((2, len(at)), -1, np.int64)
+    todo, mine, value = np.arange(len(at)), at, first[at]
+    for turn in itertools.cycle((0, 1)):
         alive = value < bound[todo] if step > 0 else value > bound[todo]
-        todo, value = todo[alive], value[alive]
+        if not alive.all():
+            todo, mine, value = todo[alive], mine[alive], value[alive]
         if not len(todo):
-            return out
-        ends = lists[turn]
-        place = np.searchsorted(ends, value, "left" if step > 0 else "right") - (step < 0)
-        seen = np.where(place >= 0, ends[np.maximum(place, 0)], -1)
+            return found[0], found[1]
+        ends = (second, first)[turn]
+        place = np.searchsorted(ends, value) if step > 0 else np.searchsorted(ends, value, "right") - 1
+        seen = np.where(place >= 0, ends[place], -1)
         same = seen == value
-        out[todo[same]] = value[same]
-        todo, value = todo[~same], seen[~same]
-        turn = 1 - turn
+        found[turn, todo[same]], found[1 - turn, todo[same]] = mine[same], place[same]
+        todo, mine, value = todo[~same], place[~same], seen[~same]
 
 
 def groups(first: np.ndarray, second: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Byte ends, ascending, of the groups between cuts that both lists of token ends share.
 
-    Intervals (starts, ends) are the texts; both lists hold every interval's end. Cutless intervals are groups.
+    Intervals (starts, ends) are the texts, in order; both lists hold every interval's end. Cutless intervals are groups.
+    An interval is its tokens' places in both lists; it stays in order of place, so look-ups run along the lists.
     """
+    edges = [np.searchsorted(x, ends) + 1 for x in (first, second)]
+    spans = np.stack([np.append(0, edges[0][:-1]), edges[0], np.append(0, edges[1][:-1]), edges[1], starts, ends])
     done = []
-    low, high = starts, ends
-    while len(low):
-        a, b = np.searchsorted(first, low, "right"), np.searchsorted(first, high)  # ends inside: [a, b)
-        inside = (b > a) & (np.searchsorted(second, low, "right") < np.searchsorted(second, high))
-        done.append(high[~inside])
-        low, high, a, b = low[inside], high[inside], a[inside], b[inside]
-        middle = (a + b) // 2
-        cut = _seek(first, second, middle, high, 1)
-        missed = np.flatnonzero((cut < 0) & (middle > a))
-        cut[missed] = _seek(first, second, middle[missed] - 1, low[missed], -1)
-        leaf = cut < 0
-        done.append(high[leaf])
-        low, high, cut = low[~leaf], high[~leaf], cut[~leaf]
-        low, high = np.concatenate([low, cut]), np.concatenate([cut, high])
+    while spans.shape[1]:
+        a, b, c, d, low, high = spans
+        several = (b - a > 1) & (d - c > 1)  # a side with one token leaves no room for a cut
+        done.append(high[~several])
+        if not several.all():
+            a, b, c, d, low, high = spans = spans[:, several]
+        middle = (a + b - 1) // 2
+        i, j = _seek(first, second, middle, high, 1)
+        missed = np.flatnonzero((i < 0) & (middle > a))
+        i[missed], j[missed] = _seek(first, second, middle[missed] - 1, low[missed], -1)
+        cut = i >= 0
+        done.append(high[~cut])
+        if not cut.all():
+            a, b, c, d, low, high = spans[:, cut]
+            i, j = i[cut], j[cut]
+        at = first[i]
+        halves = [(a, i + 1), (i + 1, b), (c, j + 1), (j + 1, d), (low, at), (at, high)]
+        spans = np.stack([np.stack(pair, 1).ravel() for pair in halves])
     return np.sort(np.concatenate(done)) if done else np.zeros(0, np.int64)
 
 
