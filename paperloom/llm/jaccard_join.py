@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.arrow_groups import group_edges, text_runs, whole_groups
@@ -29,9 +29,8 @@ STEPS = range(16, HASHES + 1, 16)
 BUCKET_ROWS, FAMILY_SHINGLES, FAMILY_ROWS = 4096, 1 << 20, 4096
 #: A family of more than LEAST_ROWS rows is dealt in BLOCKS blocks, as long as these have between LEAST_ROWS and FAMILY_ROWS rows.
 LEAST_ROWS, BLOCKS = 128, 16
-#: Buckets with more rows than this are divided by the other bands of their rows: dealing pairs of blocks would make more
-#: copies of a row. A pair at the threshold that shares a band shares no other one less than once in 1e7.
-VAST_ROWS = (BANDS - 1) * BUCKET_ROWS
+#: Rows of a bucket of several blocks that all its rows are compared with before any blocks are dealt.
+PIVOTS = 32
 CHUNK_BYTES = 1 << 20
 #: Surviving pairs of a block that are verified at once.
 PAIRS = 1 << 17
@@ -79,14 +78,68 @@ def _crowded(buckets: DataFrame) -> DataFrame:
     return hot_join(buckets, crowded, "band", "rows", "key").select("band", "key", "rows")
 
 
+def _compared_with_pivots(large: DataFrame, table: list[tuple[int, int]]) -> DataFrame:
+    """(band, key, sig, mask): of the bucket's PIVOTS rows with the smallest hashes those that a row survives with, as bits.
+
+    A bucket is read in shares of BUCKET_ROWS rows; its pivots are copied to each.
+    """
+    order = Window.partitionBy("band").orderBy(F.xxhash64("key"), "key")
+    shares = F.ceil(F.col("rows") / BUCKET_ROWS).cast("int")
+    pivots = large.withColumn("pivot", F.row_number().over(order) - 1).where(F.col("pivot") < PIVOTS)
+    copies = pivots.select("band", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"), "pivot", "key", "sig")
+    rows = large.select("band", F.pmod(F.xxhash64("key"), shares).cast("int").alias("share"), F.lit(PIVOTS).alias("pivot"), "key", "sig")
+    together = copies.unionByName(rows).repartition("band", "share").sortWithinPartitions("band", "share", "pivot")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in whole_groups(batches, 2):
+            firsts = group_edges(found, 2)
+            sigs = np.frombuffer(b"".join(found.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
+            pivot = found.column("pivot").to_numpy()
+            masks = np.zeros(len(sigs), np.int64)
+            for start, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+                first = start + int((pivot[start:end] < PIVOTS).sum())
+                for k in range(start, first):
+                    hit = first + survivors(np.broadcast_to(sigs[k], (end - first, HASHES)), sigs[first:end], table)
+                    masks[hit] |= 1 << int(pivot[k])
+            rows = pa.array(np.flatnonzero(pivot == PIVOTS))
+            yield pa.RecordBatch.from_arrays([found.column(c).combine_chunks().take(rows) for c in ("band", "key", "sig")] + [pa.array(masks).take(rows)], names=["band", "key", "sig", "mask"])
+
+    return together.select("band", "share", "pivot", "key", "sig").mapInArrow(run, "band long, key long, sig binary, mask long")
+
+
+def _divided(large: DataFrame, table: list[tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
+    """(edges, rows dealt in pairs of blocks) for buckets of several blocks.
+
+    The rows that survive with the bucket's most popular pivot hang together through it: these edges are given out and the
+    pairs among them need no look. All other pairs are dealt: the rest with itself and with what hangs together. So no
+    surviving pair between two groups is missed, and a family of near copies costs one comparison with each pivot a row.
+    """
+    masked = written(_compared_with_pivots(large, table), "masks")
+    bit = lambda k: F.expr(f"shiftright(mask, {k}) & 1")
+    counts = masked.groupBy("band").agg(F.count(F.lit(1)).alias("all"), *(F.sum(bit(k)).alias(f"p{k}") for k in range(PIVOTS)))
+    best = F.greatest(*(F.struct(F.col(f"p{k}").alias("n"), F.lit(-k).alias("k")) for k in range(PIVOTS)))
+    counts = written(counts.select("band", "all", best.alias("best")).select("band", "all", F.col("best.n").alias("hung"), (-F.col("best.k")).alias("pivot")), "hubs")
+    flagged = written(hot_join(masked, counts, "band", "all", "key").withColumn("hangs", F.expr("shiftright(mask, pivot) & 1") == 1).drop("mask"), "flagged")
+    number = F.row_number().over(Window.partitionBy("band").orderBy(F.xxhash64("key"), "key")) - 1
+    pivots = masked.select("band", "key", number.alias("no")).where(F.col("no") < PIVOTS)
+    hubs = counts.join(pivots, "band").where("no = pivot").select("band", F.col("key").alias("hub"), "all")
+    edges = hot_join(flagged.where("hangs").select("band", "key"), hubs, "band", "all", "key").select(F.col("key").alias("u"), F.col("hub").alias("v"))
+    blocks = lambda n: F.ceil(n / BUCKET_ROWS).cast("int")
+    rest, held = blocks(F.col("all") - F.col("hung")), blocks(F.col("hung"))
+    mine = F.when(F.col("hangs"), rest + F.pmod(F.xxhash64("key"), F.greatest(held, F.lit(1)))).otherwise(F.pmod(F.xxhash64("key"), F.greatest(rest, F.lit(1)))).cast("int")
+    others = F.when(F.col("hangs") & (rest == 0), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.when(F.col("hangs"), rest).otherwise(rest + held) - 1))
+    pairs = flagged.select("band", "key", "sig", mine.alias("_mine"), F.explode(others).alias("_other"))
+    return edges, pairs.select("band", F.least("_mine", "_other").alias("a"), F.greatest("_mine", "_other").alias("b"), "key", "sig")
+
+
 def candidate_edges(classes: DataFrame, table: list[tuple[int, int]]) -> DataFrame:
     """(u, v): a spanning forest, bucket by bucket, of the pairs that share a band and survive the pruning."""
-    rows = _crowded(classes.select("key", F.explode("bands").alias("band")))
-    if rows.where(F.col("rows") > VAST_ROWS).limit(1).count():
-        others = rows.where(F.col("rows") > VAST_ROWS).select("key", "band").join(classes.select("key", F.explode("bands").alias("other")), "key").where("band != other")
-        finer = others.select("key", F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band")).distinct()
-        rows = rows.where(F.col("rows") <= VAST_ROWS).unionByName(_crowded(finer))
-    rows = rows.join(classes.select("key", "sig"), "key")
+    crowded = written(_crowded(classes.select("key", F.explode("bands").alias("band"))), "crowded")
+    rows = crowded.join(classes.select("key", "sig"), "key")
+    dealt, hung = rows.where(F.col("rows") <= BUCKET_ROWS).select("band", F.lit(0).alias("a"), F.lit(0).alias("b"), "key", "sig"), None
+    if crowded.where(F.col("rows") > BUCKET_ROWS).limit(1).count():
+        hung, more = _divided(written(rows.where(F.col("rows") > BUCKET_ROWS), "large"), table)
+        dealt = dealt.unionByName(more)
     small = 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +167,8 @@ def candidate_edges(classes: DataFrame, table: list[tuple[int, int]]) -> DataFra
             u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (u, v))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    return _dealt(rows, "band", F.ceil(F.col("rows") / BUCKET_ROWS)).select("band", "a", "b", "key", "sig").mapInArrow(run, "u long, v long")
+    found = dealt.repartition("band", "a", "b").sortWithinPartitions("band", "a", "b").mapInArrow(run, "u long, v long")
+    return found if hung is None else found.unionByName(hung)
 
 
 def _surviving_pairs(mine: np.ndarray, a: int, b: int, sizes: np.ndarray, sigs: np.ndarray, table: list[tuple[int, int]], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:

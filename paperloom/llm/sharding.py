@@ -19,6 +19,8 @@ BITS = 48
 SHARD_BYTES = 64 << 20
 #: Bits looked at beyond those that even splitting would need; what is still too large then is split bit by bit to BITS.
 SPARE_BITS = 6
+#: Depths up to which oversized buckets are broadcast: there are at most 2 to the SHALLOW + 1 of them.
+SHALLOW = 12
 #: Up to so many rows of the directory are broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 250_000
 #: Rows of one hash that alone exceed the limit are numbered in so many parts.
@@ -43,10 +45,17 @@ def _too_large(leaves: DataFrame, low: int, high: int, limit: int) -> DataFrame:
 
 
 def _leaf_depth(leaves: DataFrame, low: int, high: int, limit: int) -> DataFrame:
-    """leaves with _leaf: one bit more than the deepest oversized bucket, ``low`` where none is, at most ``high``."""
-    big = _too_large(leaves, low, high, limit)
+    """leaves with _leaf: one bit more than the deepest oversized bucket, ``low`` where none is, at most ``high``.
+
+    All leaves share the few buckets of the shallow depths, so these are looked up in a broadcast list (at most 2 to the
+    SHALLOW + 1 rows); a deeper bucket holds a small share of the leaves only and they are joined to it.
+    """
+    big = written(_too_large(leaves, low, high, limit), "oversized")
     levels = leaves.withColumn("_depth", F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn("_bucket", _bits("_depth"))
-    deepest = levels.join(big, ["_depth", "_bucket"], "left_semi").groupBy("_hash").agg(F.max("_depth").alias("_max"))
+    key = ["_depth", "_bucket"]
+    shallow = levels.where(F.col("_depth") <= SHALLOW).join(F.broadcast(big.where(F.col("_depth") <= SHALLOW)), key, "left_semi")
+    deep = levels.where(F.col("_depth") > SHALLOW).join(big.where(F.col("_depth") > SHALLOW), key, "left_semi")
+    deepest = shallow.unionByName(deep).groupBy("_hash").agg(F.max("_depth").alias("_max"))
     return leaves.join(deepest, "_hash", "left").withColumn("_leaf", F.coalesce(F.col("_max") + 1, F.lit(low))).drop("_max")
 
 
@@ -94,7 +103,7 @@ def with_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id
     docs = docs.toDF(*(f"c{k}" for k in range(len(names))))
     id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
     text = text_or_empty(F.col(text_col))
-    rows = docs.withColumns({"_h": id_bits(F.col(id_col)), "_size": (F.octet_length(text) + 1).cast("long"), "_part": F.pmod(F.xxhash64(text), F.lit(PARTS)).cast("int")}).withColumn("_hash", _bucket(deep))
+    rows = docs.withColumns({"_h": id_bits(F.col(id_col)), "_size": (F.octet_length(text) + 1).cast("long"), "_text": F.xxhash64(text)}).withColumn("_part", F.pmod("_text", F.lit(PARTS)).cast("int")).withColumn("_hash", _bucket(deep))
     placed = _looked_up(rows, first, "_hash", "_rows", "_h")
     deeper, paged = second.agg(F.count(F.lit(1)), F.count_if(F.col("_second") > BITS)).first()
     if deeper:
@@ -109,7 +118,7 @@ def with_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id
         # a row's rank is its rank in its part of the rows of its length plus the sizes of the parts before
         before = Window.partitionBy("_h", "_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         sums = alone.groupBy("_h", "_size", "_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-        within = Window.partitionBy("_h", "_size", "_part").orderBy(F.lit(0))
+        within = Window.partitionBy("_h", "_size", "_part").orderBy("_text")
         ranked = alone.withColumn("_row", F.row_number().over(within) - 1).join(sums, ["_h", "_size", "_part"])
         fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("_size")))
         page = F.concat_ws("-", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("_size").cast("string"), F.floor((F.col("_before") + F.col("_row")) / fits).cast("string"))
@@ -134,7 +143,8 @@ def shard(docs: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", tex
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents as Parquet, one folder ``shard=<shard>`` and one file per shard."""
+    """Write the documents as Parquet, one folder ``shard=<shard>`` and one file per shard. Nulls, long texts, repeated rows
+    and clashing columns are as in ``with_shards``; an empty table writes no shard."""
     with_shards(docs, limit, id_col, text_col).repartition("shard").write.partitionBy("shard").parquet(path)
 
 

@@ -60,7 +60,7 @@ def test_join_equals_brute_force(spark, monkeypatch, blocks):
     if blocks:
         monkeypatch.setattr(jaccard_join, "BUCKET_ROWS", blocks[0])
         monkeypatch.setattr(jaccard_join, "FAMILY_SHINGLES", blocks[1])
-        monkeypatch.setattr(jaccard_join, "VAST_ROWS", 10)
+        monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
     texts = families()
     rows = [(100 + k, t) for k, t in enumerate(texts)]
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, n long, key string").repartition(4)
@@ -122,6 +122,28 @@ def test_large_families_are_dealt_by_rows(spark, monkeypatch):
     assert sorted((r.doc_id, r.class_id, r.n_links, r.n_shingles) for r in jaccard_join.near_duplicates(df).collect()) == expected(rows)
 
 
+def test_vast_buckets_lose_no_link_and_deal_the_rest_only(spark, monkeypatch):
+    """A family of near copies hangs on one pivot: hardly a row is dealt, however many blocks it would fill."""
+    monkeypatch.setattr(jaccard_join, "BUCKET_ROWS", 32)
+    dealt = []
+    divided = jaccard_join._divided
+
+    def counted(large, table):
+        edges, pairs = divided(large, table)
+        dealt.append((large.count(), pairs.count()))
+        return edges, pairs
+
+    monkeypatch.setattr(jaccard_join, "_divided", counted)
+    words = [f"w{k}" for k in range(150)]
+    texts = [" ".join([*words[: k % 150], f"x{k}", *words[k % 150 + 1 :]]) for k in range(300)]
+    texts += families()
+    rows = [(k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted((r.doc_id, r.class_id, r.n_links, r.n_shingles) for r in jaccard_join.near_duplicates(df).collect()) == expected(rows)
+    ((large, pairs),) = dealt
+    assert large > 1000 and pairs < large // 2
+
+
 def test_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "other words in here now then"), (None, "a b c d e f g"), (5, None)], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.class_id, r.n_links) for r in jaccard_join.near_duplicates(df).collect())
