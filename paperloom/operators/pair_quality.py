@@ -29,30 +29,39 @@ def resolve_attempts(attempts: DataFrame, key: tuple[str, ...] = ("doc_id", "ite
 
     In order of attempts, as long as fewer than BAD_ATTEMPTS were bad: the first response that passed; else the source
     if any bad one had a never-adopt code; else the last bad response; only exceptions (``exception:…``): an error.
+    Attempts are chosen by number on rows without texts; only the chosen attempt's texts are joined. Attempts that share a
+    number come in order of a hash of their texts.
     """
-    order = Window.partitionBy(*key).orderBy("attempt")
+    tie = F.xxhash64("response", "fail_code", "source")
+    narrow = attempts.select(*key, "attempt", "fail_code", tie.alias("_tie"))
+    order = Window.partitionBy(*key).orderBy("attempt", "_tie")
     failed = F.col("fail_code").isNotNull()
     exception = F.coalesce(F.col("fail_code").startswith("exception:"), F.lit(False))
     bad = failed & ~exception
-    counted = attempts.withColumns(
+    counted = narrow.withColumns(
         {
             "_bad": bad,
             "_before": F.coalesce(F.sum(bad.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "_no": F.row_number().over(order),
         }
     ).where((F.col("_before") < BAD_ATTEMPTS) & (F.col("_no") <= MOST_ATTEMPTS))
-    passed = F.when(~failed, F.col("attempt"))
-    out = counted.groupBy(*key).agg(
-        F.min_by("response", passed).alias("_passed"),
+    here = F.struct("attempt", "_tie")
+    chosen = counted.groupBy(*key).agg(
+        F.min(F.when(~failed, here)).alias("_passed"),
         F.bool_or(F.col("_bad") & F.col("fail_code").isin(*NEVER_ADOPT)).alias("_never"),
-        F.max_by("response", F.when(F.col("_bad"), F.col("attempt"))).alias("_last"),
-        F.min_by("source", "attempt").alias("_source"),
-        F.min(passed).isNotNull().alias("_ok"),
-        F.bool_or("_bad").alias("_any_bad"),
+        F.max(F.when(F.col("_bad"), here)).alias("_last"),
+        F.min(here).alias("_first"),
     )
-    outcome = F.when(F.col("_ok"), "passed").when(F.col("_never"), "source_kept").when(F.col("_any_bad"), "last_bad").otherwise("error")
-    text = F.when(F.col("_ok"), F.col("_passed")).when(F.col("_never"), F.col("_source")).otherwise(F.col("_last"))
-    return out.select(*key, text.alias("text"), outcome.alias("outcome"))
+    outcome = F.when(F.col("_passed").isNotNull(), "passed").when(F.col("_never"), "source_kept").when(F.col("_last").isNotNull(), "last_bad").otherwise("error")
+    pick = F.when(F.col("outcome") == "source_kept", F.col("_first")).otherwise(F.coalesce("_passed", "_last", "_first"))
+    picked = chosen.withColumn("outcome", outcome).select(*(F.col(k).alias(f"_{k}") for k in key), "outcome", pick.alias("_pick"))
+    same = (F.col("attempt") == F.col("_pick.attempt")) & (tie == F.col("_pick._tie"))
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    text = F.when(F.col("outcome") == "source_kept", F.col("source")).when(F.col("outcome") != "error", F.col("response"))
+    repeats = Window.partitionBy(*key).orderBy("attempt")  # rows that repeat in full
+    out = attempts.select(*key, "attempt", "response", "fail_code", "source").join(picked, same).withColumn("_no", F.row_number().over(repeats)).where("_no = 1")
+    return out.select(*key, text.alias("text"), "outcome")
 
 
 def _is_term(term: Column) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.parallel import fail_code
 from paperloom.functions.strings import cache_key
 from paperloom.operators.chunking import align_response, aligned_items
 from paperloom.operators.latest import last_rows
+from paperloom.operators.pair_quality import BAD_ATTEMPTS, MOST_ATTEMPTS
 
 #: Kinds of calls that can seed the cache. Fixed values.
 SEEDABLE_KINDS = ("batch", "single")
@@ -30,11 +31,15 @@ def lookup(work: DataFrame, cache: DataFrame) -> DataFrame:
     return cache.join(work.select("key").distinct(), "key", "left_semi")
 
 
+def _one_of_each(rows: DataFrame, key: str) -> DataFrame:
+    """One row of each key, the first by a hash of all its columns: no aggregate over long ones."""
+    first = Window.partitionBy(key).orderBy("_tie")
+    return rows.withColumn("_tie", F.xxhash64(*rows.columns)).withColumn("_no", F.row_number().over(first)).where("_no = 1").drop("_no", "_tie")
+
+
 def misses(work: DataFrame, cache: DataFrame) -> DataFrame:
-    """The model work-list: one row per key that the cache lacks. The anti-join leaves rows sorted by key, so a row number
-    picks one without an aggregate over the long inputs."""
-    lacking = work.join(cache.select("key"), "key", "left_anti")
-    return lacking.withColumn("_no", F.row_number().over(Window.partitionBy("key").orderBy("key"))).where("_no = 1").drop("_no")
+    """The model work-list: one row per key that the cache lacks."""
+    return _one_of_each(work.join(cache.select("key"), "key", "left_anti"), "key")
 
 
 def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:
@@ -65,10 +70,14 @@ def seed_counts(log: DataFrame) -> DataFrame:
 
 
 def unseedable(log: DataFrame) -> DataFrame:
-    """Inputs of which no attempt passed, whatever the prompt. Grouped by a digest, so long inputs stay out of the shuffle's keys."""
+    """Inputs of which no attempt passed, whatever the prompt. Grouped by a digest alone; the inputs are fetched once it is
+    known which."""
     ok = is_seedable(F.col("validation_fail_reason"))
-    groups = seedable_calls(log).groupBy(F.sha2("input", 256).alias("_digest")).agg(F.bool_or(ok).alias("_ok"), F.min("input").alias("input"))
-    return groups.where("not _ok").select("input")
+    calls = seedable_calls(log).select("input", F.sha2("input", 256).alias("_digest"), ok.alias("_ok"))
+    bad = calls.groupBy("_digest").agg(F.bool_or("_ok").alias("_ok")).where("not _ok").select("_digest")
+    same = F.col("_digest").eqNullSafe(F.col("_bad"))
+    rows = calls.select("input", "_digest").join(bad.withColumnRenamed("_digest", "_bad"), same, "left_semi")
+    return _one_of_each(rows, "_digest").select("input")
 
 
 def miss_report(inputs: DataFrame, most: int = 70) -> DataFrame:
@@ -85,15 +94,57 @@ def run_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def revalidate(hits: DataFrame) -> DataFrame:
-    """(doc_id, items, response, finish_reason) of cached answers that would be refused today, with the reason.
+def revalidate(hits: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, items, response, finish_reason) of cached answers that would be refused today, with the reason.
 
     Structural faults refuse a batch; a batch with some bad items stays; a single item is tested like a fresh answer.
     """
-    aligned = align_response(hits)
+    aligned = align_response(hits.select(F.col(key).alias("doc_id"), "items", "response", "finish_reason"))
     broken = aligned.where("fail_reason is not null").select("doc_id", "fail_reason")
     single = aligned_items(aligned.where(F.size("items") == 1)).select("doc_id", fail_code(F.col("item"), F.col("part")).alias("fail_reason"))
-    return broken.unionByName(single.where("fail_reason is not null"))
+    return broken.unionByName(single.where("fail_reason is not null")).withColumnRenamed("doc_id", key)
+
+
+def enter_attempts(attempts: DataFrame, root: str, run: str) -> None:
+    """Append a run's attempts (key, fail_code, cache_hit) to the ledger under ``root``, added up by key. A run that is
+    entered again replaces its own entry. A refused cache hit costs nothing: it is no entry."""
+    spent(attempts).write.mode("overwrite").parquet(f"{root}/run={run}")
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """(key, tries, bad) over all runs of a ledger."""
+    return fold(spark.read.option("basePath", root).parquet(f"{root}/run=*"))
+
+
+def spent(attempts: DataFrame) -> DataFrame:
+    """(key, tries, bad): attempts that called the model, and those of them whose answer was refused. Exceptions
+    (``exception:…``) are tries only."""
+    called = ~F.coalesce("cache_hit", F.lit(False))
+    bad = F.col("fail_code").isNotNull() & ~F.col("fail_code").startswith("exception:")
+    return attempts.groupBy("key").agg(F.count_if(called).alias("tries"), F.count_if(called & bad).alias("bad"))
+
+
+def fold(entries: DataFrame) -> DataFrame:
+    """Entries (key, tries, bad) of any number of runs, added up by key."""
+    return entries.groupBy("key").agg(F.sum("tries").alias("tries"), F.sum("bad").alias("bad"))
+
+
+def requeue(work: DataFrame, cache: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The work-list with what the cache answers badly: (the columns of ``work``, reason, attempts_left).
+
+    work: (key, items, more); cache: (key, content, finish_reason); ledger: (key, tries, bad). A key is asked for when the
+    cache lacks it (reason ``miss``) or when its cached answer is refused today (``refused:<code>``). What earlier runs
+    spent on it counts, the refused hit does not; keys without attempts left are given up. One row a key.
+    """
+    distinct = _one_of_each(work, "key")
+    hits = distinct.select("key", "items").join(cache.select("key", F.col("content").alias("response"), "finish_reason"), "key")
+    refused = revalidate(hits, "key").select("key", F.concat(F.lit("refused:"), "fail_reason").alias("reason"))
+    known = cache.select("key", F.lit(True).alias("_hit"))
+    asked = distinct.join(known, "key", "left").join(refused, "key", "left").where("_hit is null or reason is not null")
+    tries, bad = F.coalesce("tries", F.lit(0)), F.coalesce("bad", F.lit(0))
+    left = F.least(BAD_ATTEMPTS - bad, MOST_ATTEMPTS - tries).cast("long")
+    out = asked.join(ledger.select("key", "tries", "bad"), "key", "left").withColumn("attempts_left", left).where("attempts_left > 0")
+    return out.select(*work.columns, F.coalesce("reason", F.lit("miss")).alias("reason"), "attempts_left")
 
 
 def replay_lineage(summaries: DataFrame) -> DataFrame:

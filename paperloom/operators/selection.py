@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.strings import canonical_id, collapse_ws
+from paperloom.sources.tables import discard, written
 
 WINDOW_DAYS, MOST_PAGES = 7, 60
 
@@ -49,10 +50,31 @@ def replay_window(runs: DataFrame, candidates: DataFrame, days: int = WINDOW_DAY
 
 
 def upvotes_asof(snapshots: DataFrame, runs: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
-    """(as_of, id, upvotes): the most votes in the ``days`` + 1 snapshots up to each date, nulls as 0."""
-    votes = F.max(F.greatest(F.coalesce("upvotes", F.lit(0)), F.lit(0)).cast("long")).alias("upvotes")
-    daily = snapshots.where("id is not null and id != ''").groupBy("id", "snapshot_date").agg(votes)
-    return daily.join(_served(runs, days, "snapshot_date"), "snapshot_date").groupBy("as_of", "id").agg(F.max("upvotes").alias("upvotes"))
+    """(as_of, id, upvotes): the most votes in the ``days`` + 1 snapshots up to each date, nulls as 0.
+
+    Days lie in blocks as long as the window, so a window is the end of one block and the beginning of the next. A vote is
+    copied to the two blocks whose runs may see it, however many runs these have; the maximum of each day is found before
+    the shuffle, and a run looks up the maximum from its first day to the end of the block before and that from its own
+    block's beginning to its date.
+    """
+    size = days + 1
+    number = lambda day: F.datediff(day, F.lit("1970-01-01").cast("date"))
+    dates = runs.select("as_of").distinct().select(F.floor(number(F.col("as_of")) / size).alias("_block"), F.struct(F.pmod(number(F.col("as_of")), F.lit(size)).alias("day"), "as_of").alias("x"))
+    blocks = dates.groupBy("_block").agg(F.collect_list("x").alias("runs"))  # at most ``size`` dates in each
+    votes = F.greatest(F.coalesce("upvotes", F.lit(0)), F.lit(0)).cast("long")
+    day = number(F.col("snapshot_date"))
+    rows = snapshots.where("id is not null and id != ''").select("id", votes.alias("v"), F.floor(day / size).alias("_own"), F.pmod(day, F.lit(size)).alias("_day"))
+    copies = rows.select("id", "v", "_day", F.explode(F.array(F.struct(F.col("_own").alias("b"), F.lit(True).alias("own")), F.struct((F.col("_own") + 1).alias("b"), F.lit(False).alias("own")))).alias("x"))
+    wanted = copies.select("id", "v", "_day", F.col("x.b").alias("_block"), "x.own").join(blocks.select("_block"), "_block", "left_semi")
+    most = [F.max(F.when(F.col("own") == own, F.when(F.col("_day") == k, F.col("v")))) for own in (False, True) for k in range(size)]
+    days_ = wanted.groupBy("id", "_block").agg(*(m.alias(f"_{k}") for k, m in enumerate(most)))
+    before, own = [f"_{k}" for k in range(size)], [f"_{k}" for k in range(size, 2 * size)]
+    largest = lambda names: F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    ends = F.array(*(largest(before[k:]) for k in range(size)), F.lit(None).cast("long"))  # from day k of the block before on
+    starts = F.array(*(largest(own[: k + 1]) for k in range(size)))  # up to day k of the run's own block
+    seen = days_.select("id", "_block", ends.alias("_ends"), starts.alias("_starts")).join(blocks, "_block")
+    told = seen.select("id", "_ends", "_starts", F.explode("runs").alias("r"))
+    return told.select("r.as_of", "id", F.greatest(F.get("_ends", F.col("r.day") + 1), F.get("_starts", F.col("r.day"))).alias("upvotes")).where("upvotes is not null")
 
 
 def exclude_published(candidates: DataFrame, published: DataFrame) -> DataFrame:
@@ -91,15 +113,13 @@ def select_top1(runs: DataFrame, candidates: DataFrame, snapshots: DataFrame, pu
     return top_candidates(runs, candidates, snapshots, published, 1).drop("rank", "matched", "upvotes")
 
 
-def _greedy(rows: pd.DataFrame, categories: list[str], barred: dict[str, str]) -> list[int]:
-    """Places of the picked rows: per category, in the given order, the best row whose id is not barred."""
-    picks = []
+def _greedy(rows: pd.DataFrame, categories: list[str]) -> list[int]:
+    """Places of the picked rows: per category, in the given order, the best row whose id is not picked yet."""
+    picks: list[int] = []
     for category in categories:
-        mine = rows[(rows["category"] == category) & ~rows["id"].isin(barred)]
+        mine = rows[(rows["category"] == category) & ~rows["id"].isin(rows.loc[picks, "id"])]
         if len(mine):
-            best = mine["rank"].idxmin()
-            barred[rows.at[best, "id"]] = category
-            picks.append(best)
+            picks.append(mine["rank"].idxmin())
     return picks
 
 
@@ -111,7 +131,7 @@ def select_all(top: DataFrame, categories: list[str]) -> DataFrame:
     """
 
     def pick(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.loc[_greedy(rows, categories, {})]
+        return rows.loc[_greedy(rows, categories)]
 
     columns = ["as_of", "category", "id", "published", "selection_reason", "rank"]
     return top.select(columns).groupBy("as_of").applyInPandas(pick, top.select(columns).schema).drop("rank")
@@ -125,32 +145,27 @@ def backfill_depth(runs: DataFrame, categories: int, days: int = WINDOW_DAYS) ->
     return categories * (runs.select("as_of").distinct().select(overlapping.alias("n")).agg(F.max("n")).first()[0] or 1)
 
 
-def _chains(rows: DataFrame) -> DataFrame:
-    """(as_of, chain): dates between which no id reaches across are in different chains.
-
-    The spans of the ids are summed up per date first, so the ordered window sees one row for each date.
-    """
-    spans = rows.groupBy("id").agg(F.min("as_of").alias("as_of"), F.max("as_of").alias("last"))
-    dates = rows.select("as_of").distinct().join(spans.groupBy("as_of").agg(F.max("last").alias("last")), "as_of", "left")
-    before = Window.orderBy("as_of").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dates.withColumn("_new", F.coalesce(F.max("last").over(before) < F.col("as_of"), F.lit(False)).cast("int"))
-    return starts.select("as_of", F.sum("_new").over(Window.orderBy("as_of")).alias("chain"))
-
-
 def backfill(runs: DataFrame, candidates: DataFrame, snapshots: DataFrame, published: DataFrame, categories: list[str], days: int = WINDOW_DAYS, pages: int = MOST_PAGES) -> DataFrame:
-    """Successive runs: what an earlier date picked is out for all later dates.
+    """Successive runs: what an earlier date, or an earlier category of the date, picked is out for all later ones.
 
-    The picks of dates depend on each other only through ids that they share, so dates fall into chains that are worked
-    on apart, each in order of time. A chain's rows are its dates times categories times ``backfill_depth``, which is as
-    deep as any pick can reach.
+    All (date, category) places claim at once. In each round every place asks for its best claim left; an id falls to the
+    earliest place that asks for it, and all later places lose their claims on it, as nobody but a still earlier place
+    can take it away. A round without a loss is the sequential walk's result: each place has its best id that no earlier
+    place wants more. Places have at most ``backfill_depth`` claims, which is as deep as any pick can reach.
     """
     most = backfill_depth(runs, len(categories), days)
     columns = ["as_of", "category", "id", "published", "selection_reason", "rank"]
-    top = top_candidates(runs, candidates, snapshots, published, most, days, pages).where(F.col("category").isin(*categories)).select(columns)
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        barred: dict[str, str] = {}
-        picks = [_greedy(mine, categories, barred) for _, mine in rows.groupby("as_of", sort=True)]
-        return rows.loc[[k for some in picks for k in some], columns]
-
-    return top.join(_chains(top), "as_of").groupBy("chain").applyInPandas(walk, top.schema).drop("rank")
+    top = written(top_candidates(runs, candidates, snapshots, published, most, days, pages).where(F.col("category").isin(*categories)).select(columns), "top")
+    ordinal = F.array_position(F.array(*map(F.lit, categories)), F.col("category"))
+    claims = written(top.select(F.struct("as_of", ordinal.alias("ordinal")).alias("place"), "rank", "id"), "claims")
+    left = claims.count()
+    while True:
+        asked = claims.groupBy("place").agg(F.min(F.struct("rank", "id")).alias("best"))
+        holders = asked.groupBy(F.col("best.id").alias("id")).agg(F.min("place").alias("holder"))
+        kept = written(claims.join(holders, "id", "left").where("holder is null or place <= holder").drop("holder"), "claims")
+        discard(claims)
+        claims, before, left = kept, left, kept.count()
+        if left == before:
+            break
+    picks = claims.groupBy("place").agg(F.min(F.struct("rank", "id")).alias("best")).select("place.as_of", F.element_at(F.array(*map(F.lit, categories)), F.col("place.ordinal").cast("int")).alias("category"), "best.id")
+    return top.join(picks, ["as_of", "category", "id"], "left_semi").select(columns[:-1])

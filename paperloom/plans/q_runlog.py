@@ -78,6 +78,15 @@ def stale(spark, d):
     return r.revalidate(spark_view(spark, d, "responses"))
 
 
+def requeued(spark, d):
+    """Batches of lines: every fourth is not cached, the others' cached answers are judged again; attempts of earlier runs
+    come from the conversations."""
+    x = spark_view(spark, d, "responses").withColumn("key", F.col("doc_id").cast("string"))
+    cache = x.where("doc_id % 4 != 1").select("key", F.col("response").alias("content"), "finish_reason")
+    tried = spark_view(spark, d, "attempts").select(F.col("doc_id").cast("string").alias("key"), "fail_code", (F.col("attempt") % 5 == 4).alias("cache_hit"))
+    return r.requeue(x.select("key", "items"), cache, r.fold(r.spent(tried))).select("key", "reason", "attempts_left")
+
+
 def lineage(spark, d):
     """Runs of the log, every third seeded from the run whose number is half of its own."""
     runs = _calls(spark, d).groupBy("run_id").agg(F.min("ts").alias("ts")).withColumn("n", F.substring("run_id", 2, 9).cast("long"))
@@ -86,7 +95,7 @@ def lineage(spark, d):
 
 QUERIES = {
     "l1_cache_key": keys, "l2_prompt_hash": prompts, "l2_other_prompts": guard, "l3_lookup": hits, "l4_misses": missing, "l5_upsert": merged, "l6_is_seedable": seedable, "l7_seed_from_log": seeded, "l7_seed_counts": counts,
-    "l8_unseedable": never, "l9_miss_report": report, "l10_run_summary": summary, "l11_revalidate": stale, "l12_replay_lineage": lineage,
+    "l8_unseedable": never, "l9_miss_report": report, "l10_run_summary": summary, "l11_revalidate": stale, "l12_replay_lineage": lineage, "l11_requeue": requeued,
 }
 
 _KEY = "sha256(concat(input, chr(0), prompt_hash, chr(0), model, chr(0), temperature))"
@@ -96,7 +105,20 @@ c as (select {_KEY} as key, arg_max(content, (written_at, content)) as content,
 s as (select {_KEY} as key, arg_max(raw_response, (ts, seq)) as content, arg_max(finish_reason, (ts, seq)) as finish_reason, max(ts) as written_at from f_calls where call_kind in ('batch', 'single') and {_OK} group by 1),
 n as (select input from f_calls where call_kind in ('batch', 'single') group by 1 having not bool_or({_OK}))
 """
+_REFUSED = (
+    q_chunking.ALIGN.rstrip() + ", f_pairs as (select doc_id as conv_id, 0 as turn, items[1] as source, parts[1] as response from b where len(items) = 1 and fail_reason is null), " + q_quality.TESTS.removeprefix("with ").rstrip()
+    + f""", rv as (select doc_id, fail_reason from b where fail_reason is not null
+ union all select conv_id, fail_reason from (select conv_id, {q_quality.CODE} as fail_reason from vt where kind = 'plain') where fail_reason is not null)
+"""
+)
 ORACLES = {
+    "l11_requeue": sql(
+        _REFUSED.rstrip() + """, sp as (select doc_id, count(*) filter (attempt % 5 <> 4) as tries, count(*) filter (attempt % 5 <> 4 and fail_code is not null) as bad from f_attempts group by 1),
+q as (select b.doc_id, case when b.doc_id % 4 = 1 then 'miss' else 'refused:' || rv.fail_reason end as reason, least(5 - coalesce(bad, 0), 12 - coalesce(tries, 0)) as attempts_left
+ from b left join rv on rv.doc_id = b.doc_id left join sp on sp.doc_id = b.doc_id)
+select cast(doc_id as varchar) as key, reason, attempts_left from q where reason is not null and attempts_left > 0""",
+        "responses", "attempts",
+    ),
     "l1_cache_key": sql(f"select seq, {_KEY} as key from f_calls", "calls"),
     "l2_prompt_hash": "select doc_id, substring(sha256(text), 1, 12) as prompt_hash from documents",
     "l2_other_prompts": sql("select count(*) filter (prompt_hash is distinct from 'abcdef012345') as others, count(*) as calls from f_calls", "calls"),

@@ -36,12 +36,19 @@ def batches(papers: DataFrame, most: int = chunking.MOST_CHARS) -> DataFrame:
     return texts.unionByName(cells)
 
 
-def plan_work(papers: DataFrame, cache: DataFrame, prompt_hash: str, model: str, temperature: str, most: int = chunking.MOST_CHARS) -> DataFrame:
-    """The distinct model calls that the cache cannot answer: (key, input)."""
+def plan_work(papers: DataFrame, cache: DataFrame, prompt_hash: str, model: str, temperature: str, most: int = chunking.MOST_CHARS, ledger: DataFrame | None = None) -> DataFrame:
+    """The distinct model calls that the cache cannot answer: (key, input).
+
+    With ``ledger`` (key, tries, bad) cached answers (key, content, finish_reason) are judged again: refused ones rejoin the
+    list without using an attempt, keys without attempts left are given up; then also reason and attempts_left.
+    """
     work = batches(papers, most).select(
-        chunking.batch_input(F.col("items")).alias("input"), F.lit(prompt_hash).alias("prompt_hash"), F.lit(model).alias("model"), F.lit(temperature).alias("temperature")
+        "items", chunking.batch_input(F.col("items")).alias("input"), F.lit(prompt_hash).alias("prompt_hash"), F.lit(model).alias("model"), F.lit(temperature).alias("temperature")
     )
-    return runlog.misses(runlog.with_key(work), cache).select("key", "input")
+    keyed = runlog.with_key(work)
+    if ledger is None:
+        return runlog.misses(keyed, cache).select("key", "input")
+    return runlog.requeue(keyed.select("key", "input", "items"), cache, ledger).drop("items")
 
 
 def judge_answers(work: DataFrame) -> tuple[DataFrame, DataFrame]:
