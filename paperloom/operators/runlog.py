@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.parallel import fail_code
 from paperloom.functions.strings import cache_key
+from paperloom.operators.absence import anti_join
 from paperloom.operators.chunking import align_response, aligned_items
 from paperloom.operators.latest import last_rows
 from paperloom.operators.pair_quality import BAD_ATTEMPTS, MOST_ATTEMPTS
@@ -37,9 +38,12 @@ def _one_of_each(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_tie", F.xxhash64(*rows.columns)).withColumn("_no", F.row_number().over(first)).where("_no = 1").drop("_no", "_tie")
 
 
-def misses(work: DataFrame, cache: DataFrame) -> DataFrame:
-    """The model work-list: one row per key that the cache lacks."""
-    return _one_of_each(work.join(cache.select("key"), "key", "left_anti"), "key")
+def misses(work: DataFrame, cache: DataFrame, sketch: bool = False) -> DataFrame:
+    """The model work-list: one row per key that the cache lacks. With ``sketch`` rows whose keys a Bloom sketch of the cache
+    rules out do not meet the cache (see ``absence.anti_join``): for caches too large to broadcast that answer little."""
+    keys = cache.select("key")
+    lacking = anti_join(work, keys, "key") if sketch else work.join(keys, "key", "left_anti")
+    return _one_of_each(lacking, "key")
 
 
 def upsert(cache: DataFrame, new: DataFrame) -> DataFrame:

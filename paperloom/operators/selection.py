@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.strings import canonical_id, collapse_ws
+from paperloom.operators.absence import anti_join
 from paperloom.sources.tables import discard, written
 
 WINDOW_DAYS, MOST_PAGES = 7, 60
@@ -77,8 +78,11 @@ def upvotes_asof(snapshots: DataFrame, runs: DataFrame, days: int = WINDOW_DAYS)
     return told.select("r.as_of", "id", F.greatest(F.get("_ends", F.col("r.day") + 1), F.get("_starts", F.col("r.day"))).alias("upvotes")).where("upvotes is not null")
 
 
-def exclude_published(candidates: DataFrame, published: DataFrame) -> DataFrame:
-    return candidates.join(published.select(F.col("arxiv_id").alias("id")), "id", "left_anti")
+def exclude_published(candidates: DataFrame, published: DataFrame, sketch: bool = False) -> DataFrame:
+    """Candidates whose id is not published. With ``sketch`` those that a Bloom sketch of the archive's ids rules out, nearly
+    all, skip the shuffle (see ``absence.anti_join``): for archives too large to broadcast."""
+    ids = published.select(F.col("arxiv_id").alias("id"))
+    return anti_join(candidates, ids, "id") if sketch else candidates.join(ids, "id", "left_anti")
 
 
 def attach_upvotes(candidates: DataFrame, votes: DataFrame, on: tuple[str, ...] = ("as_of", "id")) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperloom.functions.strings import prompt_hash
@@ -9,6 +11,8 @@ from paperloom.operators import runlog as r
 from paperloom.operators.latest import last_rows
 from paperloom.plans import q_chunking, q_quality
 from paperloom.plans.views import spark_view, sql, table
+from paperloom.sources import cache_store
+from paperloom.sources.tables import scratch
 
 
 def _calls(spark, d):
@@ -78,6 +82,28 @@ def stale(spark, d):
     return r.revalidate(spark_view(spark, d, "responses"))
 
 
+def stored(spark, d):
+    """The cache in buckets, and the log's answers brought into it."""
+    name, path = f"cache_{uuid.uuid4().hex}", scratch(spark, "cache-table")
+    cache_store.open_cache(spark, name, path, parts=8, buckets=8)
+    cache_store.upsert_cache(spark, name, path, _cache(spark, d))
+    cache_store.upsert_cache(spark, name, path, r.seed_from_log(_calls(spark, d)))
+    return cache_store.open_cache(spark, name, path)
+
+
+def stored_hits(spark, d):
+    """Look-ups in the cache in buckets: the cache is read as it lies."""
+    name, path = f"cache_{uuid.uuid4().hex}", scratch(spark, "cache-table")
+    cache_store.open_cache(spark, name, path, parts=8, buckets=8)
+    cache_store.upsert_cache(spark, name, path, _cache(spark, d))
+    return r.lookup(_work(spark, d), cache_store.open_cache(spark, name, path))
+
+
+def sketched(spark, d):
+    """Misses, with a sketch of the cache's keys that most of them need not pass."""
+    return r.misses(_work(spark, d), _cache(spark, d), sketch=True).select("key", "input")
+
+
 def requeued(spark, d):
     """Batches of lines: every fourth is not cached, the others' cached answers are judged again; attempts of earlier runs
     come from the conversations."""
@@ -96,6 +122,7 @@ def lineage(spark, d):
 QUERIES = {
     "l1_cache_key": keys, "l2_prompt_hash": prompts, "l2_other_prompts": guard, "l3_lookup": hits, "l4_misses": missing, "l5_upsert": merged, "l6_is_seedable": seedable, "l7_seed_from_log": seeded, "l7_seed_counts": counts,
     "l8_unseedable": never, "l9_miss_report": report, "l10_run_summary": summary, "l11_revalidate": stale, "l12_replay_lineage": lineage, "l11_requeue": requeued,
+    "io8_bucketed_cache": stored, "l3_bucketed_lookup": stored_hits, "l4_sketched_misses": sketched,
 }
 
 _KEY = "sha256(concat(input, chr(0), prompt_hash, chr(0), model, chr(0), temperature))"
@@ -151,3 +178,4 @@ select a.run_id, a.seeded_from, a.ts, b.ts as seeded_ts from s a left join s b o
         "calls",
     ),
 }
+ORACLES |= {"io8_bucketed_cache": ORACLES["l5_upsert"], "l3_bucketed_lookup": ORACLES["l3_lookup"], "l4_sketched_misses": ORACLES["l4_misses"]}

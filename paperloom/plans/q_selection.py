@@ -60,6 +60,11 @@ def unpublished(spark, d):
     return s.exclude_published(candidates, published)
 
 
+def sketched(spark, d):
+    _, candidates, _, published = _inputs(spark, d)
+    return s.exclude_published(candidates, published, sketch=True)
+
+
 def attached(spark, d):
     runs, candidates, snaps, _ = _inputs(spark, d)
     return s.attach_upvotes(s.replay_window(runs, candidates), s.upvotes_asof(snaps, runs)).select("as_of", "category", "id", "upvotes", "matched")
@@ -103,7 +108,7 @@ _PICKS = "".join(
 
 QUERIES = {
     "s1_canonical_id": canonical, "s2_collapse_ws": whitespace, "s3_candidate_urls": urls, "s4_in_window": window, "s5_as_of_instant": instant, "s6_replay_window": replay, "s7_upvotes_asof": votes,
-    "s8_exclude_published": unpublished, "s9_attach_upvotes": attached, "s10_within_page_cap": capped, "c10_page_cap_gate": capped, "s11_rank_candidates": ranked, "s12_select_top1": top1, "s13_select_all": all_categories, "s14_backfill": successive,
+    "s8_exclude_published": unpublished, "s8_sketched_exclude": sketched, "s9_attach_upvotes": attached, "s10_within_page_cap": capped, "c10_page_cap_gate": capped, "s11_rank_candidates": ranked, "s12_select_top1": top1, "s13_select_all": all_categories, "s14_backfill": successive,
 }
 ORACLES = {
     "s1_canonical_id": sql("select doc_id, regexp_replace(regexp_extract(regexp_extract(entry_xml, '<id>(.*?)</id>', 1), '[^/]*$'), 'v[0-9]+$', '') as id from f_feed", "feed"),
@@ -135,3 +140,4 @@ select t.as_of, t.category, t.id, t.published, t.selection_reason from g14 g joi
     ),
     "s13_select_all": sql(_REPLAY.rstrip() + _PICKS + " select as_of, category, id, published, selection_reason from (" + " union all ".join(f"select * from p{k}" for k in range(5)) + ")", *_VIEWS),
 }
+ORACLES["s8_sketched_exclude"] = ORACLES["s8_exclude_published"]
