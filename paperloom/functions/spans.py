@@ -30,3 +30,8 @@ def rewrite(c: Column, pattern: str, gap: Callable[[Column], Column], match: Cal
 def count_of(c: Column, text: str) -> Column:
     """How often a fixed text occurs."""
     return ((F.length(c) - F.length(F.replace(c, F.lit(text), F.lit("")))) / len(text)).cast("int")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

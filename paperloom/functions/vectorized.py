@@ -1,4 +1,4 @@
-"""The three text helpers that built-in functions cannot say well: Arrow batches in, Arrow batches out."""
+"""The text helpers that built-in functions cannot say well: Arrow batches in, Arrow batches out."""
 
 from __future__ import annotations
 
@@ -16,10 +16,6 @@ LETTER = re.compile("[A-Za-z가-힣]")
 MATH_SPAN = re.compile(r"\$\$.*?\$\$|\$[^$\n]+\$", re.DOTALL)
 #: What a broken equation is replaced with. Fixed value.
 PLACEHOLDER = "`[수식 추출 실패 - 원본 PDF 참조]`"
-#: A gloss in brackets behind a Hangul character, and what makes it a citation. Fixed values.
-GLOSS = re.compile(r"(?<=[가-힣])( ?)\(([^()\n]{1,80})\)")
-CITATION = re.compile(r"(?:19|20)\d{2}[a-z]?|et al", re.IGNORECASE)
-
 
 #: Characters that are compared at a place of the grid before a period is tried in full, and of the strings that are met again.
 PROBE, GRAM = 16, 8
@@ -101,36 +97,3 @@ def batch_places(lengths: list[int], alone: list[bool], most: int) -> list[int]:
             used, place = used + length, place + 1
         out.append((batch << 32) | place)
     return out
-
-
-def _is_term(term: str) -> bool:
-    return len(term) >= 2 and re.search("[a-zA-Z]", term) is not None and not CITATION.search(term) and not set(term) & set("$\\`")
-
-
-def dedup_glosses_text(text: str) -> str:
-    """Only the first gloss of a term stays, with its spelling; fences, headings, citations, math and code are left alone.
-
-    The lines to leave alone are marked first; then all glosses of the text are met in order and the repeats cut out.
-    """
-    lines = text.split("\n")
-    starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
-    heads = [x.lstrip()[:3] for x in lines]
-    fence = np.array([h == "```" for h in heads])
-    closed = fence | (np.cumsum(fence) % 2 == 1) | np.array([h.startswith("#") for h in heads])
-    found = [m for m in GLOSS.finditer(text) if _is_term(m[2].strip())]
-    free = ~closed[np.searchsorted(starts, [m.start() for m in found], side="right") - 1] if found else ()
-    met: set[str] = set()
-    parts, done = [], 0
-    for m, use in zip(found, free, strict=True):
-        key = m[2].strip().lower()
-        if use and key in met:
-            parts.append(text[done : m.start()])
-            done = m.end()
-        elif use:
-            met.add(key)
-    return "".join([*parts, text[done:]])
-
-
-@F.pandas_udf(T.StringType())
-def dedup_glosses(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None else dedup_glosses_text(t))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.glosses import is_term
 from paperloom.functions.parallel import NEVER_ADOPT
 from paperloom.functions.strings import strip
 
@@ -64,11 +65,6 @@ def resolve_attempts(attempts: DataFrame, key: tuple[str, ...] = ("doc_id", "ite
     return out.select(*key, text.alias("text"), "outcome")
 
 
-def _is_term(term: Column) -> Column:
-    citation = term.rlike(r"(?i)(?:19|20)\d{2}[a-z]?|et al")
-    return (F.length(term) >= 2) & term.rlike("[a-zA-Z]") & ~citation & ~term.rlike(r"[$\\`]")
-
-
 def gloss_stats(df: DataFrame) -> DataFrame:
     """(doc_id, md) to (doc_id, term, occurrences, removed) of the terms whose gloss repeats.
 
@@ -77,7 +73,7 @@ def gloss_stats(df: DataFrame) -> DataFrame:
     lines = F.split(F.regexp_replace("md", FENCE_LINES, ""), "\n", -1)
     kept = F.filter(lines, lambda x: x.contains("(") & ~x.rlike(r"(?U)^\s*#"))
     found = F.flatten(F.transform(kept, lambda x: F.regexp_extract_all(x, F.lit(r"(?<=[가-힣]) ?\(([^()\n]{1,80})\)"), 1)))
-    terms = df.select("doc_id", F.posexplode(found).alias("pos", "raw")).select("doc_id", "pos", strip(F.col("raw")).alias("term")).where(_is_term(F.col("term")))
+    terms = df.select("doc_id", F.posexplode(found).alias("pos", "raw")).select("doc_id", "pos", strip(F.col("raw")).alias("term")).where(is_term(F.col("term")))
     return (
         terms.groupBy("doc_id", F.lower("term").alias("_key"))
         .agg(F.min_by("term", "pos").alias("term"), F.count(F.lit(1)).alias("occurrences"))

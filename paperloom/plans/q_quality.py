@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.functions import parallel as v
-from paperloom.functions.vectorized import dedup_glosses, runaway
+from paperloom.functions.glosses import dedup_glosses
+from paperloom.functions.vectorized import runaway
 from paperloom.operators import pair_quality as q
 from paperloom.plans.views import spark_view, sql, table
 
@@ -60,7 +61,7 @@ def resolved(spark, d):
 
 
 def glosses(spark, d):
-    return spark_view(spark, d, "gloss").select("doc_id", dedup_glosses("md").alias("md"))
+    return spark_view(spark, d, "gloss").select("doc_id", dedup_glosses(F.col("md")).alias("md"))
 
 
 def gloss_numbers(spark, d):

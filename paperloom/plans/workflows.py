@@ -10,9 +10,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.glosses import dedup_glosses
 from paperloom.functions.markdown import clean_markdown, fix_newlines
 from paperloom.functions.parallel import fail_code
-from paperloom.functions.vectorized import dedup_glosses
 from paperloom.operators import archive, cascade, chunking, pair_quality, runlog, selection
 from paperloom.sources.tables import written
 
@@ -97,7 +97,7 @@ def publish(attempts: DataFrame, papers: DataFrame, existing: DataFrame, tables:
     texts = items.groupBy(*key).agg(ordered.alias("x")).select(*key, F.array_join("x.text", "\n\n").alias("text"))
     texts = texts if tables is None else texts.unionByName(filled)
     bodies = chunking.assemble_docs(texts.select(*key, fix_newlines(F.col("text"))["text"].alias("text")))
-    bodies = bodies.select("doc_id", dedup_glosses("md").alias("body"))
+    bodies = bodies.select("doc_id", dedup_glosses(F.col("md")).alias("body"))
     pages = archive.build_page(papers.join(bodies, "doc_id")).select(F.col("id").alias("arxiv_id"), "category", "translated", "edition", "page")
     return archive.upsert_archive(existing, pages)
 

@@ -3,10 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.functions import markdown, parallel, strings, vectorized
+from paperloom.functions import glosses, markdown, parallel, strings, vectorized
 from paperloom.operators import archive, chunking
 
 rng = random.Random(1)
@@ -40,7 +41,7 @@ CASES = [
     (strings.truncate_title, "y" * 39 + "  z", "y" * 39 + "…"),
     (strings.category_dir, "cs.CL", "nlp"),
     (strings.category_dir, "q-bio.NC", "q-bio_NC"),
-    (vectorized.dedup_glosses, "용어 (Term) 또 용어(term) 식 (1) 식 (1)\n# 제목 (Term)\n```\n용어 (Term)\n```\n저자 (Kim et al., 2024)", "용어 (Term) 또 용어 식 (1) 식 (1)\n# 제목 (Term)\n```\n용어 (Term)\n```\n저자 (Kim et al., 2024)"),
+    (glosses.dedup_glosses, "용어 (Term) 또 용어(term) 식 (1) 식 (1)\n# 제목 (Term)\n```\n용어 (Term)\n```\n저자 (Kim et al., 2024)", "용어 (Term) 또 용어 식 (1) 식 (1)\n# 제목 (Term)\n```\n용어 (Term)\n```\n저자 (Kim et al., 2024)"),
 ]
 
 
@@ -159,3 +160,40 @@ def test_probes_find_every_runaway():
         times = rng.choice([13, 14, 15, 16, 30])
         text = "".join(rng.choices("abcdé \n", k=rng.randint(0, 400))) + unit * times + "".join(rng.choices("abcdé \n", k=rng.randint(0, 400)))
         assert vectorized.may_run_away(text) >= (times >= 15), (unit, times)
+
+
+def is_term(term: str) -> bool:
+    return len(term) >= 2 and re.search("[a-zA-Z]", term) is not None and not re.search(r"(?i)(?:19|20)\d{2}[a-z]?|et al", term) and not set(term) & set("$\\`")
+
+
+def plain_dedup(text: str) -> str:
+    """Only the first gloss of a term stays, with its spelling; fences, headings, citations, math and code are left alone.
+
+    The lines to leave alone are marked first; then all glosses of the text are met in order and the repeats cut out.
+    """
+    lines = text.split("\n")
+    starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+    heads = [x.lstrip()[:3] for x in lines]
+    fence = np.array([h == "```" for h in heads])
+    closed = fence | (np.cumsum(fence) % 2 == 1) | np.array([h.startswith("#") for h in heads])
+    found = [m for m in re.finditer(r"(?<=[가-힣])( ?)\(([^()\n]{1,80})\)", text) if is_term(m[2].strip())]
+    free = ~closed[np.searchsorted(starts, [m.start() for m in found], side="right") - 1] if found else ()
+    met: set[str] = set()
+    parts, done = [], 0
+    for m, use in zip(found, free, strict=True):
+        key = m[2].strip().lower()
+        if use and key in met:
+            parts.append(text[done : m.start()])
+            done = m.end()
+        elif use:
+            met.add(key)
+    return "".join([*parts, text[done:]])
+
+
+def test_glosses_equal_a_plain_walk(spark):
+    parts = ["용어", " (Term)", "(Term)", " (term )", "\n", "\n  # ", "\n```\n", "\n ```py\n", "(2024)", " (a`b)", " (x)", " (Word two)", "글 ", "a", " (et al)", "\r", " (word TWO)", ""]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(500)] + ["", None, "용어 (Term)" * 3000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", glosses.dedup_glosses(F.col("t")).alias("x"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    for r in df.collect():
+        assert r.x == (r.t if r.t is None else plain_dedup(r.t)), r.t
