@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,16 +36,39 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Tables written inside each open ``temporary_tables``, innermost last.
+_made: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def temporary_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end all tables that were written inside, but those handed to the function that it gives: for callers who
+    write an operator's result in full and then need nothing else of it."""
+    _made.append([])
+    kept: list[str] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table.written_to)
+        return table
+
+    try:
+        yield keep
+    finally:
+        discard(*(t for t in _made.pop() if t.written_to not in kept))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df``: write it as Parquet in the shared folder and read it again.
 
-    The files survive the loss of executors and are as small as the columns. ``discard`` deletes them; those that a
-    returned DataFrame still reads stay until the folder is cleared.
+    The files survive the loss of executors and are as small as the columns. ``discard`` deletes them, and the end of the
+    innermost ``temporary_tables``; those that a returned DataFrame still reads stay until the folder is cleared.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_to = path
+    if _made:
+        _made[-1].append(table)
     return table
 
 

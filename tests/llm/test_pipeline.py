@@ -1,5 +1,6 @@
 """The pipeline's stages one after another against brute force on a small corpus."""
 
+import os
 import random
 import zlib
 
@@ -9,6 +10,7 @@ import pytest
 pytest.importorskip("paperloom.llm")
 pytest.importorskip("corpus_pipeline")
 import corpus_pipeline  # noqa: E402
+from paperloom.llm import common  # noqa: E402
 from test_language import packed  # noqa: E402
 from test_near import expected, families  # noqa: E402
 from test_plain_ops import lower  # noqa: E402
@@ -99,3 +101,13 @@ def test_stages_on_an_empty_table(spark, corpus):
     none = spark.createDataFrame([], COLUMNS)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, d).count() == 0
+
+
+def test_stages_leave_no_tables(spark, tmp_path, monkeypatch):
+    """After a run the shared folder has the last stage and the sequences only."""
+    if not os.path.isdir("/root/testdata/sf0.001") or corpus_pipeline.__file__ is None:
+        pytest.skip("test tables are not here")
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
+    names = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert names == ["sequences", "stage-best-fit-packing"] and rows > 0
