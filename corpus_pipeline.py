@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import exact_dedup, jaccard_join, packing, quality_rules, suffix_dedup
-from paperloom.llm.common import discard, read, written
+from paperloom.llm.common import discard, read, temporary_tables, written
 from paperloom.llm.queries import tokenizer
 
 #: Bytes of a passage that may not stand twice: ninety-nine in a hundred runs of 51 words are longer. Operator 8's own
@@ -56,9 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order. A stage's result is written in full, then the tables that its operator left go, and the stage
+    before it too."""
     docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with temporary_tables() as keep:
+            docs = keep(written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-")))
         if last is not None:
             discard(last)
         last = docs
