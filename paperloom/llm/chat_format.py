@@ -167,7 +167,8 @@ def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
                     turns, learned, n_turns, n_loss, n_all, valid, state = hashlib.sha256(), hashlib.sha256(), 0, 0, 0, True, "start"
 
                     def finish():
-                        assert not held, f"conversation {current}: unread text {held[:40]!r}"
+                        if held:
+                            raise ValueError(f"conversation {current}: unread text {held[:40]!r}")
                         return current, n_turns, turns.hexdigest(), n_loss, learned.hexdigest(), n_all, valid and state in template.accept
 
                 n_all += len(text)

@@ -228,7 +228,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
 def sequences(placed: DataFrame) -> DataFrame:
     """sequence_id, length, ids: the packed sequences themselves, ``placed`` pieces' ids side by side in order of offset.
 
-    A group is one sequence, hence at most ``capacity`` ids.
+    A group is one sequence, hence at most ``capacity`` ids. Pieces that repeat have places of their own; null ids of
+    documents do not matter; other columns are ignored; an empty table gives an empty result.
     """
     parts = F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("hex"))))
     joined = F.unhex(F.array_join(F.transform(parts, lambda x: x["hex"]), ""))

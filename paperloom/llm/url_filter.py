@@ -16,10 +16,13 @@ from paperloom.llm.url_seed import seed_urls
 
 #: (rule, verdict): host, then the start of the path. A rule fits its host and all subdomains; the longest one wins.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+#: The columns that ``judge_urls`` adds.
+NEW = ("host", "path", "rule", "verdict", "p_block")
 DIMENSIONS, GRAMS = 1 << 16, (3, 4, 5)
-MOST_SEEDS, ROUNDS, RATE, L2 = 100_000, 300, 2.0, 1e-4
-#: Set on other draws of the seed's rule (``seed_urls(seed=2)``): the smallest one that blocks at most one allowed URL in a thousand.
-THRESHOLD = 0.33
+MOST_SEEDS, ROUNDS, L2 = 100_000, 100, 1e-6
+#: The smallest tenth at which a model trained without a fifth of the words blocks at most one in fifty allowed URLs of
+#: these words; measured on another fifth.
+THRESHOLD = 0.6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -29,7 +32,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """(rule, verdict) of the longest rule that fits, else nulls."""
+    """(rule, verdict) of the longest rule that fits, of equally long ones the one given last, else nulls."""
     rule = verdict = F.lit(None).cast("string")
     for text, decision in sorted(rules, key=lambda r: len(r[0])):  # later, longer rules go before
         name, start = text.split("/", 1)
@@ -61,16 +64,19 @@ def _features(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarra
 
 
 def train(table: list[tuple[str, int]] | None = None) -> np.ndarray:
-    """Weights and, last, the intercept: full-batch gradient steps with momentum on the labelled table (label 1: blocked)."""
+    """Weights and, last, the intercept: full-batch gradient steps with momentum on the labelled table (label 1: blocked).
+    A weight's step is as long as its n-gram's share of the table allows, so rare ones learn as fast as common ones."""
     table = (table or seed_urls())[:MOST_SEEDS]
     split = [_plain(u) for u, _ in table]
     y = np.array([label for _, label in table], float)
     r, c, v = _features([h for h, _ in split], [p for _, p in split])
+    curvature = np.bincount(c, v * v, DIMENSIONS) / (4 * len(y)) * np.bincount(r, minlength=len(y)).max()
+    step = 1 / (curvature + L2)
     w, b, speed, push = np.zeros(DIMENSIONS), 0.0, np.zeros(DIMENSIONS), 0.0
     for _ in range(ROUNDS):
         error = 1 / (1 + np.exp(-(np.bincount(r, v * w[c], len(y)) + b))) - y
-        speed = 0.9 * speed - RATE * (np.bincount(c, v * error[r], DIMENSIONS) / len(y) + L2 * w)
-        push = 0.9 * push - RATE * error.mean()
+        speed = 0.9 * speed - step * (np.bincount(c, v * error[r], DIMENSIONS) / len(y) + L2 * w)
+        push = 0.9 * push - error.mean()
         w, b = w + speed, b + push
     return np.append(w, b)
 
@@ -100,8 +106,11 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, table=None,
     def score(host: pd.Series, path: pd.Series) -> pd.Series:
         return pd.Series(probabilities(host.tolist(), path.tolist(), weights))
 
-    host, path = host_and_path(F.col(url_col).cast("string"))
-    known = pages.withColumns({"_host": host, "_path": path}).withColumn("p_block", score("_host", "_path"))
-    rule, verdict = matching_rule(F.col("_host"), F.col("_path"), rules)
+    names = pages.columns
+    plain = pages.toDF(*(f"c{k}" for k in range(len(names))))  # so that no name of the input meets one of ours
+    host, path = host_and_path(F.col(f"c{names.index(url_col)}").cast("string"))
+    known = plain.withColumns({"host": host, "path": path}).withColumn("p_block", score("host", "path"))
+    rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("p_block") >= threshold, "block").otherwise("allow")
-    return known.withColumns({"host": F.col("_host"), "path": F.col("_path"), "rule": rule, "verdict": F.coalesce(verdict, method)}).drop("_host", "_path")
+    kept = [F.col(f"c{k}").alias(c) for k, c in enumerate(names) if c not in NEW]
+    return known.select(*kept, "p_block", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))

@@ -222,6 +222,15 @@ def test_lm_score_equals_plain_dictionaries(spark, block):
         assert r.bits_per_byte == pytest.approx(-r.score / math.log10(2) / len(whole), rel=1e-9)
 
 
+def test_lm_score_of_null_ids_repeats_and_clashing_columns(spark):
+    rows = [(None, "the cat sat on the mat"), (1, "the cat sat"), (1, "the cat sat"), (2, None), (2, "zz"), (3, "the mat")] * 2
+    df = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], "doc_id long, text string, block string, _text string, score int")
+    got = lm_score.score_documents(df, "doc_id = 3", block_bytes=10).collect()
+    assert Counter((r.doc_id, r.held_out, r.n_tokens) for r in got) == {(None, True, 7): 2, (1, False, 4): 4, (2, False, 1): 2, (2, False, 2): 2, (3, True, 3): 2}
+    plain = {(r.doc_id, r.n_tokens): r.score for r in got}
+    assert all(r.score == plain[r.doc_id, r.n_tokens] for r in got) and {r.train_tokens for r in got} == {22}
+
+
 def test_long_streams_come_in_pieces():
     texts = [" ".join(rng.choices(["a", "bc", "def", "x" * 30], k=rng.randint(0, 60))).encode() for _ in range(30)]
     whole = [(n, b, c) for numbers, bodies, before in lm_score._chunks(texts) for n, b, c in zip(numbers, bodies, before, strict=True)]

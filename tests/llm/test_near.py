@@ -180,6 +180,12 @@ def test_components_of_a_hub(spark, monkeypatch):
     assert got == {**dict.fromkeys([*range(900), 1000, 1001], 0), 2000: 2000, 2001: 2000, **dict.fromkeys([5000, *range(3000, 3100)], 3000)}
 
 
+def test_components_leave_nulls_out(spark):
+    edges = spark.createDataFrame([(1, 2), (None, 3), (4, None), (None, None), (2, 1)], "u long, v long")
+    assert {(r.node, r.component) for r in components(edges).collect()} == {(1, 1), (2, 1)}
+    assert components(edges.limit(0)).count() == components(edges.where("u is null")).count() == 0
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(100, 140)] + [(7, 9), (9, 8), (3, 3), (500, 1), (500, 2), (500, 3)]
     rng.shuffle(edges)
