@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.spans import DISPLAY, FENCED, MATH, count_of, gaps, matches, rewrite
+from paperloom.functions.spans import DISPLAY, FENCED, MATH, count_of, gaps, let, matches, rewrite
 from paperloom.functions.strings import strip
 from paperloom.functions.vectorized import sanitize_math
 
@@ -43,14 +43,18 @@ def escape_orphan_dollars(c: Column) -> Column:
 
 def fix_heading_levels(c: Column) -> Column:
     """The level of a numbered heading follows from the depth of its number."""
+    return F.array_join(F.transform(_lines(c), _heading), "\n")
 
-    def line(x: Column) -> Column:
-        number = F.regexp_extract(x, NUMBERED_HEADING, 2)
+
+def _heading(x: Column) -> Column:
+    """A line with its level set; lines without a number sign are left alone at once."""
+
+    def levelled(number: Column) -> Column:
         depth = F.length(number) - F.length(F.replace(number, F.lit("."), F.lit("")))
         marks = F.repeat(F.lit("#"), F.least(depth + 2, F.lit(6)))
         return F.when(number != "", F.concat(marks, F.lit(" "), F.regexp_extract(x, NUMBERED_HEADING, 1))).otherwise(x)
 
-    return F.array_join(F.transform(_lines(c), line), "\n")
+    return F.when(x.contains("#"), let(F.regexp_extract(x, NUMBERED_HEADING, 2), levelled)).otherwise(x)
 
 
 def _fenced(stripped: Column) -> Column:
@@ -109,19 +113,37 @@ def space_anchors(c: Column) -> Column:
     return _spaced(c, lambda x, i, a: F.lit(False), lambda x, i, a: x.rlike(ANCHOR) & following(i, a))
 
 
+def fix_lines(c: Column) -> Column:
+    """Heading levels, spaced tables and spaced anchors at once: the same as the three rules one after the other.
+
+    Each line is classed once; what stands between two lines, one line end or an empty line, follows from their classes.
+    A levelled heading stays what it was to the other two rules.
+    """
+    has = lambda x, sign, pattern: x.contains(sign) & x.rlike(pattern)
+    classed = F.transform(_lines(c), lambda x: F.struct(_heading(x).alias("line"), has(x, "|", TABLE_ROW).alias("row"), _blank(x).alias("blank"), has(x, "<span", ANCHOR).alias("anchor")))
+
+    def ended(x: Column, y: Column) -> Column:
+        apart = (x["row"] & ~y["row"] & ~y["blank"]) | (y["row"] & ~x["row"] & ~x["blank"]) | (x["anchor"] & ~y["blank"])
+        return F.concat(x["line"], F.when(y.isNull(), "").when(apart, "\n\n").otherwise("\n"))
+
+    return let(classed, lambda all_: F.array_join(F.transform(all_, lambda x, i: let(F.get(all_, i + 1), lambda y: ended(x, y))), ""))
+
+
 def space_equations(c: Column) -> Column:
     """Display equations stand alone; a short label behind one becomes a paragraph of its own."""
-    equations = matches(c, DISPLAY)
 
-    def gap(x: Column, i: Column) -> Column:
+    def gap(x: Column, i: Column, last: Column) -> Column:
         label = F.when(i > 0, F.regexp_extract(x, LABEL, 1)).otherwise("")
         rest = F.when(label != "", F.regexp_replace(x, LABEL, "")).otherwise(x)
         led = F.when((i == 0) | _blank(rest), rest).otherwise(F.concat(F.lit("\n\n"), F.regexp_replace(rest, "^\n+", "")))
         text = F.concat(F.when(label != "", F.concat(F.lit("\n\n"), label)).otherwise(""), led)
-        return F.when((i == F.size(equations)) | _blank(text), text).otherwise(F.concat(F.regexp_replace(text, "\n+$", ""), F.lit("\n\n")))
+        return F.when((i == last) | _blank(text), text).otherwise(F.concat(F.regexp_replace(text, "\n+$", ""), F.lit("\n\n")))
+
+    def woven(equations: Column) -> Column:
+        texts = F.transform(gaps(c, DISPLAY), lambda x, i: gap(x, i, F.size(equations)))
+        return F.array_join(F.zip_with(texts, equations, lambda g, e: F.concat(g, F.coalesce(e, F.lit("")))), "")
 
-    woven = F.zip_with(F.transform(gaps(c, DISPLAY), gap), equations, lambda g, e: F.concat(g, F.coalesce(e, F.lit(""))))
-    return F.array_join(woven, "")
+    return let(matches(c, DISPLAY), lambda equations: F.when(F.size(equations) > 0, woven(equations)).otherwise(c))
 
 
 def unclosed_math(c: Column) -> Column:
@@ -129,14 +151,18 @@ def unclosed_math(c: Column) -> Column:
     return F.size(F.filter(matches(c, MATH), lambda m: count_of(m, "\\begin{") != count_of(m, "\\end{")))
 
 
-RULES = (unescape_brackets, escape_orphan_dollars, merge_pseudocode, fix_heading_levels, space_tables, space_anchors, space_equations)
+#: ``fix_lines`` stands for the rules of headings, tables and anchors, which come in this place.
+RULES = (unescape_brackets, escape_orphan_dollars, merge_pseudocode, fix_lines, space_equations)
 
 
 def clean_markdown(df: DataFrame, column: str = "md") -> DataFrame:
-    """The whole chain in its fixed order, a projection per rule; the broken-math rule runs last and in Arrow batches."""
+    """The whole chain in its fixed order, a projection per rule; the broken-math rule runs last and in Arrow batches.
+
+    The last step names the column more than once, so the optimizer keeps the rules before it out of the Python call.
+    """
     for rule in RULES:
         df = df.withColumn(column, rule(F.col(column)))
-    return df.withColumn(column, sanitize_math(column))
+    return df.withColumn(column, F.when(F.col(column).contains("$"), sanitize_math(column)).otherwise(F.col(column)))
 
 
 def fix_newlines(c: Column, protect_math: bool = False) -> Column:

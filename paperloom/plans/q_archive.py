@@ -11,7 +11,7 @@ from paperloom.functions import strings as t
 from paperloom.operators import archive as a
 from paperloom.operators import runlog
 from paperloom.plans.views import spark_view, sql, table
-from paperloom.sources import readers, writers
+from paperloom.sources import page_files, readers, writers
 from paperloom.sources.tables import scratch
 from paperloom.streaming import jobs
 
@@ -223,6 +223,16 @@ def exact_page_files(spark, d):
     return spark.read.parquet(f"{root}-sizes").join(read, "page_path")
 
 
+def committed_page_files(spark, d):
+    """Pages under their exact names through the committing sink, as a scan of the folder finds them."""
+    root = scratch(spark, "site")
+    x = a.build_page(_papers(spark, d)).withColumn("page_path", a.page_path(F.col("translated"), F.col("category"), F.col("id"), F.col("title")))
+    last = x.groupBy("page_path").agg(F.max("edition").alias("edition"))
+    page_files.write_committed(x.join(last, ["page_path", "edition"], "left_semi"), root.removeprefix("file:"))
+    read = readers.read_texts(spark, root)
+    return read.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("page_path"), readers.published_id(F.col("page")).alias("arxiv_id"), F.octet_length("page").cast("long").alias("bytes"))
+
+
 def upkeep(spark, d):
     """The archive kept up from a stream of page files; the last version."""
     source, out = scratch(spark, "new-pages"), scratch(spark, "versions")
@@ -239,6 +249,7 @@ QUERIES = {
     "p8_page_path": paths, "p9_upsert_archive": editions, "p10_stamp": stamped, "n1_page_url": urls, "n2_digest": digests, "n3_staleness": stale, "io1_atom": atom, "io2_upvotes": snapshots, "io3_published_ids": published,
     "io4_front_matter": front, "io5_call_log": logged, "io6_selection": selections, "io7_pages": stored_pages, "io8_cache": stored_cache, "t1_live_counters": counters, "t2_archive_upkeep": upkeep, "t1_daily_counters": daily_counters,
     "io1_atom_files": feed_files, "io2_upvote_files": snapshot_files, "io7_page_files": exact_page_files,
+    "io7_committed_pages": committed_page_files,
 }
 
 _SLUG = "rtrim(substring(lower(trim(regexp_replace(title, '[^a-zA-Z0-9]+', '-', 'g'), '-')), 1, 60), '-')"
@@ -317,3 +328,4 @@ def _late_oracles() -> None:
 
 
 _late_oracles()
+ORACLES["io7_committed_pages"] = ORACLES["io7_page_files"]

@@ -62,3 +62,22 @@ def test_cache_in_buckets(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table cache_two")
+
+
+def test_pages_come_all_or_none(spark, tmp_path):
+    from paperloom.sources import page_files
+
+    root = tmp_path / "site"
+    root.mkdir()
+    rows = [(f"nlp/p{k}.md", f"page {k}") for k in range(40)] + [("ml/deep/x.md", None), ("top.md", "글")]
+    df = spark.createDataFrame(rows, "page_path string, page string").repartition(4)
+    page_files.write_committed(df, str(root))
+    files = {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file()}
+    assert files == {n: t or "" for n, t in rows} and not (root / "_staging").exists()
+    bad = df.withColumn("page", F.concat("page", F.lit("!"))).unionByName(spark.createDataFrame([(None, "x")], df.schema))
+    with pytest.raises(Exception, match="without a path"):
+        page_files.write_committed(bad, str(root))
+    assert {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file()} == files
+    page_files.write_committed(spark.createDataFrame([("top.md", "new")], df.schema), str(root))
+    page_files.write_committed(df.limit(0), str(root))
+    assert (root / "top.md").read_text() == "new" and (root / "nlp/p3.md").read_text() == "page 3"

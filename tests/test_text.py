@@ -1,5 +1,6 @@
 """Hand-written cases of the text rules, and helpers against plain checkers."""
 
+import os
 import random
 import re
 
@@ -51,6 +52,29 @@ def test_text_rules(spark, k):
     assert one(spark, function, text) == want
 
 
+def test_lines_at_once_equal_the_rules_in_turn(spark):
+    parts = ["# 1.2 a", "## 3 b", "| a |", "| x | y |", "  | q |  ", "x", "", "  ", '<span id="q"></span>', ' <span id="r"></span> ', "#", "a | b", "###### 1.2.3.4.5.6 c", "\r", "|"]
+    texts = ["\n".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(600)] + ["", None, "\n\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rules = markdown.space_anchors(markdown.space_tables(markdown.fix_heading_levels(F.col("t"))))
+    for r in df.select("t", markdown.fix_lines(F.col("t")).alias("a"), rules.alias("b")).collect():
+        assert r.a == r.b, r.t
+
+
+def test_chain_equals_its_rules_on_all_documents(spark):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("test tables are not here")
+    from paperloom.plans.views import spark_view
+
+    papers = spark_view(spark, "/root/testdata/sf0.001", "papers_md").unionByName(spark_view(spark, "/root/testdata/sf0.001", "tables"))
+    c = F.col("md")
+    for rule in (markdown.unescape_brackets, markdown.escape_orphan_dollars, markdown.merge_pseudocode, markdown.fix_heading_levels, markdown.space_tables, markdown.space_anchors, markdown.space_equations):
+        c = rule(c)
+    ruled = spark.createDataFrame(papers.select("doc_id", c.alias("md")).collect(), "doc_id long, md string")
+    slow = ruled.withColumn("md", vectorized.sanitize_math("md")).collect()
+    assert sorted(map(tuple, slow)) == sorted(map(tuple, markdown.clean_markdown(papers).collect()))
+
+
 def test_titles(spark):
     title = lambda body: one(spark, archive.translated_title, body, "fallback")
     assert title("# **제목** <b> ## Abstract\nx") == "제목 <b>"
