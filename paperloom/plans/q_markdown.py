@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.functions import markdown as m
-from paperloom.functions.vectorized import sanitize_math
+from paperloom.functions.vectorized import PLACEHOLDER, sanitize_math
 from paperloom.plans.views import spark_view, sql, table
 
 
@@ -48,6 +48,8 @@ QUERIES = {
     "c7_space_anchors": rule(m.space_anchors),
     "c8_space_equations": rule(m.space_equations),
     "c9_clean_markdown": lambda spark, d: m.clean_markdown(spark_view(spark, d, "papers_md")),
+    "c3_sanitize_tame": lambda spark, d: spark_view(spark, d, "tame").withColumn("md", sanitize_math("md")),
+    "c9_clean_tame": lambda spark, d: m.clean_markdown(spark_view(spark, d, "tame")),
     "v12_fix_newlines": newlines,
     "v12_fix_newlines_guarded": guarded_newlines,
 }
@@ -122,3 +124,24 @@ select doc_id, array_to_string(list_transform(g, lambda x, i: replace(x, chr(92)
         "escaped",
     ),
 }
+
+
+def _over(name: str, source: str) -> str:
+    """An oracle's query over another source of (doc_id, md)."""
+    rest = ORACLES[name].removeprefix(sql("", "papers_md").rstrip())
+    return (f"with {rest.removeprefix(',').strip()}" if rest.startswith(",") else rest.strip()).replace("f_papers_md", source)
+
+
+def _sanitized(source: str) -> str:
+    """The broken-math rule where nothing runs away: environments that are not closed."""
+    spans = f"select doc_id, string_split_regex(md, '{_MATH}') as g, regexp_extract_all(md, '{_MATH}') as s from {source}"
+    broken = r"len(string_split(s[i], '\begin{')) <> len(string_split(s[i], '\end{'))"
+    return f"select doc_id, array_to_string(list_transform(g, lambda x, i: x || coalesce(case when {broken} then '{PLACEHOLDER}' else s[i] end, '')), '') as md from ({spans})"
+
+
+_BRACKETS = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(md, '\\{1,2}\(', '(', 'g'), '\\{1,2}\)', ')', 'g'), '\\{1,2}\[', '&#91;', 'g'), '\\{1,2}\]', '&#93;', 'g')"
+_CHAIN = ["c2_escape_orphan_dollars", "c5_merge_pseudocode", "c4_fix_heading_levels", "c6_space_tables", "c7_space_anchors", "c8_space_equations"]
+ORACLES["c3_sanitize_tame"] = sql(_sanitized("f_tame"), "tame")
+ORACLES["c9_clean_tame"] = sql(
+    f"with s0 as (select doc_id, {_BRACKETS} as md from f_tame), " + ", ".join(f"s{k + 1} as ({_over(name, f's{k}')})" for k, name in enumerate(_CHAIN)) + f" {_sanitized(f's{len(_CHAIN)}')}", "tame"
+)

@@ -83,6 +83,15 @@ DUCK = BOTH | {
 }
 
 
+#: Documents in which nothing runs away: plain words carry their place, so no run of them repeats; every fourth document has
+#: an environment that is not closed.
+_TAME_WORD = r"^[^\s|$`#<>\\0-9]+$"
+SPARK["tame"] = rf"""select doc_id, concat(case when doc_id % 4 = 0 then '$\\begin{{a}}$ $$\\begin{{b}}x\\end{{b}}$$ ' else '' end,
+ array_join(transform(split(md, ' ', -1), (w, k) -> case when w rlike '{_TAME_WORD.replace(chr(92), chr(92) * 2)}' then concat(w, cast(k as varchar(9))) else w end), ' ')) as md from ({SPARK["papers_md"]})"""
+DUCK["tame"] = rf"""select doc_id, concat(case when doc_id % 4 = 0 then '$\begin{{a}}$ $$\begin{{b}}x\end{{b}}$$ ' else '' end,
+ array_to_string(list_transform(string_split(md, ' '), lambda w, k: case when regexp_matches(w, '{_TAME_WORD}') then w || cast(k - 1 as varchar) else w end), ' ')) as md from ({DUCK["papers_md"]})"""
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(_TABLE.sub(lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet` as {m[1]}", SPARK[name]))
 
