@@ -7,7 +7,7 @@ are joined to the nodes at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.chunking import answer_parts, batch_input
@@ -19,14 +19,21 @@ NODE = [*BATCH, "path"]
 
 
 def verdicts(answers: DataFrame) -> DataFrame:
-    """(node, attempt, finish_reason, parts): of each node's answers the last one, without its text. ``answers`` has
-    (doc_id, batch_index, path, attempt, response, finish_reason); null responses (exceptions) are no answers."""
-    told = answers.where("response is not null").select(*NODE, "attempt", "finish_reason", F.size(answer_parts(F.col("response"))).alias("parts"))
-    return last_rows(told, NODE, ["attempt", "finish_reason", "parts"])
+    """(node, attempt, tie, finish_reason, parts): of each node's answers the last one, by a hash in place of its text.
+    ``answers`` has (doc_id, batch_index, path, attempt, response, finish_reason) and is read once; null responses
+    (exceptions) are no answers."""
+    parts = F.size(answer_parts(F.col("response"))).alias("parts")
+    told = written(answers.where("response is not null").select(*NODE, "attempt", _tie().alias("tie"), "finish_reason", parts), "told")
+    return last_rows(told, NODE, ["attempt", "tie"])
+
+
+def _tie() -> Column:
+    return F.xxhash64("response", "finish_reason")
 
 
 def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
-    """(doc_id, batch_index, path, start, n, state) of every node that the cascade reaches.
+    """(doc_id, batch_index, path, start, n, attempt, tie, state) of every node that the cascade reaches; attempt and tie tell
+    the answer that was judged.
 
     States: ``asked`` (no answer yet), ``fits``, ``split`` (cut off, or another number of parts than items) and ``error`` (a
     single item that was cut off: there is nothing left to halve). A single item's answer is never split into parts. The
@@ -34,7 +41,6 @@ def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
     takes at most ceil(log2 n) + 1 rounds. Answers of nodes that are not reached are ignored, batches without items
     have no nodes. Parts are halved as n div 2 and the rest.
     """
-    spark = batches.sparkSession
     known = written(verdicts(answers), "verdicts")
     cut, wrong = F.col("finish_reason") == "length", F.col("parts") != F.col("n")
     state = (
@@ -49,7 +55,7 @@ def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
     frontier = batches.where(F.size("items") > 0).select(*BATCH, F.col("batch_index").cast("string").alias("path"), F.lit(0).alias("start"), F.size("items").alias("n"))
     done = []
     while True:
-        settled = written(frontier.join(known, NODE, "left").select(*NODE, "start", "n", "attempt", state.alias("state")), "frontier")
+        settled = written(frontier.join(known, NODE, "left").select(*NODE, "start", "n", "attempt", "tie", state.alias("state")), "frontier")
         done.append(settled)
         split = settled.where("state = 'split'")
         if split.isEmpty():
@@ -59,7 +65,7 @@ def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
     out = done[0]
     for some in done[1:]:
         out = out.unionByName(some)
-    return spark.createDataFrame([], out.schema).unionByName(out)
+    return out
 
 
 def cascade_work(batches: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -75,10 +81,12 @@ def cascade_items(batches: DataFrame, answers: DataFrame, nodes: DataFrame) -> D
     ``item_index`` is the item's place in its whole batch, so items of different halves never meet under one number and
     order alone puts a batch together again. A single item's response stays as it is, parts of others are trimmed.
     """
-    fits = nodes.where("state = 'fits'").select(*NODE, "start", "n", "attempt")
-    last = answers.where("response is not null").select(*NODE, "attempt", "response").dropDuplicates([*NODE, "attempt"])
+    fits = nodes.where("state = 'fits'").select(*NODE, "start", "n", "attempt", "tie")
     parts = F.when(F.col("n") == 1, F.array("response")).otherwise(answer_parts(F.col("response")))
-    told = fits.join(last, [*NODE, "attempt"]).select(*NODE, "start", "n", parts.alias("parts"))
+    same = [*NODE, "attempt", "tie"]
+    chosen = answers.where("response is not null").select(*NODE, "attempt", _tie().alias("tie"), "response").join(fits, same)
+    first = F.row_number().over(Window.partitionBy(*same).orderBy("start"))  # answers that repeat in full are one
+    told = chosen.withColumn("_no", first).where("_no = 1").select(*NODE, "start", "n", parts.alias("parts"))
     both = told.join(batches.select(*BATCH, "items"), BATCH)
     pairs = F.arrays_zip(F.slice("items", F.col("start") + 1, F.col("n")).alias("source"), F.col("parts").alias("response"))
     rows = both.select(*NODE, "start", F.posexplode(pairs).alias("k", "x"))

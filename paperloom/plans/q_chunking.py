@@ -9,7 +9,6 @@ from paperloom.functions.strings import strip
 from paperloom.operators import cascade
 from paperloom.operators import chunking as k
 from paperloom.plans.views import spark_view, sql
-from paperloom.sources.tables import written
 
 #: Small batches, so that the short test documents fill several.
 MOST = 1000
@@ -77,7 +76,7 @@ def documents(spark, d):
 
 
 def _tree(spark, d):
-    batches, answers = written(spark_view(spark, d, "item_batches"), "batches"), written(spark_view(spark, d, "node_answers"), "answers")
+    batches, answers = spark_view(spark, d, "item_batches"), spark_view(spark, d, "node_answers")
     return batches, answers, cascade.cascade(batches, answers)
 
 
