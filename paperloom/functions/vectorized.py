@@ -5,15 +5,17 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paperloom.functions.spans import MATH, count_of, gaps, matches
+
 #: A unit of 3 to 80 characters, 15 times or more in a row. Fixed values.
 LEAST_UNIT, MOST_UNIT, REPEATS = 3, 80, 15
 RUNAWAY = re.compile(r"(.{3,80}?)(?:\1){14,}")
 LETTER = re.compile("[A-Za-z가-힣]")
-MATH_SPAN = re.compile(r"\$\$.*?\$\$|\$[^$\n]+\$", re.DOTALL)
 #: What a broken equation is replaced with. Fixed value.
 PLACEHOLDER = "`[수식 추출 실패 - 원본 PDF 참조]`"
 
@@ -71,19 +73,51 @@ def has_runaway(text: str | None) -> bool:
     return text is not None and may_run_away(text) and any(LETTER.search(m[1]) for m in RUNAWAY.finditer(text))
 
 
-@F.pandas_udf(T.BooleanType())
-def runaway(texts: pd.Series) -> pd.Series:
-    return texts.map(has_runaway).astype(bool)
+def _tested(texts: pa.Array) -> pa.Array:
+    """``has_runaway`` of each text. One text at a time leaves Arrow's buffers, so memory does not grow with the batch."""
+    return pa.array((has_runaway(t.as_py()) for t in texts), pa.bool_())
+
+
+@F.arrow_udf(T.BooleanType())
+def _runaway(texts: pa.Array) -> pa.Array:
+    return _tested(texts)
+
+
+@F.arrow_udf(T.ArrayType(T.BooleanType()))
+def _runaways(lists: pa.Array) -> pa.Array:
+    """The test of each text of a list; null lists stay null."""
+    return pa.ListArray.from_arrays(_offsets(lists), _tested(lists.flatten()))
+
 
+def _offsets(lists: pa.Array) -> pa.Array:
+    """Where lists end when they are put together, null where a list is null: what ``ListArray.from_arrays`` wants."""
+    ends = np.cumsum([0, *(0 if n is None else n for n in lists.value_lengths().to_pylist())])
+    return pa.array(ends, pa.int32(), mask=np.append(lists.is_null().to_numpy(zero_copy_only=False), False))
 
-def _sound(span: str) -> str:
-    return PLACEHOLDER if has_runaway(span) or span.count("\\begin{") != span.count("\\end{") else span
 
+def _long_enough(c: Column) -> Column:
+    return F.length(c) >= LEAST_UNIT * REPEATS
 
-@F.pandas_udf(T.StringType())
-def sanitize_math(texts: pd.Series) -> pd.Series:
-    """Math spans that run away or do not close their environments become the placeholder; null stays null."""
-    return texts.map(lambda t: t if t is None else MATH_SPAN.sub(lambda m: _sound(m[0]), t))
+
+def runaway(texts: Column | str) -> Column:
+    """Does something run away in the text? False for null. Texts that are too short for it do not go to Python."""
+    c = F.col(texts) if isinstance(texts, str) else texts
+    return _runaway(F.when(_long_enough(c), c))
+
+
+def sanitize_math(texts: Column | str) -> Column:
+    """Math spans that run away or do not close their environments become the placeholder; null stays null.
+
+    Only spans that are long enough to run away go to Python, and only a list of answers comes back: the text is cut and
+    put together by built-in functions.
+    """
+    c = F.col(texts) if isinstance(texts, str) else texts
+    spans = matches(c, MATH)
+    asked = F.when(F.exists(spans, _long_enough), F.transform(spans, lambda m: F.when(_long_enough(m), m)))
+    bad = F.coalesce(_runaways(asked), F.array().cast("array<boolean>"))
+    unclosed = lambda m: count_of(m, "\\begin{") != count_of(m, "\\end{")
+    sound = F.zip_with(spans, bad, lambda m, b: F.when(unclosed(m) | F.coalesce(b, F.lit(False)), PLACEHOLDER).otherwise(m))
+    return F.array_join(F.zip_with(gaps(c, MATH), sound, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")
 
 
 def batch_places(lengths: list[int], alone: list[bool], most: int) -> list[int]:
