@@ -229,8 +229,8 @@ def committed_page_files(spark, d):
     x = a.build_page(_papers(spark, d)).withColumn("page_path", a.page_path(F.col("translated"), F.col("category"), F.col("id"), F.col("title")))
     last = x.groupBy("page_path").agg(F.max("edition").alias("edition"))
     page_files.write_committed(x.join(last, ["page_path", "edition"], "left_semi"), root.removeprefix("file:"))
-    read = readers.read_texts(spark, root)
-    return read.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("page_path"), readers.published_id(F.col("page")).alias("arxiv_id"), F.octet_length("page").cast("long").alias("bytes"))
+    read = page_files.scan_pages(spark, root.removeprefix("file:"))
+    return read.select("page_path", readers.published_id(F.col("page")).alias("arxiv_id"), F.octet_length("page").cast("long").alias("bytes"))
 
 
 def upkeep(spark, d):

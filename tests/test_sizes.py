@@ -45,3 +45,32 @@ def test_spans_among_texts_and_nulls(spark):
     got = df.select("k", vectorized.sanitize_math("t").alias("s"), vectorized.runaway("t").alias("r")).orderBy("k").collect()
     assert [r.s for r in got] == expected
     assert [r.r for r in got] == [vectorized.has_runaway(t) for t in texts]
+
+
+def read_by_tasks(name, spark):
+    """A query's plan has no scan whose files the driver lists one by one."""
+    return "FileScan text" not in registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["io7_committed_pages"])
+def test_page_files_are_read_by_tasks(spark, name):
+    assert read_by_tasks(name, spark)
+
+
+def test_moves_of_a_written_job(spark, tmp_path):
+    from paperloom.sources import page_files
+
+    rows = [(f"nlp/p{k}.md", f"page {k}") for k in range(40)] + [("ml/deep/x.md", None), ("top.md", "글"), ("_odd/y.md", "y"), ("a.txt", "no page")]
+    df = spark.createDataFrame(rows, "page_path string, page string").repartition(4)
+    root = str(tmp_path)
+    spark.dataSource.register(page_files.PageFiles)
+    df.write.format(page_files.FORMAT).option("path", root).option("job", "j").mode("append").save()
+    assert {p.name for p in tmp_path.iterdir()} == {"_staging"} and page_files.scan_pages(spark, root).count() == 0
+    first = (tmp_path / "_staging/j" / page_files.ATTEMPTS).read_text().split("\n")[0]
+    files, at = page_files._opened(root)
+    assert page_files._move(files, at, first) > 0 and page_files._move(files, at, first) == 0  # as if a move had been cut off
+    page_files.move_committed(spark, root, "j")
+    page_files.move_committed(spark, root, "j")
+    assert not (tmp_path / "_staging").exists() and (tmp_path / "a.txt").read_text() == "no page"
+    assert sorted(tuple(r) for r in page_files.scan_pages(spark, root).collect()) == sorted((n, t or "") for n, t in rows if n.endswith(".md"))
