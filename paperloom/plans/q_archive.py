@@ -219,7 +219,7 @@ def exact_page_files(spark, d):
     last = x.groupBy("page_path").agg(F.max("edition").alias("edition"))  # one page for each name
     sizes = writers.write_page_files(x.join(last, ["page_path", "edition"], "left_semi"), root.removeprefix("file:"))
     sizes.write.parquet(f"{root}-sizes")
-    read = readers.read_texts(spark, root).select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("page_path"), readers.published_id(F.col("page")).alias("arxiv_id"))
+    read = page_files.scan_pages(spark, root.removeprefix("file:")).select("page_path", readers.published_id(F.col("page")).alias("arxiv_id"))
     return spark.read.parquet(f"{root}-sizes").join(read, "page_path")
 
 

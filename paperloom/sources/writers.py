@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,22 +38,25 @@ def write_page_files(df: DataFrame, root: str) -> DataFrame:
     Returns (page_path, bytes). Writing a page again gives the same file, so a task that is run again does no harm.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
+        made = set()
         for batch in batches:
             sizes = []
-            for name, page in zip(batch["page_path"], batch["page"], strict=True):
-                target = os.path.join(root, name)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                data = page.encode()
+            for name, page in zip(batch.column("page_path"), batch.column("page"), strict=True):
+                target, data = os.path.join(root, name.as_py()), page.as_py().encode()
+                folder = os.path.dirname(target)
+                if folder not in made:
+                    os.makedirs(folder, exist_ok=True)
+                    made.add(folder)
                 with open(f"{target}.{os.getpid()}.tmp", "wb") as f:
                     f.write(data)
                 os.replace(f"{target}.{os.getpid()}.tmp", target)
                 sizes.append(len(data))
-            yield pd.DataFrame({"page_path": batch["page_path"], "bytes": sizes})
+            yield pa.RecordBatch.from_pydict({"page_path": batch.column("page_path"), "bytes": pa.array(sizes, pa.int64())})
 
-    return df.select("page_path", "page").mapInPandas(write, "page_path string, bytes long")
+    return df.select("page_path", "page").mapInArrow(write, "page_path string, bytes long")
 
 
 def write_cache(df: DataFrame, path: str) -> None:

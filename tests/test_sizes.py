@@ -53,7 +53,7 @@ def read_by_tasks(name, spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["io7_committed_pages"])
+@pytest.mark.parametrize("name", ["io7_committed_pages", "io7_page_files"])
 def test_page_files_are_read_by_tasks(spark, name):
     assert read_by_tasks(name, spark)
 
