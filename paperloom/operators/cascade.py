@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.operators.chunking import answer_parts, batch_input
+from paperloom.operators.chunking import answer_parts, batch_input, count_parts
 from paperloom.operators.latest import last_rows
 from paperloom.sources.tables import discard, written
 
@@ -22,7 +22,7 @@ def verdicts(answers: DataFrame) -> DataFrame:
     """(node, attempt, tie, finish_reason, parts): of each node's answers the last one, by a hash in place of its text.
     ``answers`` has (doc_id, batch_index, path, attempt, response, finish_reason) and is read once; null responses
     (exceptions) are no answers."""
-    parts = F.size(answer_parts(F.col("response"))).alias("parts")
+    parts = count_parts(F.col("response")).alias("parts")
     told = written(answers.where("response is not null").select(*NODE, "attempt", _tie().alias("tie"), "finish_reason", parts), "told")
     return last_rows(told, NODE, ["attempt", "tie"])
 
@@ -41,7 +41,7 @@ def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
     takes at most ceil(log2 n) + 1 rounds. Answers of nodes that are not reached are ignored, batches without items
     have no nodes. Parts are halved as n div 2 and the rest.
     """
-    known = written(verdicts(answers), "verdicts")
+    known = written(verdicts(answers).withColumn("depth", F.regexp_count("path", F.lit(r"\."))), "verdicts")
     cut, wrong = F.col("finish_reason") == "length", F.col("parts") != F.col("n")
     state = (
         F.when(F.col("attempt").isNull(), "asked")
@@ -55,7 +55,8 @@ def cascade(batches: DataFrame, answers: DataFrame) -> DataFrame:
     frontier = batches.where(F.size("items") > 0).select(*BATCH, F.col("batch_index").cast("string").alias("path"), F.lit(0).alias("start"), F.size("items").alias("n"))
     done = []
     while True:
-        settled = written(frontier.join(known, NODE, "left").select(*NODE, "start", "n", "attempt", "tie", state.alias("state")), "frontier")
+        told = known.where(F.col("depth") == len(done)).drop("depth")  # a round's nodes lie at one depth
+        settled = written(frontier.join(told, NODE, "left").select(*NODE, "start", "n", "attempt", "tie", state.alias("state")), "frontier")
         done.append(settled)
         split = settled.where("state = 'split'")
         if split.isEmpty():
@@ -96,12 +97,11 @@ def cascade_items(batches: DataFrame, answers: DataFrame, nodes: DataFrame) -> D
 def reassemble(batches: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, md) of the documents of whose batches every item is there, in order of batch and item.
 
-    ``items`` has (doc_id, batch_index, item_index, text). Documents with a gap are left out.
+    ``items`` has (doc_id, batch_index, item_index, text) and is read once. Documents with a gap are left out.
     """
     wanted = batches.groupBy("doc_id").agg(F.sum(F.size("items")).alias("wanted"))
-    there = items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("there"))
-    whole = wanted.join(there, "doc_id").where("wanted = there").select("doc_id")
     ordered = F.array_sort(F.collect_list(F.struct("item_index", "text")))
-    texts = items.join(whole, "doc_id", "left_semi").groupBy(*BATCH).agg(F.array_join(ordered["text"], "\n\n").alias("text"))
+    texts = items.groupBy(*BATCH).agg(F.array_join(ordered["text"], "\n\n").alias("text"), F.count(F.lit(1)).alias("there"))
     in_order = F.array_sort(F.collect_list(F.struct("batch_index", "text")))
-    return texts.groupBy("doc_id").agg(F.array_join(in_order["text"], "\n\n").alias("md"))
+    documents = texts.groupBy("doc_id").agg(F.array_join(in_order["text"], "\n\n").alias("md"), F.sum("there").alias("there"))
+    return documents.join(wanted, "doc_id").where("wanted = there").select("doc_id", "md")

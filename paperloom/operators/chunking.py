@@ -105,6 +105,11 @@ def answer_parts(response: Column) -> Column:
     return F.filter(F.transform(F.split(response, DELIMITER, -1), strip), lambda p: p != "")
 
 
+def count_parts(response: Column) -> Column:
+    """How many parts an answer has, without trimming them: those with a sign that is not white space."""
+    return F.size(F.filter(F.split(response, DELIMITER, -1), lambda p: p.rlike(r"(?U)\S")))
+
+
 def align_response(df: DataFrame) -> DataFrame:
     """(doc_id, items, response, finish_reason) to (…, parts, fail_reason).
 

@@ -8,7 +8,7 @@ from paperloom.functions.parallel import is_table
 from paperloom.functions.strings import strip
 from paperloom.operators import cascade
 from paperloom.operators import chunking as k
-from paperloom.plans.views import spark_view, sql
+from paperloom.plans.views import spark_view, sql, table
 
 #: Small batches, so that the short test documents fill several.
 MOST = 1000
@@ -75,8 +75,26 @@ def documents(spark, d):
     return k.assemble_docs(batches.select("doc_id", "batch_index", F.array_join("x.text", "\n\n").alias("text"))).select("doc_id", strip(F.col("md")).alias("md"))
 
 
+def node_answers(spark, d):
+    """The rows of the view ``node_answers`` from one reading of the table: the view has a branch for each of fifteen nodes, and
+    each branch reads and splits every text again."""
+    level = F.array(F.struct(F.lit("0").alias("path"), F.lit(0).alias("start"), F.size("said").alias("n")))
+    levels = [level]
+    half = lambda x: F.floor(x["n"] / 2).cast("int")
+    node = lambda x, side, start, n: F.struct(F.concat(x["path"], F.lit(side)).alias("path"), start.alias("start"), n.alias("n"))
+    for _ in range(3):
+        level = F.flatten(F.transform(F.filter(level, lambda x: x["n"] > 1), lambda x: F.array(node(x, ".L", x["start"], half(x)), node(x, ".R", x["start"] + half(x), x["n"] - half(x)))))
+        levels.append(level)
+    said = table(spark, d, "documents").select("doc_id", F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.lit("t:"), x)).alias("said"))
+    nodes = said.select("doc_id", "said", F.explode(F.concat(*levels)).alias("x")).select("doc_id", "said", "x.path", "x.start", "x.n").where("(doc_id * 7 + start + n) % 23 > 0")
+    lost = F.when((F.col("n") > 1) & ((F.col("doc_id") + F.col("n")) % 3 < 2) & (F.length("path") < 6), 1).otherwise(0)
+    response = F.array_join(F.slice("said", F.col("start") + 1 + lost, F.col("n") - lost), f"\n\n{k.DELIMITER}\n\n")
+    reason = F.when((F.col("doc_id") + F.col("start")) % 19 == 0, "length").otherwise("stop")
+    return nodes.select("doc_id", F.lit(0).alias("batch_index"), "path", F.lit(1).alias("attempt"), response.alias("response"), reason.alias("finish_reason"))
+
+
 def _tree(spark, d):
-    batches, answers = spark_view(spark, d, "item_batches"), spark_view(spark, d, "node_answers")
+    batches, answers = spark_view(spark, d, "item_batches"), node_answers(spark, d)
     return batches, answers, cascade.cascade(batches, answers)
 
 

@@ -74,3 +74,40 @@ def test_moves_of_a_written_job(spark, tmp_path):
     page_files.move_committed(spark, root, "j")
     assert not (tmp_path / "_staging").exists() and (tmp_path / "a.txt").read_text() == "no page"
     assert sorted(tuple(r) for r in page_files.scan_pages(spark, root).collect()) == sorted((n, t or "") for n, t in rows if n.endswith(".md"))
+
+
+def scans(df):
+    """How often a query's plan reads a file."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+
+@needs_data
+def test_answers_are_made_from_one_reading(spark, tmp_path):
+    from paperloom.plans.q_chunking import node_answers
+    from paperloom.plans.views import spark_view
+
+    odd = spark.createDataFrame([(k, t) for k, t in enumerate([None, "", "\n", "a", "a\n\nb\n", " \n" * 9, "x\n<<<P>>>\ny"] * 5)], "doc_id long, text string")
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    for d in (DATA, str(tmp_path)):
+        got, view = node_answers(spark, d), spark_view(spark, d, "node_answers")
+        assert got.columns == view.columns and scans(got) == 1 < scans(view)
+        assert got.count() == view.count() > 0 and got.exceptAll(view).isEmpty() and view.exceptAll(got).isEmpty()
+
+
+def test_documents_are_put_together_from_one_reading_of_their_items(spark, tmp_path):
+    from paperloom.operators import cascade
+
+    rows = [(1, 0, 1, "b"), (1, 0, 0, "a"), (1, 1, 0, "c"), (2, 0, 0, "x"), (3, 0, 0, "y")]
+    spark.createDataFrame(rows, "doc_id long, batch_index int, item_index int, text string").write.parquet(str(tmp_path / "items"))
+    batches = spark.createDataFrame([(1, 0, ["A", "B"]), (1, 1, ["C"]), (2, 0, ["X", "gap"]), (3, 0, ["Y"]), (3, 1, []), (4, 0, ["none"])], "doc_id long, batch_index int, items array<string>")
+    got = cascade.reassemble(batches, spark.read.parquet(str(tmp_path / "items")))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a\n\nb\n\nc"), (3, "y")]
+    assert scans(got) == 1
+
+
+def test_parts_are_counted_as_they_are_cut(spark):
+    from paperloom.operators import chunking
+
+    texts = ["", " ", "a", "<<<P>>>", "a<<<P>>> \n<<<P>>>b", "　<<<P>>> x <<<P>>>", None, "a\n\n<<<P>>>\n\nb\n\n<<<P>>>\n\n\t", "\0<<<P>>>​"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~chunking.count_parts(F.col("t")).eqNullSafe(F.size(chunking.answer_parts(F.col("t"))))).count() == 0
