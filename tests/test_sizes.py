@@ -29,7 +29,7 @@ def sent_to_python(df):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["c9_clean_tame", "c9_clean_markdown"])
+@pytest.mark.parametrize("name", ["c9_clean_tame", "c9_clean_markdown", "c3_sanitize_tame"])
 def test_texts_without_long_math_do_not_go_to_python(spark, name):
     df = registry.QUERIES[name](spark, DATA)
     text = df.agg(F.sum(F.octet_length("md"))).first()[0]
