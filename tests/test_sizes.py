@@ -111,3 +111,15 @@ def test_parts_are_counted_as_they_are_cut(spark):
     texts = ["", " ", "a", "<<<P>>>", "a<<<P>>> \n<<<P>>>b", "　<<<P>>> x <<<P>>>", None, "a\n\n<<<P>>>\n\nb\n\n<<<P>>>\n\n\t", "\0<<<P>>>​"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert df.where(~chunking.count_parts(F.col("t")).eqNullSafe(F.size(chunking.answer_parts(F.col("t"))))).count() == 0
+
+
+@needs_data
+@pytest.mark.parametrize("query", ["waiting"])
+def test_cascade_queries_judge_answers_from_one_reading(spark, query, monkeypatch):
+    from paperloom.operators import cascade
+    from paperloom.plans import q_chunking
+
+    seen, plain = [], cascade.verdicts
+    monkeypatch.setattr(cascade, "verdicts", lambda answers: (seen.append(scans(answers)), plain(answers))[1])
+    getattr(q_chunking, query)(spark, DATA)
+    assert seen == [1]
