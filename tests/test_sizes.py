@@ -114,7 +114,7 @@ def test_parts_are_counted_as_they_are_cut(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("query", ["waiting"])
+@pytest.mark.parametrize("query", ["waiting", "nodes"])
 def test_cascade_queries_judge_answers_from_one_reading(spark, query, monkeypatch):
     from paperloom.operators import cascade
     from paperloom.plans import q_chunking
