@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.functions.spans import MATH, count_of, gaps, matches
+from paperloom.functions.spans import MATH, count_of, gaps, let, matches
 
 #: A unit of 3 to 80 characters, 15 times or more in a row. Fixed values.
 LEAST_UNIT, MOST_UNIT, REPEATS = 3, 80, 15
@@ -113,8 +113,8 @@ def sanitize_math(texts: Column | str) -> Column:
     """
     c = F.col(texts) if isinstance(texts, str) else texts
     spans = matches(c, MATH)
-    asked = F.when(F.exists(spans, _long_enough), F.transform(spans, lambda m: F.when(_long_enough(m), m)))
-    bad = F.coalesce(_runaways(asked), F.array().cast("array<boolean>"))
+    long_ones = lambda a: F.when(F.exists(a, _long_enough), F.transform(a, lambda m: F.when(_long_enough(m), m)))
+    bad = F.coalesce(_runaways(let(spans, long_ones)), F.array().cast("array<boolean>"))
     unclosed = lambda m: count_of(m, "\\begin{") != count_of(m, "\\end{")
     sound = F.zip_with(spans, bad, lambda m, b: F.when(unclosed(m) | F.coalesce(b, F.lit(False)), PLACEHOLDER).otherwise(m))
     return F.array_join(F.zip_with(gaps(c, MATH), sound, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "")

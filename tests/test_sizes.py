@@ -123,3 +123,11 @@ def test_cascade_queries_judge_answers_from_one_reading(spark, query, monkeypatc
     monkeypatch.setattr(cascade, "verdicts", lambda answers: (seen.append(scans(answers)), plain(answers))[1])
     getattr(q_chunking, query)(spark, DATA)
     assert seen == [1]
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["c9_clean_markdown", "c3_sanitize_tame"])
+def test_math_is_looked_for_once_before_python(spark, name):
+    plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan()
+    asked = [p.udfs().mkString(" ") for p in operators(plan) if p.nodeName() == "ArrowEvalPython"]
+    assert [a.count("regexp_extract_all") for a in asked] == [1]
